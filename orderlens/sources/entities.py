@@ -2,18 +2,18 @@
 
 The operators take entities (order_profit, shipping_cost, ...); this adapter
 supplies them where only orders, line items, parts and events exist. The columns
-and rules are those of FIXTURES.md. Joins carry no hints: the optimizer
-broadcasts a side by its measured size and splits skewed partitions.
+and rules are those of FIXTURES.md, written as SQL expressions. Joins carry no
+hints: the optimizer broadcasts a side by its measured size and splits skewed
+partitions. Every amount is cast back to DECIMAL(18,4) after each step.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import dec, money, ratio
 from .tables import Tables
 
 # Fixed values of the derivation.
@@ -38,6 +38,7 @@ LABELS = (
     "AZ-DE", "AZ-UK", "AZ-FR", "AZ-IT", "AZ-ES", "AZ-NL", "AZ-BE", "AZ-SE", "AZ-PL", "AZ-US",
     "EU", "NA",
 )
+EDGE_STATUS = {"view": 200, "click": 301, "purchase": 200, "signup": 404, "error": 500}
 WEB_EVENTS = {
     "click": "nudge_click",
     "view": "view_item",
@@ -47,17 +48,36 @@ WEB_EVENTS = {
 }
 
 
-def pick(values: tuple, index: Column) -> Column:
+def money(expr: str) -> str:
+    return f"cast({expr} AS decimal(18,4))"
+
+
+def quoted(value: str | int | None) -> str:
+    if value is None:
+        return "cast(NULL AS string)"
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def pick(values: tuple, index: str) -> str:
     """Element of a short literal list by a zero-based index."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return f"element_at(array({', '.join(map(quoted, values))}), cast({index} AS int) + 1)"
 
 
-def lookup(names: dict[str, str], key: Column) -> Column:
-    return F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[key]
+def lookup(names: dict, key: str) -> str:
+    entries = ", ".join(quoted(x) for pair in names.items() for x in pair)
+    return f"element_at(map({entries}), {key})"
 
 
-def hours(n: Column) -> Column:
-    return F.make_dt_interval(hours=n.cast("int"))
+def market_of(part_key: str) -> str:
+    return pick(MARKETS, f"{part_key} % 5")
+
+
+EXT, DISC, TAX = money("l_extendedprice"), money("l_discount"), money("l_tax")
+QTY, RETAIL, SIZE = money("l_quantity"), money("p_retailprice"), money("p_size")
+TAG = pick(TAGS, "(l_linenumber + l_suppkey) % 10")
+# The modulo is narrowed to int: a bigint factor would cost the product its last digits.
+FEE_RATE = "(0.02 + cast(o_orderkey % 11 AS int) * 0.011)"
+ESTIMATE_RATE = "(0.85 + cast(o_orderkey % 9 AS int) * 0.05)"
 
 
 class Entities:
@@ -72,389 +92,326 @@ class Entities:
     def _lines(self) -> DataFrame:
         """Line items with the price and size of their part."""
         part = self.t["part"].select("p_partkey", "p_retailprice", "p_size")
-        retail, size = money("p_retailprice"), money("p_size")
-        return (
-            self.t["lineitem"]
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .withColumns(
-                {
-                    "ext": money("l_extendedprice"),
-                    "disc": money("l_discount"),
-                    "tax": money("l_tax"),
-                    "qty": money("l_quantity"),
-                    "retail": retail,
-                    "size": size,
-                }
-            )
-        )
+        return self.t["lineitem"].join(part, F.expr("l_partkey = p_partkey"))
 
     @cached_property
     def _order_sums(self) -> DataFrame:
         """One row per order, summed before any join on the order key."""
-        return (
-            self._lines.groupBy("l_orderkey")
-            .agg(
-                F.count(F.lit(1)).alias("items"),
-                money(F.sum(money(F.col("ext") * (1 - F.col("disc"))))).alias("net"),
-                money(F.sum(money(F.col("qty") * F.col("retail")))).alias("goods"),
-                money(F.sum(money(F.col("qty") * F.col("size")))).alias("volume"),
-                money(F.sum(money(F.col("ext") * F.col("tax")))).alias("taxes"),
-                F.min(F.concat("l_returnflag", "l_linestatus")).alias("method"),
-                F.min("l_returnflag").alias("carrier"),
-                F.min("l_suppkey").alias("first_supplier"),
-                F.max("l_suppkey").alias("last_supplier"),
-            )
+        total = lambda expr, name: F.expr(f"{money(f'sum({money(expr)})')} AS {name}")
+        return self._lines.groupBy("l_orderkey").agg(
+            F.expr("count(*) AS items"),
+            total(f"{EXT} * (1 - {DISC})", "net"),
+            total(f"{QTY} * {RETAIL}", "goods"),
+            total(f"{QTY} * {SIZE}", "volume"),
+            total(f"{EXT} * {TAX}", "taxes"),
+            F.expr("min(l_returnflag || l_linestatus) AS method"),
+            F.expr("min(l_returnflag) AS carrier"),
         )
 
     @cached_property
     def _costed(self) -> DataFrame:
         """Orders with every cost line, before they are cut into entities."""
-        k = F.col("o_orderkey")
-        priced = (
-            self._order_sums.join(self.t["orders"], F.col("l_orderkey") == k)
-            .join(self.t["customer"], F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
-            .withColumn("total", F.when(k % 97 == 0, money(F.lit(0))).otherwise(F.col("net")))
-        )
-        total = F.col("total")
-        return priced.withColumns(
-            {
-                "product": money(dec("0.9") * F.col("goods")),
-                "shipping": money(4 * F.col("volume")),
-                "market_fee": F.when(total == 0, money(F.lit(0))).otherwise(
-                    money(money(dec("0.20") * total) + F.col("taxes"))
-                ),
-                "payment": money(total * (dec("0.02") + (k % 11) * dec("0.011"))),
-            }
-        ).withColumn(
-            "profit",
-            money(
-                total
-                - F.col("product")
-                - F.col("shipping")
-                - F.col("market_fee")
-                - F.col("payment")
-            ),
+        return (
+            self._order_sums.join(self.t["orders"], F.expr("l_orderkey = o_orderkey"))
+            .join(self.t["customer"], F.expr("o_custkey = c_custkey"))
+            .join(self.t["nation"], F.expr("c_nationkey = n_nationkey"))
+            .selectExpr(
+                "*",
+                f"if(o_orderkey % 97 = 0, {money('0')}, net) AS total",
+                f"{money('0.9 * goods')} AS product",
+                f"{money('4 * volume')} AS shipping",
+                f"if(total = 0, {money('0')}, {money(money('0.20 * total') + ' + taxes')}) AS market_fee",
+                f"{money(f'total * {FEE_RATE}')} AS payment",
+                f"{money('total - product - shipping - market_fee - payment')} AS profit",
+            )
         )
 
     @cached_property
     def order_profit(self) -> DataFrame:
-        k, total = F.col("o_orderkey"), F.col("total")
-        return self._costed.select(
-            k.alias("CustomerOrderId"),
-            F.col("c_mktsegment").alias("IdBookstore"),
-            F.col("n_name").alias("ShippingCountryIso2"),
-            F.col("o_orderdate").alias("OrderCreatedOnUtc"),
-            F.when(F.col("o_orderstatus") == "P", 40).otherwise(30).alias("OrderStatusId"),
-            (F.col("o_orderpriority") != "4-NOT SPECIFIED").alias("IsDoneCalculating"),
-            F.col("items").alias("NumOfItems"),
-            money(F.col("volume") * dec("0.001")).alias("OrderWeight"),
-            total.alias("fOrderTotal"),
-            F.col("product").alias("ProductCost"),
-            money(F.col("product") - (k % 5 - 2) * 4).alias("ProductCost_Estimated"),
-            F.col("shipping").alias("ShippingCost"),
-            F.col("market_fee").alias("MarketplaceCost"),
-            F.col("payment").alias("PaymentCost"),
-            money(5 * F.col("items")).alias("HandlingCost"),
-            money(2 * F.col("items")).alias("PackagingCost"),
-            F.col("profit").alias("Profit_Actual"),
-            money(F.col("profit") + (k % 7 - 3) * 2).alias("Profit_Estimated"),
-            money(ratio(100 * F.col("profit"), total)).alias("ProfitMargin"),
-            F.col("o_orderdate").alias("LastUpdatedOnUtc"),
+        return self._costed.selectExpr(
+            "o_orderkey AS CustomerOrderId",
+            "c_mktsegment AS IdBookstore",
+            "n_name AS ShippingCountryIso2",
+            "o_orderdate AS OrderCreatedOnUtc",
+            "if(o_orderstatus = 'P', 40, 30) AS OrderStatusId",
+            "o_orderpriority <> '4-NOT SPECIFIED' AS IsDoneCalculating",
+            "items AS NumOfItems",
+            f"{money('volume * 0.001')} AS OrderWeight",
+            "total AS fOrderTotal",
+            "product AS ProductCost",
+            f"{money('product - (o_orderkey % 5 - 2) * 4')} AS ProductCost_Estimated",
+            "shipping AS ShippingCost",
+            "market_fee AS MarketplaceCost",
+            "payment AS PaymentCost",
+            f"{money('5 * items')} AS HandlingCost",
+            f"{money('2 * items')} AS PackagingCost",
+            "profit AS Profit_Actual",
+            f"{money('profit + (o_orderkey % 7 - 3) * 2')} AS Profit_Estimated",
+            f"{money('try_divide(100 * profit, total)')} AS ProfitMargin",
+            "o_orderdate AS LastUpdatedOnUtc",
         )
 
     @cached_property
     def order_item_profit(self) -> DataFrame:
-        sale = F.col("sale")
-        lines = (
-            self._lines.withColumn("unit", money(F.col("ext") / F.col("qty")))
-            .withColumn("sale", money(F.col("unit") * (1 - F.col("disc"))))
-            .withColumn("purchase", money(dec("0.9") * F.col("retail")))
-            .withColumn("indirect", money(sale * (dec("0.20") + F.col("tax"))))
-            .withColumn("ship", money(4 * F.col("size")))
-        )
-        return lines.select(
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("Id"),
-            F.col("l_orderkey").alias("CustomerOrderId"),
-            F.col("l_partkey").cast("string").alias("EAN"),
-            F.col("l_quantity").cast("int").alias("Quantity"),
-            money(
-                F.col("qty") * (sale - F.col("purchase") - F.col("indirect") - F.col("ship"))
-            ).alias("ItemProfit"),
-            sale.alias("UnitSalesPriceNet"),
-            F.col("purchase").alias("UnitPurchasePriceNet"),
-            money(F.col("purchase") - F.col("l_suppkey") % 3).alias("UnitPurchasePriceNet_OfferTime"),
-            F.col("indirect").alias("OrderCostMinusShippingChargeForUnit"),
-            F.col("ship").alias("ShippingChargePlnNettoForUnit"),
-            F.col("l_shipdate").alias("LastUpdateOnUtc"),
+        priced = self._lines.selectExpr(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            "l_quantity",
+            "l_shipdate",
+            f"{QTY} AS qty",
+            f"{money(money(f'{EXT} / {QTY}') + f' * (1 - {DISC})')} AS sale",
+            f"{money(f'0.9 * {RETAIL}')} AS purchase",
+            f"{money(f'sale * (0.20 + {TAX})')} AS indirect",
+            f"{money(f'4 * {SIZE}')} AS ship",
+        )
+        return priced.selectExpr(
+            "l_orderkey * 8 + l_linenumber AS Id",
+            "l_orderkey AS CustomerOrderId",
+            "cast(l_partkey AS string) AS EAN",
+            "cast(l_quantity AS int) AS Quantity",
+            f"{money('qty * (sale - purchase - indirect - ship)')} AS ItemProfit",
+            "sale AS UnitSalesPriceNet",
+            "purchase AS UnitPurchasePriceNet",
+            f"{money('purchase - l_suppkey % 3')} AS UnitPurchasePriceNet_OfferTime",
+            "indirect AS OrderCostMinusShippingChargeForUnit",
+            "ship AS ShippingChargePlnNettoForUnit",
+            "l_shipdate AS LastUpdateOnUtc",
         )
 
     @cached_property
     def order_profit_tag(self) -> DataFrame:
-        tag = pick(TAGS, (F.col("l_linenumber") + F.col("l_suppkey")) % 10)
-        return self.t["lineitem"].select(
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("Id"),
-            F.col("l_orderkey").alias("CustomerOrderId"),
-            tag.alias("TagId"),
-            F.when(tag == 35, F.format_string("request to Supplier#%09d", "l_suppkey"))
-            .when(
-                tag == 38,
-                F.format_string("ship by (%sZ)", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")),
-            )
-            .otherwise(F.format_string("tag %d on line %d", tag, F.col("l_linenumber")))
-            .alias("Note"),
-            F.col("l_returnflag").alias("Source"),
-            F.format_string("tag %d", tag).alias("Description"),
-            F.col("l_shipdate").alias("CreatedOnUtc"),
+        return self.t["lineitem"].selectExpr(
+            "l_orderkey * 8 + l_linenumber AS Id",
+            "l_orderkey AS CustomerOrderId",
+            f"{TAG} AS TagId",
+            f"""CASE {TAG}
+                WHEN 35 THEN format_string('request to Supplier#%09d', l_suppkey)
+                WHEN 38 THEN format_string('ship by (%sZ)', date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss'))
+                ELSE format_string('tag %d on line %d', {TAG}, l_linenumber) END AS Note""",
+            "l_returnflag AS Source",
+            f"format_string('tag %d', {TAG}) AS Description",
+            "l_shipdate AS CreatedOnUtc",
         )
 
     @cached_property
     def order_profit_revision(self) -> DataFrame:
-        return self.t["lineitem"].select(
-            F.col("l_orderkey").alias("CustomerOrderId"),
-            money(money("l_extendedprice") * (1 - money("l_discount"))).alias("Profit_Actual"),
-            F.concat("l_returnflag", "l_linestatus").alias("Notes"),
-            F.date_trunc("year", "l_shipdate").alias("CreatedOnUtc"),
-            (F.col("l_shipdate") + F.make_dt_interval(secs=F.col("l_partkey"))).alias("DeletedOnUtc"),
+        return self.t["lineitem"].selectExpr(
+            "l_orderkey AS CustomerOrderId",
+            f"{money(f'{EXT} * (1 - {DISC})')} AS Profit_Actual",
+            "l_returnflag || l_linestatus AS Notes",
+            "date_trunc('year', l_shipdate) AS CreatedOnUtc",
+            "l_shipdate + make_dt_interval(0, 0, 0, l_partkey) AS DeletedOnUtc",
         )
 
     # -- order level --------------------------------------------------------
 
     @cached_property
     def shipping_cost(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        return self._costed.select(
-            k.alias("CustomerOrderId"),
-            F.col("shipping").alias("fShippingCostTotal"),
-            money(F.col("shipping") * (dec("0.85") + (k % 9) * dec("0.05"))).alias(
-                "ShippingCostTotal_EstimatedPreShipments"
-            ),
-            F.col("method").alias("ShipmentMethodName"),
-            F.col("carrier").alias("ShippingCompany"),
-            F.col("n_name").alias("ShippingCountryIso2"),
-            F.col("o_orderdate").alias("LastUpdatedOnUtc"),
+        return self._costed.selectExpr(
+            "o_orderkey AS CustomerOrderId",
+            "shipping AS fShippingCostTotal",
+            f"{money(f'shipping * {ESTIMATE_RATE}')} AS ShippingCostTotal_EstimatedPreShipments",
+            "method AS ShipmentMethodName",
+            "carrier AS ShippingCompany",
+            "n_name AS ShippingCountryIso2",
+            "o_orderdate AS LastUpdatedOnUtc",
         )
 
     @cached_property
     def marketplace_cost(self) -> DataFrame:
         """Orders under calculation have no row yet."""
-        referral = money(dec("0.20") * F.col("fOrderTotal"))
-        return self.order_profit.where("IsDoneCalculating").select(
+        referral = money("0.20 * fOrderTotal")
+        return self.order_profit.where("IsDoneCalculating").selectExpr(
             "CustomerOrderId",
-            F.col("MarketplaceCost").alias("fMarketplaceCost"),
-            referral.alias("ReferralFee_Actual"),
-            money(F.col("MarketplaceCost") - referral).alias("ClosingFees_Actual"),
+            "MarketplaceCost AS fMarketplaceCost",
+            f"{referral} AS ReferralFee_Actual",
+            f"{money(f'MarketplaceCost - {referral}')} AS ClosingFees_Actual",
         )
 
     @cached_property
     def payment_cost(self) -> DataFrame:
         """Cancelled orders have no row."""
-        return self.order_profit.where("OrderStatusId <> 40").select(
-            "CustomerOrderId", F.col("PaymentCost").alias("fPaymentCost")
+        return self.order_profit.where("OrderStatusId <> 40").selectExpr(
+            "CustomerOrderId", "PaymentCost AS fPaymentCost"
         )
 
     @cached_property
     def order_header(self) -> DataFrame:
-        k, c = F.col("o_orderkey"), F.col("c_custkey")
-        paid = F.col("o_orderdate") + hours(k % 24)
-        shipped = F.when(k % 10 != 0, paid + hours(c % 120) + F.expr("INTERVAL 30 MINUTES"))
-        name = F.lower(F.replace("c_name", F.lit("#"), F.lit(".")))
-        mail = (
-            F.when(c % 20 == 0, F.lit(None))
-            .when(c % 33 == 0, name)
-            .otherwise(F.concat(name, F.lit("@"), F.lower("c_mktsegment"), F.lit(".example")))
-        )
         return (
             self.t["orders"]
-            .join(self.t["customer"], F.col("o_custkey") == c)
-            .select(
-                k.alias("Id"),
-                F.col("c_mktsegment").alias("IdBookstore"),
-                F.when(F.col("o_orderstatus") == "P", 40).otherwise(30).alias("OrderStatusId"),
-                F.col("o_orderdate").alias("CreatedOnUtc"),
-                paid.alias("PaidDateUtc"),
-                shipped.alias("ShippedDateUtc"),
-                F.coalesce(shipped, paid).alias("LastUpdateDateUtc"),
-                F.col("c_name").alias("BillingName"),
-                mail.alias("BillingEmail"),
+            .join(self.t["customer"], F.expr("o_custkey = c_custkey"))
+            .selectExpr(
+                "o_orderkey AS Id",
+                "c_mktsegment AS IdBookstore",
+                "if(o_orderstatus = 'P', 40, 30) AS OrderStatusId",
+                "o_orderdate AS CreatedOnUtc",
+                "o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 AS int)) AS PaidDateUtc",
+                """if(o_orderkey % 10 <> 0,
+                      PaidDateUtc + make_dt_interval(0, cast(c_custkey % 120 AS int), 30),
+                      NULL) AS ShippedDateUtc""",
+                "coalesce(ShippedDateUtc, PaidDateUtc) AS LastUpdateDateUtc",
+                "c_name AS BillingName",
+                """CASE WHEN c_custkey % 20 = 0 THEN NULL
+                        WHEN c_custkey % 33 = 0 THEN lower(replace(c_name, '#', '.'))
+                        ELSE lower(replace(c_name, '#', '.')) || '@' || lower(c_mktsegment) || '.example'
+                   END AS BillingEmail""",
             )
         )
 
     @cached_property
     def order_fulfilment(self) -> DataFrame:
-        k, c = F.col("o_orderkey"), F.col("o_custkey")
-        ordered = k % 3 != 0
-        sums = (
-            self.t["lineitem"]
-            .groupBy("l_orderkey")
-            .agg(F.min("l_suppkey").alias("first_s"), F.max("l_suppkey").alias("last_s"))
+        sums = self.t["lineitem"].groupBy("l_orderkey").agg(
+            F.expr("min(l_suppkey) AS first_s"), F.expr("max(l_suppkey) AS last_s")
         )
         return (
             self.t["orders"]
-            .join(sums, k == F.col("l_orderkey"))
-            .select(
-                k.alias("CustomerOrderId"),
-                F.col("o_orderdate").alias("ORDER_CREATED"),
-                F.when(ordered, F.col("o_orderdate") + hours(c % 24)).alias("GOODS_ORDERED"),
-                F.when(ordered, (k % 72).cast("double") + 0.5).alias("GOODS_RECEIVED_duration"),
-                (c % 30).cast("double").alias("PACKING_duration"),
-                ((k % 50) - 35).cast("double").alias("Hours_late_shipped"),
-                F.when(k % 4 != 0, F.format_string("Supplier#%09d", "first_s")).alias(
-                    "GOODS_RECEIVED_supplier"
-                ),
-                F.format_string("Supplier#%09d", "last_s").alias("GOODS_ORDERED_supplier"),
-                F.when(k % 6 != 0, k % 5 != 0).alias("IsReceivedOnTime"),
-                pick((None, "carrier", "market"), k % 3).alias("ShipDeadlineSource"),
+            .join(sums, F.expr("o_orderkey = l_orderkey"))
+            .selectExpr(
+                "o_orderkey AS CustomerOrderId",
+                "o_orderdate AS ORDER_CREATED",
+                """if(o_orderkey % 3 <> 0,
+                      o_orderdate + make_dt_interval(0, cast(o_custkey % 24 AS int)), NULL) AS GOODS_ORDERED""",
+                "if(o_orderkey % 3 <> 0, cast(o_orderkey % 72 AS double) + 0.5D, NULL) AS GOODS_RECEIVED_duration",
+                "cast(o_custkey % 30 AS double) AS PACKING_duration",
+                "cast(o_orderkey % 50 - 35 AS double) AS Hours_late_shipped",
+                """if(o_orderkey % 4 <> 0, format_string('Supplier#%09d', first_s), NULL)
+                   AS GOODS_RECEIVED_supplier""",
+                "format_string('Supplier#%09d', last_s) AS GOODS_ORDERED_supplier",
+                "if(o_orderkey % 6 <> 0, o_orderkey % 5 <> 0, NULL) AS IsReceivedOnTime",
+                f"{pick((None, 'carrier', 'market'), 'o_orderkey % 3')} AS ShipDeadlineSource",
             )
         )
 
     # -- offers, stock, cohorts ----------------------------------------------
 
-    @staticmethod
-    def market_of(part_key: Column) -> Column:
-        return pick(MARKETS, part_key % 5)
-
     @cached_property
     def _supplied(self) -> DataFrame:
         """(part, supplier) pairs with the first and last day they were shipped."""
         return (
             self.t["lineitem"]
             .groupBy("l_partkey", "l_suppkey")
-            .agg(F.min("l_shipdate").alias("first_day"), F.max("l_shipdate").alias("last_day"))
-            .join(self.t["part"].select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey"))
+            .agg(F.expr("min(l_shipdate) AS first_day"), F.expr("max(l_shipdate) AS last_day"))
+            .join(self.t["part"].select("p_partkey", "p_retailprice"), F.expr("l_partkey = p_partkey"))
+            .selectExpr("l_partkey AS p", "l_suppkey AS s", "first_day", "last_day", "p_retailprice")
         )
 
     @cached_property
     def price_offer(self) -> DataFrame:
-        p, s = F.col("l_partkey"), F.col("l_suppkey")
-        ean = p.cast("string")
-        return self._supplied.select(
-            (p * 1_000_000 + s).alias("Id"),
-            self.market_of(p).alias("BookstoreId"),
-            ean.alias("OurEan"),
-            F.when(s % 2 == 0, ean).otherwise(F.concat(ean, F.lit("-U"))).alias("SKU"),
-            F.when(s % 3 != 0, F.concat(F.lit("B"), ean)).alias("Asin"),
-            money(money("p_retailprice") + (s % 5) * dec("0.5")).alias("Price"),
-            money(money("p_retailprice") * dec("0.9")).alias("PriceMin"),
-            (s % 4).cast("int").alias("Quantity"),
-            (p % 7 == 0).alias("IsBlocked"),
-            F.col("first_day").alias("CreatedOnUtc"),
-            F.col("last_day").alias("LastSubmittedOnUtc"),
-            F.col("last_day").alias("LastUpdatedOnUtc"),
+        return self._supplied.selectExpr(
+            "p * 1000000 + s AS Id",
+            f"{market_of('p')} AS BookstoreId",
+            "cast(p AS string) AS OurEan",
+            "if(s % 2 = 0, cast(p AS string), cast(p AS string) || '-U') AS SKU",
+            "if(s % 3 <> 0, 'B' || cast(p AS string), NULL) AS Asin",
+            f"{money(f'{RETAIL} + (s % 5) * 0.5')} AS Price",
+            f"{money(f'{RETAIL} * 0.9')} AS PriceMin",
+            "cast(s % 4 AS int) AS Quantity",
+            "p % 7 = 0 AS IsBlocked",
+            "first_day AS CreatedOnUtc",
+            "last_day AS LastSubmittedOnUtc",
+            "last_day AS LastUpdatedOnUtc",
         )
 
     @cached_property
     def offer_settings(self) -> DataFrame:
-        p = F.col("p_partkey")
-        return self.t["part"].select(
-            p.alias("Id"),
-            p.cast("string").alias("OurEan"),
-            self.market_of(p).alias("BookstoreId"),
-            F.when(p % 3 == 0, "pilot").otherwise("standard").alias("TestGroupName"),
-            money(money("p_retailprice") + dec("0.5")).alias("Price"),
-            F.when(p % 4 != 3, 1).otherwise(0).alias("fIsActive"),
+        return self.t["part"].selectExpr(
+            "p_partkey AS Id",
+            "cast(p_partkey AS string) AS OurEan",
+            f"{market_of('p_partkey')} AS BookstoreId",
+            "if(p_partkey % 3 = 0, 'pilot', 'standard') AS TestGroupName",
+            f"{money(f'{RETAIL} + 0.5')} AS Price",
+            "if(p_partkey % 4 <> 3, 1, 0) AS fIsActive",
         )
 
     @cached_property
     def buy_box_current(self) -> DataFrame:
-        p = F.col("p_partkey")
-        return self.t["part"].select(
-            p.cast("string").alias("Ean"),
-            self.market_of(p).alias("MarketplaceId"),
-            F.when(p % 11 != 0, F.concat(F.lit("R"), (p % 4).cast("string"))).alias("RetailerId"),
-            F.when(p % 2 == 0, "FBR").otherwise("FBB").alias("FulfilmentMethod"),
-            money(money("p_retailprice") + (p % 5) * dec("0.25")).alias("BestOfferPrice"),
-            (p % 13 != 0).alias("HasOffer"),
-            (
-                F.lit("2001-08-01 00:00:00").cast("timestamp")
-                + F.make_dt_interval(mins=(p % 1440).cast("int"))
-            ).alias("LastCheckedUtc"),
+        return self.t["part"].selectExpr(
+            "cast(p_partkey AS string) AS Ean",
+            f"{market_of('p_partkey')} AS MarketplaceId",
+            "if(p_partkey % 11 <> 0, 'R' || cast(p_partkey % 4 AS string), NULL) AS RetailerId",
+            "if(p_partkey % 2 = 0, 'FBR', 'FBB') AS FulfilmentMethod",
+            f"{money(f'{RETAIL} + (p_partkey % 5) * 0.25')} AS BestOfferPrice",
+            "p_partkey % 13 <> 0 AS HasOffer",
+            """TIMESTAMP '2001-08-01 00:00:00' + make_dt_interval(0, 0, cast(p_partkey % 1440 AS int))
+               AS LastCheckedUtc""",
         )
 
     @cached_property
     def our_offers_current(self) -> DataFrame:
-        return self._supplied.select(
-            F.col("l_partkey").cast("string").alias("Ean"),
-            self.market_of(F.col("l_partkey")).alias("MarketplaceId"),
-            money(money("p_retailprice") + (F.col("l_suppkey") % 3) * dec("0.5")).alias("BundlePrice"),
+        return self._supplied.selectExpr(
+            "cast(p AS string) AS Ean",
+            f"{market_of('p')} AS MarketplaceId",
+            f"{money(f'{RETAIL} + (s % 3) * 0.5')} AS BundlePrice",
         )
 
     @cached_property
     def buy_box_nested(self) -> DataFrame:
-        p = F.col("p_partkey")
-        price = money("p_retailprice")
-        offer = lambda won, at: F.struct(won.alias("IsBuyBoxWinner"), money(at).alias("Price"))
-        offers = F.array(offer(p % 4 == 0, price), offer(F.lit(False), price + 1))
-        return self.t["part"].select(
-            F.concat(F.lit("B"), p.cast("string")).alias("ASIN"),
-            self.market_of(p).alias("MarketplaceID"),
-            F.when(p % 6 == 0, F.slice(offers, 1, 0)).otherwise(offers).alias("OurOffer"),
+        return self.t["part"].selectExpr(
+            "'B' || cast(p_partkey AS string) AS ASIN",
+            f"{market_of('p_partkey')} AS MarketplaceID",
+            f"""slice(array(named_struct('IsBuyBoxWinner', p_partkey % 4 = 0, 'Price', {RETAIL}),
+                            named_struct('IsBuyBoxWinner', false, 'Price', {money(f'{RETAIL} + 1')})),
+                      1, if(p_partkey % 6 = 0, 0, 2)) AS OurOffer""",
         )
 
     @cached_property
     def sale_cohort(self) -> DataFrame:
-        p = F.col("p_partkey")
-        price = money("p_retailprice")
-        return self.t["part"].select(
-            self.market_of(p).alias("market"),
-            self.market_of(p).alias("marketplace_id"),
-            p.cast("string").alias("sku"),
-            price.alias("our_price"),
-            money(price * (dec("0.95") - (p % 3) * dec("0.05"))).alias("sale_price"),
+        return self.t["part"].selectExpr(
+            f"{market_of('p_partkey')} AS market",
+            f"{market_of('p_partkey')} AS marketplace_id",
+            "cast(p_partkey AS string) AS sku",
+            f"{RETAIL} AS our_price",
+            f"{money(f'{RETAIL} * (0.95 - cast(p_partkey % 3 AS int) * 0.05)')} AS sale_price",
         )
 
     @cached_property
     def supplier_stock(self) -> DataFrame:
-        p, s = F.col("l_partkey"), F.col("l_suppkey")
-        return self._supplied.select(
-            (p * 1_000_000 + s).alias("Id"),
-            p.cast("string").alias("EAN"),
-            (s % 10).alias("SupplierId"),
-            ((p * s) % 30 - 1).cast("int").alias("iloscDostepna"),
-            F.col("last_day").alias("LastUpdated"),
+        return self._supplied.selectExpr(
+            "p * 1000000 + s AS Id",
+            "cast(p AS string) AS EAN",
+            "s % 10 AS SupplierId",
+            "cast((p * s) % 30 - 1 AS int) AS iloscDostepna",
+            "last_day AS LastUpdated",
         )
 
     @cached_property
     def own_stock(self) -> DataFrame:
-        p = F.col("p_partkey")
-        return self.t["part"].select(
-            p.cast("string").alias("EAN"),
-            ((p * 7) % 5 - 1).cast("int").alias("fAll_StockQuantity"),
+        return self.t["part"].selectExpr(
+            "cast(p_partkey AS string) AS EAN",
+            "cast((p_partkey * 7) % 5 - 1 AS int) AS fAll_StockQuantity",
         )
 
     @cached_property
     def cohort(self) -> DataFrame:
-        p = F.col("p_partkey")
-        return self.t["part"].select(
-            p.cast("string").alias("EAN"),
-            (p % 2).cast("int").alias("grp"),
-            pick((">10", ">50", "0", None), p % 4).alias("demand_label"),
+        return self.t["part"].selectExpr(
+            "cast(p_partkey AS string) AS EAN",
+            "cast(p_partkey % 2 AS int) AS grp",
+            f"{pick(('>10', '>50', '0', None), 'p_partkey % 4')} AS demand_label",
         )
 
     @cached_property
     def listed(self) -> DataFrame:
         """The supplier's list: parts of one type."""
-        return self.t["part"].where("p_type = 'PROMO'").select(F.col("p_partkey").cast("string").alias("EAN"))
+        return self.t["part"].where("p_type = 'PROMO'").selectExpr("cast(p_partkey AS string) AS EAN")
 
     @cached_property
     def shipment_method(self) -> DataFrame:
-        s = F.col("s_suppkey")
-        return self.t["supplier"].select(
-            s.alias("Id"),
-            F.col("s_name").alias("ShipmentMethodName"),
-            F.lower("s_name").alias("ShipmentMethodFriendlyName"),
-            (s % 2 == 0).alias("isTrackable"),
-            (s % 5 == 0).alias("isConsolidated"),
-            F.col("s_nationkey").cast("string").alias("AllowedRegion"),
+        return self.t["supplier"].selectExpr(
+            "s_suppkey AS Id",
+            "s_name AS ShipmentMethodName",
+            "lower(s_name) AS ShipmentMethodFriendlyName",
+            "s_suppkey % 2 = 0 AS isTrackable",
+            "s_suppkey % 5 = 0 AS isConsolidated",
+            "cast(s_nationkey AS string) AS AllowedRegion",
         )
 
     @cached_property
     def product_method(self) -> DataFrame:
         """Every supplier of a part ships it; suppliers beyond the list have no method."""
-        return self._supplied.select(
-            F.col("l_partkey").cast("string").alias("EAN"),
-            (F.col("l_suppkey") + 5).alias("ShipmentMethodId"),
-            F.col("first_day").alias("CreatedOnUtc"),
+        return self._supplied.selectExpr(
+            "cast(p AS string) AS EAN", "s + 5 AS ShipmentMethodId", "first_day AS CreatedOnUtc"
         )
 
     # -- baskets, feeds, events ------------------------------------------------
@@ -463,146 +420,113 @@ class Entities:
     def basket_item(self) -> DataFrame:
         """One line per (order, product), at a price lowered by twice the discount."""
         cheapest = self.t["lineitem"].groupBy("l_orderkey", "l_partkey").agg(
-            F.min("l_discount").alias("d")
+            F.expr("min(l_discount) AS d")
         )
         part = self.t["part"].select("p_partkey", "p_retailprice")
-        return cheapest.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-            F.col("l_orderkey").alias("CustomerOrderId"),
-            F.col("l_partkey").cast("string").alias("EAN"),
-            money(money("p_retailprice") * (1 - 2 * money("d"))).alias("UnitSalesPriceNet"),
+        return cheapest.join(part, F.expr("l_partkey = p_partkey")).selectExpr(
+            "l_orderkey AS CustomerOrderId",
+            "cast(l_partkey AS string) AS EAN",
+            f"{money(f'{RETAIL} * (1 - 2 * ' + money('d') + ')')} AS UnitSalesPriceNet",
         )
 
     @cached_property
     def shop_price(self) -> DataFrame:
-        return self.t["part"].select(
-            F.col("p_partkey").cast("string").alias("Ean"), money("p_retailprice").alias("Price")
-        )
+        return self.t["part"].selectExpr("cast(p_partkey AS string) AS Ean", f"{RETAIL} AS Price")
 
     @cached_property
     def bundle(self) -> DataFrame:
-        i = F.col("i")
         return (
             self.t["part"]
-            .select(F.floor(F.col("p_partkey") / 2).alias("i"))
+            .selectExpr("p_partkey div 2 AS Id")
             .distinct()
-            .select(
-                i.alias("Id"),
-                F.when(i % 10 != 0, i).alias("SellySetId"),
-                (i % 3 != 0).alias("Visible"),
-            )
+            .selectExpr("Id", "if(Id % 10 <> 0, Id, NULL) AS SellySetId", "Id % 3 <> 0 AS Visible")
         )
 
     @cached_property
     def bundle_component(self) -> DataFrame:
-        return self.t["part"].select(
-            F.floor(F.col("p_partkey") / 2).alias("BundleId"),
-            F.col("p_partkey").cast("string").alias("Ean"),
-            F.lit(1).alias("Quantity"),
+        return self.t["part"].selectExpr(
+            "p_partkey div 2 AS BundleId", "cast(p_partkey AS string) AS Ean", "1 AS Quantity"
         )
 
     @cached_property
     def supplier_feed(self) -> DataFrame:
-        d = F.col("doc_id")
-        return self.t["documents"].select(
-            d.alias("Id"),
-            F.left(F.md5("text"), F.lit(13)).alias("isbn13"),
-            F.when(d % 50 == 0, "-1").otherwise((d % 211).cast("string")).alias("own_ean"),
-            F.concat_ws(":", "lang", d.cast("string")).alias("name"),
-            F.col("source").alias("SupplierId"),
+        return self.t["documents"].selectExpr(
+            "doc_id AS Id",
+            "left(md5(cast(text AS binary)), 13) AS isbn13",
+            "if(doc_id % 50 = 0, '-1', cast(doc_id % 211 AS string)) AS own_ean",
+            "concat_ws(':', lang, cast(doc_id AS string)) AS name",
+            "source AS SupplierId",
         )
 
     @cached_property
     def replacement(self) -> DataFrame:
-        """Half of the codes are already paired with the smallest code of their ISBN."""
+        """Even codes are already paired with the smallest code of their ISBN."""
         feed = self.supplier_feed.where("own_ean <> '-1'")
-        first = feed.groupBy("isbn13").agg(F.min("own_ean").alias("first_ean"))
+        first = feed.groupBy("isbn13").agg(F.expr("min(own_ean) AS first_ean"))
         return (
             feed.join(first, "isbn13")
-            .where(F.col("own_ean") != F.col("first_ean"))
-            .select(
-                F.col("own_ean").alias("EAN"),
-                F.col("first_ean").alias("ReplacementEAN"),
-                (F.col("own_ean").cast("int") % 2).alias("Type"),
-            )
-            .where("Type = 0")
+            .where("own_ean <> first_ean AND cast(own_ean AS int) % 2 = 0")
+            .selectExpr("own_ean AS EAN", "first_ean AS ReplacementEAN", "0 AS Type")
         )
 
     @cached_property
     def web_event(self) -> DataFrame:
-        pair = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
-        page = F.concat(
-            F.lit("https://s.example/"), F.when(F.col("event_id") % 5 == 0, "Zestaw").otherwise("karta")
-        )
-        return self.t["events"].select(
-            lookup(WEB_EVENTS, F.col("event_type")).alias("event_name"),
-            F.col("user_id").alias("user_pseudo_id"),
+        return self.t["events"].selectExpr(
+            f"{lookup(WEB_EVENTS, 'event_type')} AS event_name",
+            "user_id AS user_pseudo_id",
             "ts",
-            F.array(
-                pair("k", F.get_json_object("props", "$.k")), pair("page_location", page)
-            ).alias("event_params"),
+            """array(named_struct('key', 'k', 'value', get_json_object(props, '$.k')),
+                     named_struct('key', 'page_location', 'value',
+                                  'https://s.example/' || if(event_id % 5 = 0, 'Zestaw', 'karta')))
+               AS event_params""",
         )
 
     @cached_property
     def request_log(self) -> DataFrame:
-        u, e = F.col("user_id"), F.col("event_id")
-        status = {"view": 200, "click": 301, "purchase": 200, "signup": 404, "error": 500}
-        return self.t["events"].select(
+        return self.t["events"].selectExpr(
             "ts",
-            F.concat(F.lit("zone"), (u % 4).cast("string")).alias("zone"),
-            pick(AGENTS, u % 24).alias("user_agent"),
-            F.create_map(*[F.lit(x) for p in status.items() for x in p])[F.col("event_type")].alias(
-                "edge_status"
-            ),
-            pick(CACHE_STATES, e % 8).alias("cache_status"),
-            (money("value") * 1000).cast("bigint").alias("bytes"),
-            F.col("value").alias("origin_ms"),
+            "'zone' || cast(user_id % 4 AS string) AS zone",
+            f"{pick(AGENTS, 'user_id % 24')} AS user_agent",
+            f"{lookup(EDGE_STATUS, 'event_type')} AS edge_status",
+            f"{pick(CACHE_STATES, 'event_id % 8')} AS cache_status",
+            f"cast({money('value')} * 1000 AS bigint) AS bytes",
+            "value AS origin_ms",
         )
 
     @cached_property
     def report_landing(self) -> DataFrame:
-        e = F.col("event_id")
-        return self.t["events"].select(
-            lookup(REPORTS, F.col("event_type")).alias("reportType"),
-            pick(LABELS, F.col("user_id") % 12).alias("market"),
-            F.col("ts").alias("fetchedOnUtc"),
-            pick(("LANDED", "EMPTY", "FAILED", None, None), e % 5).alias("status"),
-            F.when(e % 5 == 4, 0).otherwise((money("value") * 100).cast("bigint")).alias("contentBytes"),
+        return self.t["events"].selectExpr(
+            f"{lookup(REPORTS, 'event_type')} AS reportType",
+            f"{pick(LABELS, 'user_id % 12')} AS market",
+            "ts AS fetchedOnUtc",
+            f"{pick(('LANDED', 'EMPTY', 'FAILED', None, None), 'event_id % 5')} AS status",
+            f"if(event_id % 5 = 4, 0L, cast({money('value')} * 100 AS bigint)) AS contentBytes",
         )
 
     @cached_property
     def billing(self) -> DataFrame:
-        ext = money("l_extendedprice")
-        credit = lambda rate: F.struct(money(-ext * money(rate)).alias("amount"))
-        credits = F.array(credit("l_discount"), credit("l_tax"))
-        return (
-            self.t["lineitem"]
-            .join(self.t["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                F.struct(F.date_format("l_shipdate", "yyyyMM").alias("month")).alias("invoice"),
-                F.struct(F.col("l_returnflag").alias("description")).alias("service"),
-                F.struct(F.col("p_type").alias("description")).alias("sku"),
-                ext.alias("cost"),
-                F.when(F.col("l_linenumber") == 1, F.slice(credits, 1, 0)).otherwise(credits).alias("credits"),
-                F.col("l_shipdate").cast("date").alias("usage_day"),
-            )
+        credit = lambda rate: f"named_struct('amount', {money(f'-{EXT} * {rate}')})"
+        part = self.t["part"].select("p_partkey", "p_type")
+        return self.t["lineitem"].join(part, F.expr("l_partkey = p_partkey")).selectExpr(
+            "named_struct('month', date_format(l_shipdate, 'yyyyMM')) AS invoice",
+            "named_struct('description', l_returnflag) AS service",
+            "named_struct('description', p_type) AS sku",
+            f"{EXT} AS cost",
+            f"slice(array({credit(DISC)}, {credit(TAX)}), 1, if(l_linenumber = 1, 0, 2)) AS credits",
+            "cast(l_shipdate AS date) AS usage_day",
         )
 
     @cached_property
     def invoice(self) -> DataFrame:
         """Cost invoices: orders, with the customer as counterparty."""
-        k = F.col("o_orderkey")
         return (
             self.t["orders"]
-            .join(self.t["customer"], F.col("o_custkey") == F.col("c_custkey"))
-            .select(
-                k.alias("InvoiceId"),
-                F.when(k % 9 == 0, F.format_string("FV/%d/W", k))
-                .otherwise(F.format_string("FV/%d", k))
-                .alias("NumerFaktury"),
-                F.col("c_name").alias("counterparty"),
-                F.concat_ws(" ", "c_mktsegment", "o_orderpriority").alias("text"),
-                money("o_totalprice").alias("amount"),
+            .join(self.t["customer"], F.expr("o_custkey = c_custkey"))
+            .selectExpr(
+                "o_orderkey AS InvoiceId",
+                "format_string('FV/%d', o_orderkey) || if(o_orderkey % 9 = 0, '/W', '') AS NumerFaktury",
+                "c_name AS counterparty",
+                "concat_ws(' ', c_mktsegment, o_orderpriority) AS text",
+                f"{money('o_totalprice')} AS amount",
             )
         )
-
-
