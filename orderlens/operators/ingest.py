@@ -184,7 +184,7 @@ def full_reload(
     return read_layout(df.sparkSession, path).count()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
@@ -281,7 +281,7 @@ def sync_table(
         contract.full_reload
         or not contract.key
         or not contract.watermark
-        or not _exists(spark, path)
+        or not table_exists(spark, path)
     )
     if reload:
         clean = mask_pii(apply_contract(source, contract, casts), contract.mask)

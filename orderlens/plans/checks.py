@@ -37,6 +37,12 @@ class CheckResults:
     rows: DataFrame
     summary: DataFrame
     links: DataFrame
+    kept: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Frees the kept rows once the report is delivered."""
+        for part in self.kept:
+            part.unpersist()
 
 
 def _payload(check: Check) -> DataFrame:
@@ -62,13 +68,15 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], *, max_links: int =
 
     Building a plan can fail (a missing column, say); so can running it. Both are
     caught per check: every check is counted on its own before it joins the
-    union, and a silent check without rows is dropped but named.
+    union, and a silent check without rows is dropped but named. The rows of a
+    report are kept from the count, so no check runs twice; spilled or lost
+    blocks are recomputed.
     """
     parts: list[DataFrame] = []
     summary = []
     for check in checks:
         try:
-            part = _payload(check)
+            part = _payload(check).persist()
             n = part.count()
             summary.append((check.name, check.description, n, n == 0 and check.silent_when_empty, None))
             parts.append(part)
@@ -85,7 +93,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], *, max_links: int =
         .where(F.col("rn") <= max_links)
         .drop("rn")
     )
-    return CheckResults(rows, spark.createDataFrame(summary, SUMMARY), links)
+    return CheckResults(rows, spark.createDataFrame(summary, SUMMARY), links, tuple(parts))
 
 
 def failed(results: CheckResults) -> bool:
