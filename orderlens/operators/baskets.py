@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,12 +28,14 @@ def relative_price(
     days: int = 30,
     market: str | None = None,
     period: str = "day",
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Unit price over list price, divided by the period's median of that ratio.
 
     The median removes exchange rate and tax. It is found per period from
     counted values and joined back, instead of a window that would hold a whole
-    period in one task. ``market`` is a LIKE pattern.
+    period in one task. The joined lines are read three times (twice for the
+    median); ``stage`` may store them in between. ``market`` is a LIKE pattern.
     """
     orders = order_header.where(since(F.col("CreatedOnUtc"), as_of, days) & not_cancelled())
     if market is not None:
@@ -54,6 +56,8 @@ def relative_price(
             (F.col("UnitSalesPriceNet") / F.col("Price")).cast("decimal(18,8)").alias("ratio"),
         )
     )
+    if stage is not None:
+        lines = stage(lines)
     median = exact_quantiles(lines, ["period"], "ratio", {"median": 0.5}, interpolate=True)
     return lines.join(median, "period").select(
         F.col("CustomerOrderId").alias("order_id"),

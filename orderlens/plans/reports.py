@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..contracts import TableContract, registry_frame
 from ..operators import baskets, cohorts, cost, crawl, fulfilment, ingest, loss, trust, variance
 from ..sources.entities import Entities
-from ..sources.scratch import shared_folder
+from ..sources.scratch import shared_folder, staged
 from .checks import Check, CheckResults, run_checks
 
 AS_OF = "2001-08-02"
@@ -331,7 +331,8 @@ def latest_per_key(e):
 
 def _relative(e: Entities) -> DataFrame:
     return baskets.relative_price(
-        e.basket_item, e.order_header, e.shop_price, as_of=AS_OF, days=HISTORY, period="month"
+        e.basket_item, e.order_header, e.shop_price, as_of=AS_OF, days=HISTORY, period="month",
+        stage=lambda lines: staged(lines, "baskets"),
     )
 
 

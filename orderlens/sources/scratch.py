@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -20,3 +20,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return tempfile.mkdtemp(prefix=f"orderlens-{name}-")
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For a costly intermediate result that several branches of a plan read: they
+    scan the columns they need instead of repeating its joins, and its lineage
+    ends at files that outlive any executor.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
