@@ -107,6 +107,9 @@ def monthly_cost_report(
             change("current", "previous").alias("change_pct"),
         )
     )
+    report = total.unionByName(best, allowMissingColumns=True)
+    if not watch:
+        return report
     watched = costs.agg(
         *[
             F.sum(F.when((F.col("month") == month) & F.col(w.column).like(w.pattern), net)).alias(f"{name}_{i}")
@@ -133,6 +136,4 @@ def monthly_cost_report(
         rounded("before", 0).alias("previous"),
         change("current", "before").alias("change_pct"),
     )
-    return total.unionByName(best, allowMissingColumns=True).unionByName(
-        watched, allowMissingColumns=True
-    )
+    return report.unionByName(watched, allowMissingColumns=True)

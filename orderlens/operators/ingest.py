@@ -166,11 +166,14 @@ def write_layout(df: DataFrame, contract: TableContract, path: str, *, mode: str
     )
 
 
-def read_layout(spark: SparkSession, path: str) -> DataFrame:
-    """The table with its partition value as text, whatever it looks like."""
-    columns = spark.read.parquet(path).schema
-    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == PART else f for f in columns])
-    return spark.read.schema(schema).parquet(path)
+def read_layout(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table with its partition value as text, whatever it looks like.
+
+    With a declared schema an empty table can be read too, and a column added to
+    the source later is NULL in older files.
+    """
+    fields = [f for f in (schema or spark.read.parquet(path).schema) if f.name != PART]
+    return spark.read.schema(T.StructType([*fields, T.StructField(PART, T.StringType())])).parquet(path)
 
 
 def full_reload(
@@ -181,7 +184,7 @@ def full_reload(
     if not allow_empty and rows.isEmpty():
         raise ContractError(f"{contract.target}: source is empty, the table was not replaced")
     write_layout(rows, contract, path)
-    return read_layout(df.sparkSession, path).count()
+    return read_layout(df.sparkSession, path, rows.schema).count()
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -211,7 +214,7 @@ def upsert_into(delta: DataFrame, contract: TableContract, path: str) -> None:
     """
     spark = delta.sparkSession
     key = list(contract.key)
-    target = read_layout(spark, path)
+    target = read_layout(spark, path, delta.schema)
     columns = [c for c in target.columns if c != PART]
     fresh = dedup_latest(delta.select(*columns), key, contract.watermark)
     keys = fresh.select(*key).withColumn("_hit", F.lit(True))
@@ -283,10 +286,11 @@ def sync_table(
         or not contract.watermark
         or not table_exists(spark, path)
     )
+    clean = mask_pii(apply_contract(source, contract, casts), contract.mask)
     if reload:
-        clean = mask_pii(apply_contract(source, contract, casts), contract.mask)
         return contract.target, "reload", full_reload(clean, contract, path, allow_empty=allow_empty)
-    mark = high_watermark(read_layout(spark, path), contract.watermark).first()["mark"]
+    target = read_layout(spark, path, clean.schema)
+    mark = high_watermark(target, contract.watermark).first()["mark"]
     delta = delta_extract(source, contract.watermark, mark)
     clean = mask_pii(apply_contract(delta, contract, casts), contract.mask)
     staging = f"{root}/{contract.target}_staging"
