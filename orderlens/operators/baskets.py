@@ -280,12 +280,12 @@ def missing_pairs(
     grows with k and the links, not with the square of the group. Ranking runs in
     ``spread`` slices per ISBN before it runs per ISBN.
     """
+    usable = feed.where(
+        (F.length("isbn13") == 13) & F.col("own_ean").isNotNull() & ~F.col("own_ean").isin(*NO_CODE)
+    )
     codes = (
-        feed.where(
-            (F.length("isbn13") == 13) & F.col("own_ean").isNotNull() & ~F.col("own_ean").isin(*NO_CODE)
-        )
-        .groupBy("isbn13", "own_ean")
-        .agg(F.min("name").alias("name"), F.count_distinct("SupplierId").alias("suppliers"))
+        usable.groupBy("isbn13", "own_ean")
+        .agg(F.count_distinct("SupplierId").alias("suppliers"))
         .where(F.col("suppliers") >= min_suppliers)
     )
     a, b = F.least("EAN", "ReplacementEAN"), F.greatest("EAN", "ReplacementEAN")
@@ -295,10 +295,10 @@ def missing_pairs(
         .distinct()
     )
     degree = linked.groupBy(F.col("low").alias("own_ean")).agg(row_count().alias("links"))
-    with_links = codes.join(degree, "own_ean", "left")
     # Links are counted at their smaller code: a bound on those inside the group.
     need = (
-        with_links.groupBy("isbn13")
+        codes.join(degree, "own_ean", "left")
+        .groupBy("isbn13")
         .agg(row_count().alias("codes"), F.coalesce(F.sum("links"), F.lit(0)).alias("links"))
         .where(F.col("codes") > 1)
         .select(
@@ -307,23 +307,25 @@ def missing_pairs(
         )
     )
     order = (F.col("suppliers").desc(), F.col("own_ean"))
-    slice_rank = F.row_number().over(
-        Window.partitionBy("isbn13", F.pmod(F.xxhash64("own_ean"), F.lit(spread))).orderBy(*order)
-    )
+    slice_rank = F.row_number().over(Window.partitionBy("isbn13", "slice").orderBy(*order))
     group_rank = F.row_number().over(Window.partitionBy("isbn13").orderBy(*order))
+    # The explicit repartition matters: rows that arrive hashed by ISBN would
+    # otherwise count as clustered by (ISBN, slice) and stay in one task.
     leading = (
         codes.join(need, "isbn13")
+        .withColumn("slice", F.pmod(F.xxhash64("own_ean"), F.lit(spread)))
+        .repartition("isbn13", "slice")
         .withColumn("r", slice_rank)
         .where(F.col("r") <= F.col("first_codes"))
         .withColumn("r", group_rank)
         .where(F.col("r") <= F.col("first_codes"))
+        .select("isbn13", "own_ean", "suppliers", "r")
     )
-    first = leading.select("isbn13", F.col("own_ean").alias("e1"), F.col("r").alias("r1"), F.col("name").alias("n1"))
+    first = leading.select("isbn13", F.col("own_ean").alias("e1"), F.col("r").alias("r1"))
     later = leading.select(
         "isbn13",
         F.col("own_ean").alias("e2"),
         F.col("r").alias("r2"),
-        F.col("name").alias("n2"),
         F.col("suppliers").alias("confirmations"),
     )
     pairs = (
@@ -331,16 +333,20 @@ def missing_pairs(
         .where(F.col("r1") < F.col("r2"))
         .withColumns({"low": F.least("e1", "e2"), "high": F.greatest("e1", "e2")})
     )
-    return (
+    best = (
         pairs.join(linked, ["low", "high"], "left_anti")
         .orderBy(F.col("confirmations").desc(), "isbn13", "r2", "r1")
         .limit(k)
-        .select(
-            "isbn13",
-            F.col("low").alias("code_a"),
-            F.col("high").alias("code_b"),
-            F.left(F.when(F.col("e1") < F.col("e2"), F.col("n1")).otherwise(F.col("n2")), F.lit(60)).alias("title"),
-            F.col("confirmations").cast("bigint").alias("confirmations"),
+        .select("isbn13", F.col("low").alias("code_a"), F.col("high").alias("code_b"), "confirmations")
+    )
+    # Names are looked up for the k pairs only, not carried through the shuffles.
+    names = usable.select("isbn13", F.col("own_ean").alias("code_a"), "name")
+    return (
+        best.join(names, ["isbn13", "code_a"])
+        .groupBy("isbn13", "code_a", "code_b")
+        .agg(
+            F.left(F.min("name"), F.lit(60)).alias("title"),
+            F.max("confirmations").cast("bigint").alias("confirmations"),
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,10 +188,13 @@ def tag_base_rate(
     tag: int = SUPPLIER_TAG,
     pattern: str = SUPPLIER_PATTERN,
     min_orders: int = 30,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Losses of orders with a request to a supplier, beside the orders without one.
 
-    An order with requests to several suppliers counts for each of them.
+    An order with requests to several suppliers counts for each of them. The
+    joined (supplier, profit) rows are read three times (twice for the median);
+    ``stage`` may store them in between.
     """
     requests = (
         tags.where((F.col("TagId") == tag) & since(F.col("CreatedOnUtc"), as_of, days + 30))
@@ -202,8 +205,10 @@ def tag_base_rate(
         settled_orders(order_profit, as_of, days)
         .select("CustomerOrderId", F.col("Profit_Actual").alias("profit"))
         .join(requests, "CustomerOrderId", "left")
-        .withColumn("supplier", F.coalesce("supplier", F.lit(BASE)))
+        .select(F.coalesce("supplier", F.lit(BASE)).alias("supplier"), "profit")
     )
+    if stage is not None:
+        orders = stage(orders)
     lost = F.col("profit") < 0
     rates = orders.groupBy("supplier").agg(
         row_count().alias("orders"),

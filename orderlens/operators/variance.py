@@ -207,28 +207,29 @@ def order_tags(tags: DataFrame, *, order_id: int | None = None) -> DataFrame:
     return one.select(*columns).orderBy(F.col("created").desc())
 
 
-def profit_revisions(revisions: DataFrame) -> DataFrame:
+def profit_revisions(revisions: DataFrame, *, slice_by: str = "day") -> DataFrame:
     """Change of profit against the previous revision of the same order.
 
     Revisions are ordered by the time they were replaced; the creation time does
-    not order them. The window runs per order and day, and only the last revision
-    of each (order, day) is carried over to the next day, so an order with very
-    many revisions is split over its days instead of sorted in one task.
+    not order them. The window runs per order and slice of time, and only the last
+    revision of each slice is carried over to the next one, so an order with very
+    many revisions is split over its slices instead of sorted in one task.
+    ``slice_by`` is a unit of date_trunc; take a finer one where days are crowded.
     """
     order = ("DeletedOnUtc", "Profit_Actual", "Notes")
-    dated = revisions.withColumn("day", F.col("DeletedOnUtc").cast("date"))
-    last = dated.groupBy("CustomerOrderId", "day").agg(F.max(F.struct(*order)).alias("last"))
-    by_day = Window.partitionBy("CustomerOrderId").orderBy("day")
+    dated = revisions.withColumn("slice", F.date_trunc(slice_by, "DeletedOnUtc"))
+    last = dated.groupBy("CustomerOrderId", "slice").agg(F.max(F.struct(*order)).alias("last"))
+    by_slice = Window.partitionBy("CustomerOrderId").orderBy("slice")
     carried = last.select(
-        "CustomerOrderId", "day", F.lag(F.col("last")["Profit_Actual"]).over(by_day).alias("carried")
+        "CustomerOrderId", "slice", F.lag(F.col("last")["Profit_Actual"]).over(by_slice).alias("carried")
     )
-    within = Window.partitionBy("CustomerOrderId", "day").orderBy(*order)
+    within = Window.partitionBy("CustomerOrderId", "slice").orderBy(*order)
     previous = F.when(F.col("rn") == 1, F.col("carried")).otherwise(F.col("before"))
     return (
         dated.withColumns(
             {"rn": F.row_number().over(within), "before": F.lag("Profit_Actual").over(within)}
         )
-        .join(carried, ["CustomerOrderId", "day"])
+        .join(carried, ["CustomerOrderId", "slice"])
         .select(
             F.col("CustomerOrderId").alias("order_id"),
             F.col("DeletedOnUtc").alias("changed"),

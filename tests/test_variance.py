@@ -68,6 +68,7 @@ def test_revisions_carry_over_days_in_order(spark):
         rows, "CustomerOrderId bigint, Profit_Actual decimal(18,4), Notes string, DeletedOnUtc timestamp"
     )
     got = variance.profit_revisions(df).collect()
+    assert sorted(map(str, got)) == sorted(map(str, variance.profit_revisions(df, slice_by="hour").collect()))
     change = {(r.order_id, r.notes): r.profit_change for r in got if r.order_id != 9}
     assert change == {(1, "a"): None, (1, "b"): 2.0, (1, "c"): 2.0, (2, "x"): None}
     hot = [r.profit_change for r in got if r.order_id == 9]
