@@ -334,15 +334,13 @@ HIT_PCT = pct(n("hit AND Profit_Actual < 0"), n("hit"))
 BASE_PCT = pct(n("NOT hit AND Profit_Actual < 0"), n("NOT hit"))
 
 
-def rate(flag: str) -> str:
-    return (
-        f"CAST(CAST({n(f'{flag} AND Profit_Actual < 0')} AS DOUBLE) / nullif({n(flag)}, 0) AS DECIMAL(18,8))"
-    )
-
+RATIO = quot(
+    f"{n('hit AND Profit_Actual < 0')} * {n('NOT hit')}", f"{n('hit')} * {n('NOT hit AND Profit_Actual < 0')}", 1
+)
 
 SQL["tag_base_rate_monthly"] = f"""
 SELECT strftime(OrderCreatedOnUtc, '%Y-%m') AS month, {n('hit')} AS tagged_orders, {HIT_PCT} AS tagged_loss_pct,
-       {BASE_PCT} AS base_loss_pct, {quot(rate('hit'), rate('NOT hit'), 1)} AS ratio,
+       {BASE_PCT} AS base_loss_pct, {RATIO} AS ratio,
        {r("CAST(sum(Profit_Actual) FILTER (WHERE hit) AS DOUBLE) / nullif(count(*) FILTER (WHERE hit), 0)")} AS tagged_avg_profit
 FROM ({BASE_RATE}) GROUP BY 1"""
 

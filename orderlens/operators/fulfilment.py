@@ -253,14 +253,17 @@ def tag_base_rate_monthly(
     orders = settled_orders(order_profit, as_of, days).withColumn(
         "month", F.date_format("OrderCreatedOnUtc", "yyyy-MM")
     )
-    hit_rate = F.try_divide(F.col("tagged_losses").cast("decimal(24,4)"), F.col("tagged_orders"))
-    base_rate = F.try_divide(F.col("base_losses").cast("decimal(24,4)"), F.col("base_orders"))
+    exact = lambda c: F.col(c).cast("decimal(19,0)")
+    # (losses / orders) over (losses / orders), as one division of exact products.
+    ratio = F.try_divide(
+        exact("tagged_losses") * exact("base_orders"), exact("tagged_orders") * exact("base_losses")
+    )
     return _base_rate_by(orders, tags, tag, "month").select(
         "month",
         "tagged_orders",
         pct("tagged_losses", "tagged_orders").alias("tagged_loss_pct"),
         pct("base_losses", "base_orders").alias("base_loss_pct"),
-        rounded(F.try_divide(hit_rate.cast("decimal(18,8)"), base_rate.cast("decimal(18,8)")), 1).alias("ratio"),
+        rounded(ratio, 1).alias("ratio"),
         rounded("tagged_profit").alias("tagged_avg_profit"),
     )
 
