@@ -343,7 +343,9 @@ def relative_price(e):
 
 @report
 def bundle_attribution(e):
-    return baskets.bundle_attribution(_relative(e), e.bundle, e.bundle_component)
+    return baskets.bundle_attribution(
+        staged(_relative(e), "relative"), e.bundle, e.bundle_component
+    )
 
 
 @report

@@ -14,7 +14,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     Only where that is unset, as in local tests, a machine-local folder serves;
     a cluster session without the setting is refused.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return f"{root.rstrip('/')}/orderlens/{name}-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
