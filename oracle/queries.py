@@ -596,10 +596,10 @@ FROM bot_request GROUP BY 1, 2"""
 
 SQL["sampled_calibration"] = f"""
 WITH t AS (SELECT data_date, zone, count(*) AS exact, {n('edge_status <> 404')} AS sampled FROM bot_request GROUP BY 1, 2),
-b AS (SELECT data_date, zone, bot, count(*) AS c FROM bot_request WHERE bot IS NOT NULL AND edge_status <> 404 GROUP BY 1, 2, 3),
-f AS (SELECT b.*, sampled, CAST(CAST(exact AS DOUBLE) / sampled AS DECIMAL(18,8)) AS factor FROM b JOIN t USING (data_date, zone))
-SELECT data_date, zone, bot, c AS sampled, {r('factor', 4)} AS factor, {r('factor * c', 1)} AS scaled, {pct('c', 'f.sampled', 2)} AS share_pct
-FROM f"""
+b AS (SELECT data_date, zone, bot, count(*) AS c FROM bot_request WHERE bot IS NOT NULL AND edge_status <> 404 GROUP BY 1, 2, 3)
+SELECT data_date, zone, bot, c AS sampled, {quot('exact', 't.sampled', 4)} AS factor, {quot('c * exact', 't.sampled', 1)} AS scaled,
+       {pct('c', 't.sampled', 2)} AS share_pct
+FROM b JOIN t USING (data_date, zone)"""
 
 # -- trust ---------------------------------------------------------------------
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.classify import first_match
-from ..functions.money import pct, rounded
+from ..functions.money import pct, rounded, share
 
 # Bots and the pattern of their user agent.
 BOT_PATTERNS = (
@@ -118,9 +118,8 @@ def sampled_calibration(crawl: DataFrame, exact_daily: DataFrame) -> DataFrame:
         "data_date", "zone", F.col("sampled").alias("sampled_total")
     )
     exact = exact_daily.select("data_date", "zone", F.col("requests").alias("exact_total"))
-    factor = F.try_divide(
-        F.col("exact_total").cast("decimal(24,4)"), F.col("sampled_total").cast("decimal(24,4)")
-    ).cast("decimal(18,8)")
+    whole = lambda c: F.col(c).cast("decimal(19,0)")
+    scaled = F.try_divide(whole("sampled") * whole("exact_total"), whole("sampled_total"))
     return (
         by_bot.where(is_bot())
         .join(totals, ["data_date", "zone"])
@@ -130,8 +129,8 @@ def sampled_calibration(crawl: DataFrame, exact_daily: DataFrame) -> DataFrame:
             "zone",
             "bot",
             F.col("sampled").cast("bigint").alias("sampled"),
-            rounded(factor, 4).alias("factor"),
-            rounded(factor * F.col("sampled"), 1).alias("scaled"),
+            share("exact_total", "sampled_total", 4).alias("factor"),
+            rounded(scaled, 1).alias("scaled"),
             pct("sampled", "sampled_total", 2).alias("share_pct"),
         )
     )
