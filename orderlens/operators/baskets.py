@@ -16,7 +16,7 @@ from .filters import not_cancelled
 
 # Sentinel keys that mean "no link".
 NO_CODE = ("-1", "")
-CART_EVENTS = ("add_to_cart", "fkwt_add_to_cart")
+CART_EVENTS = ("add_to_cart",)
 
 
 def relative_price(
@@ -215,7 +215,8 @@ def event_funnel(
     """Clicks on the bundle block beside the traffic of the whole shop.
 
     Events are folded per user first, so distinct users are plain counts and a
-    very active user is one row.
+    very active user is one row. A shop with its own cart events adds them to
+    ``cart_events``.
     """
     name = F.col("event_name")
     url = F.lower(event_param("event_params", "page_location"))

@@ -56,11 +56,11 @@ def test_pilot_counts_a_product_once(spark):
     )
     orders, items = sales(
         spark,
-        [(1, "BOL-NL", 1, 30, "b", 2, 7.5, 1), (2, "BOL-NL", 1, 40, "b", 9, 99, 1), (3, "AZ", 1, 30, "b", 9, 99, 1),
-         (4, "BOL-BE", 2, 30, "b", 1, 1, 1), (5, "BOL-NL", 31, 30, "b", 9, 99, 1)],
+        [(1, "WEB-NL", 1, 30, "b", 2, 7.5, 1), (2, "WEB-NL", 1, 40, "b", 9, 99, 1), (3, "AZ", 1, 30, "b", 9, 99, 1),
+         (4, "WEB-BE", 2, 30, "b", 1, 1, 1), (5, "WEB-NL", 31, 30, "b", 9, 99, 1)],
     )
     got = cohorts.pilot_propagation(
-        settings, offers, box, live, orders, items, as_of=T0, market="NL", group="G", our_retailer="me", sales_market="BOL%"
+        settings, offers, box, live, orders, items, as_of=T0, market="NL", group="G", our_retailer="me", sales_market="WEB%"
     ).collect()
     assert [tuple(r) for r in got] == [
         # products, ours, fbr, fbb, no snapshot, in offer, live, undercut, feasible, sold, units, profit, unsold

@@ -112,13 +112,13 @@ def test_weekly_speed_counts_whole_hours_of_closed_weeks(spark):
 def test_base_rate_of_a_supplier(spark):
     orders = spark.createDataFrame([order(k, p) for k, p in ((1, -5), (2, 3), (3, 9), (4, -1), (5, 2))], ORDER)
     tags = spark.createDataFrame(
-        [(1, 1, 35, "było do Libri ", T0), (2, 1, 35, "było do Libri", T0), (3, 2, 35, "było do Libri", T0),
+        [(1, 1, 35, "było do Alpha ", T0), (2, 1, 35, "było do Alpha", T0), (3, 2, 35, "było do Alpha", T0),
          (4, 2, 35, "było do Other", T0), (5, 3, 35, "no supplier here", T0)],
         TAG,
     )
     got = {r.supplier: r for r in fulfilment.tag_base_rate(orders, tags, as_of=T0, min_orders=1).collect()}
-    assert set(got) == {"Libri", "Other", "(base)"}
-    assert (got["Libri"].orders, got["Libri"].loss_pct, got["Libri"].median_profit) == (2, 50.0, -5.0)
+    assert set(got) == {"Alpha", "Other", "(base)"}
+    assert (got["Alpha"].orders, got["Alpha"].loss_pct, got["Alpha"].median_profit) == (2, 50.0, -5.0)
     assert (got["(base)"].orders, got["(base)"].median_profit, got["(base)"].net_result) == (3, 2.0, 10.0)
 
 
