@@ -57,10 +57,5 @@ def sum_when(cond: Column, value: Column | str) -> Column:
     return F.sum(F.when(cond, col(value)).otherwise(F.lit(0).cast(MONEY)))
 
 
-def percent_flag(cond: Column, digits: int = 1) -> Column:
-    """Share of the group's rows that satisfy ``cond``, in percent."""
-    return pct(F.count_if(cond), F.count(F.lit(1)), digits)
-
-
 def row_count() -> Column:
     return F.count(F.lit(1)).cast("bigint")

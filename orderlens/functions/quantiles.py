@@ -100,21 +100,3 @@ def exact_quantiles(
     running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_cum", F.sum("_c").over(running))
     return _pick(ranked, keys, probs, interpolate)
-
-
-def smallest_distinct(
-    df: DataFrame, keys: Sequence[str], value: str, n: int, name: str, sep: str = ","
-) -> DataFrame:
-    """Per key the n smallest distinct values as joined text.
-
-    Distinct values are found by aggregation, then cut to n per key before they
-    are collected, so no list ever grows with the data.
-    """
-    distinct = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(value))
-    return (
-        distinct.withColumn("_rn", rank)
-        .where(F.col("_rn") <= n)
-        .groupBy(*keys)
-        .agg(F.array_join(F.sort_array(F.collect_list(value)), sep).alias(name))
-    )

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.functions.quantiles import exact_quantiles, smallest_distinct
+from orderlens.functions.quantiles import exact_quantiles
 
 
 def disc(values, p):
@@ -72,9 +72,3 @@ def test_no_keys(spark):
 def test_interpolation_needs_the_median(spark):
     with pytest.raises(ValueError):
         exact_quantiles(spark.range(3), [], "id", {"p": 0.9}, interpolate=True)
-
-
-def test_smallest_distinct(spark):
-    df = spark.createDataFrame([("a", str(i % 7)) for i in range(100)] + [("b", None)], "k string, v string")
-    got = {r.k: r.l for r in smallest_distinct(df, ["k"], "v", 3, "l").collect()}
-    assert got == {"a": "0,1,2"}
