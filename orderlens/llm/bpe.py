@@ -3,7 +3,8 @@
 A pre-token is a linked list of symbols. Every neighbouring pair that is a token stands in the bucket of its rank; a
 two-level bitmap says which buckets hold entries, so that find-first-set gives the next rank without a heap over all
 pairs. Entries whose pair has changed meanwhile are recognised by the rank now noted at their position and skipped. The
-work is nearly linear in the length of a pre-token, however long it is.
+work is nearly linear in the length of a pre-token, however long it is. Pre-tokens do not touch one another, so one queue
+serves many of them at once, and the search for the next rank is shared.
 
 Ranks, pattern and file are parameters; no tokenizer is trained. Null text counts as empty and encodes to no ids.
 """
@@ -12,8 +13,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import re
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -21,145 +20,149 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Encoded pieces are remembered in a worker up to this many entries, then forgotten together.
-MEMO_ENTRIES = 400_000
-MEMO_CHARS = 64
+from .common import slices
+from .units import SLICE, Memo, encode_texts, joinable
+
 LEAF_BITS = 8
+# Bytes of new pre-tokens that share one queue.
+QUEUE_BYTES = 1 << 20
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one pre-token: always the pair of lowest rank, the leftmost of them, is merged."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
+def merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
+    """The ids of each pre-token, little-endian. In each, always the leftmost pair of lowest rank is merged."""
+    text = b"".join(pieces)
+    n = len(text)
+    find = ranks.get
+    stop = list(range(1, n + 1))  # end of the symbol that begins at a position
+    back = list(range(-1, n - 1))  # begin of the symbol before it
+    border = bytearray(n + 1)  # begins of pre-tokens
+    at = 0
+    for piece in pieces:
+        border[at] = 1
+        at += len(piece)
+    border[n] = 1
     noted = [-1] * n  # rank of the pair that begins at a position, -1 for none
     buckets: dict[int, list[int]] = {}
+    for i in range(n - 1):
+        if not border[i + 1]:
+            r = find(text[i : i + 2])
+            if r is not None:
+                noted[i] = r
+                if r in buckets:
+                    buckets[r].append(i)
+                else:
+                    buckets[r] = [i]
     leaves: dict[int, int] = {}
     top = 0
-    find = ranks.get
-    for i in range(n - 1):
-        r = find(piece[i : i + 2])
-        if r is not None:
-            noted[i] = r
-            if r in buckets:
-                buckets[r].append(i)  # ascending, hence a heap
-            else:
-                buckets[r] = [i]
-                c = r >> LEAF_BITS
-                leaves[c] = leaves.get(c, 0) | 1 << (r & 255)
-                top |= 1 << c
+    for r in buckets:
+        c = r >> LEAF_BITS
+        leaves[c] = leaves.get(c, 0) | 1 << (r & 255)
+        top |= 1 << c
     while top:
         c = (top & -top).bit_length() - 1
         leaf = leaves[c]
-        low = leaf & -leaf
-        rank = c << LEAF_BITS | low.bit_length() - 1
-        bucket = buckets[rank]
-        lowest = rank
-        while bucket:
-            i = heappop(bucket)
+        rank = lowest = c << LEAF_BITS | (leaf & -leaf).bit_length() - 1
+        bucket = buckets.pop(rank)
+        bucket.sort()
+        used = 0
+        for i in bucket:
+            used += 1
             if noted[i] != rank:
                 continue
-            gone = after[i]
-            end = after[gone]
-            after[i] = end
-            noted[gone] = -1
-            if end < n:
-                before[end] = i
-                r = find(piece[i : after[end]])
-            else:
-                r = None
-            first = before[i]
-            if r is None:
-                noted[i] = -1
-            else:
-                noted[i] = r
+            middle = stop[i]
+            end = stop[i] = stop[middle]
+            noted[middle] = r = -1
+            if not border[end]:
+                back[end] = i
+                r = find(text[i : stop[end]], -1)
+            noted[i] = r
+            if r >= 0:
                 if r in buckets:
-                    heappush(buckets[r], i)
+                    buckets[r].append(i)
                 else:
                     buckets[r] = [i]
-                c = r >> LEAF_BITS
-                leaves[c] = leaves.get(c, 0) | 1 << (r & 255)
-                top |= 1 << c
-                if r < lowest:
-                    lowest = r
-            if first >= 0:
-                r = find(piece[first:end])
-                if r is None:
-                    noted[first] = -1
-                else:
-                    noted[first] = r
-                    if r in buckets:
-                        heappush(buckets[r], first)
-                    else:
-                        buckets[r] = [first]
                     c = r >> LEAF_BITS
                     leaves[c] = leaves.get(c, 0) | 1 << (r & 255)
                     top |= 1 << c
                     if r < lowest:
                         lowest = r
+            if not border[i]:
+                first = back[i]
+                noted[first] = r = find(text[first:end], -1)
+                if r >= 0:
+                    if r in buckets:
+                        buckets[r].append(first)
+                    else:
+                        buckets[r] = [first]
+                        c = r >> LEAF_BITS
+                        leaves[c] = leaves.get(c, 0) | 1 << (r & 255)
+                        top |= 1 << c
+                        if r < lowest:
+                            lowest = r
             if lowest < rank:
                 break
-        if not bucket:
+        if used < len(bucket):
+            buckets[rank] = bucket[used:]  # a merge made a pair of lower rank, which comes first
+        else:
             c = rank >> LEAF_BITS
             leaves[c] &= ~(1 << (rank & 255))
             if not leaves[c]:
                 top &= ~(1 << c)
-    out = []
-    i = 0
-    while i < n:
-        end = after[i]
-        out.append(ranks[piece[i:end]])
-        i = end
+    ids, sizes, i = [], [], 0
+    for piece in pieces:
+        end, before = i + len(piece), len(ids)
+        while i < end:
+            ids.append(ranks[text[i : stop[i]]])
+            i = stop[i]
+        sizes.append(len(ids) - before)
+    packed = np.array(ids, "<u4").tobytes()
+    out, at = [], 0
+    for size in sizes:
+        out.append(packed[at : at + 4 * size])
+        at += 4 * size
     return out
 
 
-# A space between two characters that are not white space always begins a pre-token, whatever stands around it.
-_BLUNT = re.compile(r"\s\s|\A\s|\s\Z")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-def units(text: str) -> list[str]:
-    """The text cut at such spaces, which are left out: every unit but the first has one before it."""
-    return _CUT.split(text) if _BLUNT.search(text) else text.split(" ")
-
-
-class Memo(dict):
-    """Remembers the id bytes of texts met before; ``encode`` gives those of a new one. Very long texts are not kept."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, unit: str) -> bytes:
-        ids = self.encode(unit)
-        if len(unit) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.clear()
-            self[unit] = ids
-        return ids
-
-
 class Codec:
     """Encodes texts to little-endian 32-bit ids and back, by the ranks of one file."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
-        self.pieces = regex.compile(pattern).findall
+        self.split = regex.compile(pattern).findall
         self.tokens = {r: token for token, r in ranks.items()}
-        self.merged = Memo(lambda piece: np.array(merge(piece.encode(), ranks), "<u4").tobytes())
-        self.memo = Memo(lambda unit: self._encode(" " + unit))
-
-    def _encode(self, unit: str) -> bytes:
-        return b"".join(map(self.merged.__getitem__, self.pieces(unit)))
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *rest = units(text)
-        return self._encode(first) + b"".join(map(self.memo.__getitem__, rest))
+        self.pieces = Memo(self._merged)
+        self.units = Memo(self._encoded)
+
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        """A pre-token that is a token is one id; the others go through the queue, a run of them at a time."""
+        out = [self.ranks[p].to_bytes(4, "little") if p in self.ranks else None for p in pieces]
+        run, size = [], 0
+        for i, ids in enumerate(out):
+            if ids is None:
+                run.append(i)
+                size += len(pieces[i])
+            if run and (size >= QUEUE_BYTES or i == len(out) - 1):
+                for j, merged in zip(run, merge([pieces[j] for j in run], self.ranks), strict=True):
+                    out[j] = merged
+                run, size = [], 0
+        return out
+
+    def _encoded(self, units: list[bytes]) -> list[bytes]:
+        """Units that may stand together are split into pre-tokens as one text."""
+        together = [i for i, u in enumerate(units) if joinable(u)]
+        alone = sorted(set(range(len(units))).difference(together))
+        split = [p.encode() for p in self.split(b"".join(units[i] for i in together).decode())]
+        ends = np.cumsum([len(units[i]) for i in together])
+        ends = np.searchsorted(np.cumsum([len(p) for p in split]), ends, "left") + 1
+        parts = [split[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)] if together else []
+        for i in alone:
+            parts.append([p.encode() for p in self.split(units[i].decode())])
+        wanted = list(dict.fromkeys(p for pieces in parts for p in pieces))
+        known = dict(zip(wanted, self.pieces.values(wanted), strict=True))
+        out = [b""] * len(units)
+        for i, pieces in zip(together + alone, parts, strict=True):
+            out[i] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+        return out
 
     def decode(self, ids: bytes | None) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
@@ -178,7 +181,13 @@ def encode(text: Column, ranks_file: str, pattern: str) -> Column:
 
     def run(texts: pa.Array) -> pa.Array:
         known = codec(ranks_file, pattern)
-        return pa.array((known.encode(t.as_py()) for t in texts), pa.binary(), size=len(texts))
+        rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+        parts = []
+        for start, stop, data, offsets in slices(rows, "text", SLICE):
+            ids, at = encode_texts(data, offsets, known.units)
+            buffers = [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(ids)]
+            parts.append(pa.BinaryArray.from_buffers(pa.binary(), stop - start, buffers))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return F.arrow_udf(run, "binary")(text)
 

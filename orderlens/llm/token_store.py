@@ -26,12 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import Memo, units
-from .common import MASK, mix, partitions
+from .common import MASK, mix, partitions, slices
+from .units import SLICE, Memo, cut_ids, encode_texts, joinable
 
 SHARD_IDS = 1 << 20
 GAMMA = 2
 LAYERS = 64
+# Units that the tokenizer gets as one text.
+JOINED = 512
 NULL_HASH = 0x5BF03635D3E2A9C7
 
 SHARD = (
@@ -41,17 +43,35 @@ SHARD = (
 
 
 @functools.cache
-def _memo(tokenizer_file: str, width: int) -> tuple:
+def _memo(tokenizer_file: str) -> Memo:
+    """Encodes with the tokenizers library: units that may stand together as texts of many, the others one by one."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
     tokenizer.encode_special_tokens = True
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    # Byte-level vocabularies write each byte of a token as one character.
+    lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for token, i in vocabulary.items():
+        lengths[i] = len(token)
+
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        return [np.array(row.ids, np.int64) for row in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encoded(units: list[bytes]) -> list[bytes]:
+        together = [i for i, u in enumerate(units) if joinable(u)]
+        alone = sorted(set(range(len(units))).difference(together))
+        out = [b""] * len(units)
+        for i, ids in zip(alone, ids_of([units[i].decode() for i in alone]), strict=True):
+            out[i] = ids.astype("<u4").tobytes()
+        runs = [together[a : a + JOINED] for a in range(0, len(together), JOINED)]
+        for run, ids in zip(runs, ids_of([b"".join(units[i] for i in run).decode() for run in runs]), strict=True):
+            for i, part in zip(run, cut_ids(ids, lengths[ids], [units[i] for i in run]), strict=True):
+                out[i] = part
+        return out
 
-    def ids(unit: str) -> bytes:
-        return np.array(tokenizer.encode(unit, add_special_tokens=False).ids, f"<u{width}").tobytes()
-
-    return ids, Memo(lambda unit: ids(" " + unit))
+    return Memo(encoded)
 
 
 @functools.cache
@@ -178,19 +198,20 @@ def write(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, memo = _memo(tokenizer_file, width)
+        memo = _memo(tokenizer_file)
         seq, size, keys, rows = 0, 0, [], []
         for batch in batches:
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                t = t.as_py() or ""
-                first, *rest = units(t)
-                row = encode(first) + b"".join(map(memo.__getitem__, rest)) + end
-                if keys and size + len(row) > SHARD_IDS * width:
-                    yield pa.RecordBatch.from_pylist([_shard(part, seq, keys, rows, width)], SHARD_ARROW)
-                    seq, size, keys, rows = seq + 1, 0, [], []
-                keys.append(k)
-                rows.append(row)
-                size += len(row)
+            for start, stop, data, offsets in slices(batch, "text", SLICE):
+                ids, at = encode_texts(data, offsets, memo)
+                raw = memoryview(ids.astype(f"<u{width}").tobytes())
+                for i, key in enumerate(batch.column(0).slice(start, stop - start).to_pylist()):
+                    row = bytes(raw[width * at[i] : width * at[i + 1]]) + end
+                    if keys and size + len(row) > SHARD_IDS * width:
+                        yield pa.RecordBatch.from_pylist([_shard(part, seq, keys, rows, width)], SHARD_ARROW)
+                        seq, size, keys, rows = seq + 1, 0, [], []
+                    keys.append(key)
+                    rows.append(row)
+                    size += len(row)
         if keys:
             yield pa.RecordBatch.from_pylist([_shard(part, seq, keys, rows, width)], SHARD_ARROW)
 
