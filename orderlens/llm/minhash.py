@@ -271,7 +271,8 @@ def near_duplicates(
     wanted = found.withColumnRenamed("component", "cluster").withColumnRenamed("node", "doc_id")
     sizes = classes.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
     wanted = staged(wanted.join(sizes, "doc_id"), "wanted")
-    texts = source.where("doc_id is not null").join(wanted, "doc_id").select("cluster", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_shingles")
+    # One way of joining at every size: the plan at scale is the plan of small tables.
+    texts = source.where("doc_id is not null").join(wanted.hint("merge"), "doc_id").select("cluster", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_shingles")
     links = confirmed(texts, shingle, threshold)
     # Rows that share an id but not a class are one node.
     repeated = member.groupBy("doc_id").agg(F.min("head").alias("a"), F.max("head").alias("b")).where("a < b").select("a", "b")
