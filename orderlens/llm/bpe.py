@@ -26,6 +26,8 @@ from .units import SLICE, Memo, encode_texts, joinable
 LEAF_BITS = 8
 # Bytes of new pre-tokens that share one queue.
 QUEUE_BYTES = 1 << 20
+# Pre-tokens remembered in each generation of a worker.
+PIECES = 220_000
 
 
 def merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
@@ -130,7 +132,7 @@ class Codec:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.tokens = {r: token for token, r in ranks.items()}
-        self.pieces = Memo(self._merged)
+        self.pieces = Memo(self._merged, PIECES)
         self.units = Memo(self._encoded)
 
     def _merged(self, pieces: list[bytes]) -> list[bytes]:
