@@ -30,30 +30,37 @@ QUEUE_BYTES = 1 << 20
 PIECES = 220_000
 
 
-def merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
+def first_pairs(ranks: dict[bytes, int]) -> np.ndarray:
+    """Rank of each token of two bytes, by its bytes as a number; -1 for none."""
+    table = np.full(1 << 16, -1, np.int64)
+    for token, r in ranks.items():
+        if len(token) == 2:
+            table[token[0] << 8 | token[1]] = r
+    return table
+
+
+def merge(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray) -> list[bytes]:
     """The ids of each pre-token, little-endian. In each, always the leftmost pair of lowest rank is merged."""
     text = b"".join(pieces)
     n = len(text)
     find = ranks.get
+    raw = np.frombuffer(text, np.uint8).astype(np.int64)
+    starts = np.cumsum([0, *map(len, pieces)])
+    edge = np.zeros(n + 1, bool)  # begins of pre-tokens
+    edge[starts] = True
+    border = edge.tobytes()
     stop = list(range(1, n + 1))  # end of the symbol that begins at a position
     back = list(range(-1, n - 1))  # begin of the symbol before it
-    border = bytearray(n + 1)  # begins of pre-tokens
-    at = 0
-    for piece in pieces:
-        border[at] = 1
-        at += len(piece)
-    border[n] = 1
-    noted = [-1] * n  # rank of the pair that begins at a position, -1 for none
-    buckets: dict[int, list[int]] = {}
-    for i in range(n - 1):
-        if not border[i + 1]:
-            r = find(text[i : i + 2])
-            if r is not None:
-                noted[i] = r
-                if r in buckets:
-                    buckets[r].append(i)
-                else:
-                    buckets[r] = [i]
+    begun = np.full(n, -1, np.int64)
+    begun[:-1] = np.where(edge[1:-1], -1, pairs[raw[:-1] << 8 | raw[1:]])
+    noted = begun.tolist()  # rank of the pair that begins at a position, -1 for none
+    symbols = np.array([ranks[bytes([i])] for i in range(256)])[raw].tolist()
+    held = np.flatnonzero(begun >= 0)
+    held = held[np.argsort(begun[held], kind="stable")]
+    found, at = np.unique(begun[held], return_index=True)
+    edges = [*at.tolist(), len(held)]
+    places = held.tolist()
+    buckets = {r: places[a:b] for r, a, b in zip(found.tolist(), edges[:-1], edges[1:], strict=True)}
     leaves: dict[int, int] = {}
     top = 0
     for r in buckets:
@@ -73,6 +80,8 @@ def merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
                 continue
             middle = stop[i]
             end = stop[i] = stop[middle]
+            symbols[i] = rank
+            symbols[middle] = -1
             noted[middle] = r = -1
             if not border[end]:
                 back[end] = i
@@ -110,26 +119,19 @@ def merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
             leaves[c] &= ~(1 << (rank & 255))
             if not leaves[c]:
                 top &= ~(1 << c)
-    ids, sizes, i = [], [], 0
-    for piece in pieces:
-        end, before = i + len(piece), len(ids)
-        while i < end:
-            ids.append(ranks[text[i : stop[i]]])
-            i = stop[i]
-        sizes.append(len(ids) - before)
-    packed = np.array(ids, "<u4").tobytes()
-    out, at = [], 0
-    for size in sizes:
-        out.append(packed[at : at + 4 * size])
-        at += 4 * size
-    return out
+    ids = np.array(symbols)
+    alive = ids >= 0
+    sizes = np.add.reduceat(alive, starts[:-1], dtype=np.int64)
+    ends = (np.cumsum(sizes) * 4).tolist()
+    packed = ids[alive].astype("<u4").tobytes()
+    return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 class Codec:
     """Encodes texts to little-endian 32-bit ids and back, by the ranks of one file."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+        self.ranks, self.pairs = ranks, first_pairs(ranks)
         self.split = regex.compile(pattern).findall
         self.tokens = {r: token for token, r in ranks.items()}
         self.pieces = Memo(self._merged, PIECES)
@@ -144,7 +146,7 @@ class Codec:
                 run.append(i)
                 size += len(pieces[i])
             if run and (size >= QUEUE_BYTES or i == len(out) - 1):
-                for j, merged in zip(run, merge([pieces[j] for j in run], self.ranks), strict=True):
+                for j, merged in zip(run, merge([pieces[j] for j in run], self.ranks, self.pairs), strict=True):
                     out[j] = merged
                 run, size = [], 0
         return out
