@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Units remembered in each of two generations of a worker. When the young one is full it becomes the old one.
-MEMO_ENTRIES = 420_000
+MEMO_ENTRIES = 300_000
 MEMO_BYTES = 64
 # Text whose units are looked up together.
 SLICE = 4 << 20
