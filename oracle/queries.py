@@ -84,7 +84,7 @@ FROM losses, (VALUES (-50), (-100), (-1000), (-10000), (-50000)) v(t) GROUP BY t
 SQL["loss_patterns"] = f"""
 SELECT g.cause, any_value(cause_label) AS cause_label, count(*) AS orders, {r('sum(Profit_Actual)')} AS loss,
        {avg('Profit_Actual')} AS avg_loss, {r('min(Profit_Actual)')} AS worst_loss,
-       {markets(3, 'losses', 'cause')} AS markets
+       {markets(6, 'losses', 'cause')} AS markets
 FROM losses g JOIN cause_names c ON g.cause = c.cause GROUP BY g.cause"""
 
 SQL["loss_by_tag"] = f"""
@@ -137,7 +137,7 @@ SELECT coalesce(ShippingCountryIso2, '??') AS country, count(*) AS orders,
        {pct(n('Profit_Actual < 0'), n())} AS loss_pct, {r('sum(Profit_Actual)', 0)} AS result,
        {avg('Profit_Actual')} AS avg_per_order, {n('Profit_Actual < 0 AND Profit_Estimated <= 0')} AS planned_losses,
        {n('Profit_Actual < 0')} AS losses
-FROM settled WHERE Profit_Actual < 20000
+FROM settled
 GROUP BY 1 HAVING count(*) >= 5 AND round(sum(Profit_Actual), 0) < 0"""
 
 SQL["loss_bands"] = f"""
@@ -254,7 +254,7 @@ FROM order_profit_tag"""
 
 SQL["profit_revisions"] = f"""
 SELECT CustomerOrderId AS order_id, DeletedOnUtc AS changed, {r('Profit_Actual')} AS profit,
-       {r('Profit_Actual - lag(Profit_Actual) OVER (PARTITION BY CustomerOrderId ORDER BY DeletedOnUtc, Profit_Actual, Notes)')} AS profit_change,
+       {r('Profit_Actual - lag(Profit_Actual) OVER (PARTITION BY CustomerOrderId ORDER BY DeletedOnUtc NULLS FIRST, Profit_Actual NULLS FIRST, Notes NULLS FIRST)')} AS profit_change,
        Notes AS notes
 FROM order_profit_revision"""
 
@@ -363,10 +363,10 @@ SELECT strftime(ORDER_CREATED, '%Y-%m') AS month, coalesce(ShipDeadlineSource, '
 FROM ({FULFILLED}) GROUP BY 1, 2"""
 
 SQL["supplier_upgrade_rate"] = f"""
-SELECT left(supplier, 22) AS supplier, count(*) AS orders, {n('up')} AS upgraded, {pct(n('up'), n())} AS upgraded_pct,
+SELECT left(whole_name, 22) AS supplier, count(*) AS orders, {n('up')} AS upgraded, {pct(n('up'), n())} AS upgraded_pct,
        {avg('goods', 1)} AS goods_hours, {pct(n('late > 0'), n())} AS shipped_late_pct
-FROM ({FULFILLED}) WHERE GOODS_ORDERED IS NOT NULL
-GROUP BY 1 HAVING count(*) >= 20 ORDER BY upgraded_pct DESC, supplier LIMIT 20"""
+FROM (SELECT *, supplier AS whole_name FROM ({FULFILLED})) WHERE GOODS_ORDERED IS NOT NULL
+GROUP BY whole_name HAVING count(*) >= 20 ORDER BY upgraded_pct DESC, whole_name LIMIT 20"""
 
 # -- cohorts -----------------------------------------------------------------
 
@@ -784,8 +784,6 @@ SQL["sync_table"] = per_partition(
 )
 SQL["replace_days"] = f"""
 SELECT data_date, count(*) AS "rows", {big('sum(requests)')} AS requests FROM ({CRAWL}) GROUP BY 1"""
-SQL["registry_publish"] = f"""
-SELECT target, source, watermark, max_age_days, TIMESTAMP '2001-08-02' AS written_at FROM {REGISTRY}"""
 SQL["sync_all"] = """
 SELECT 'orders' AS target, 'reload' AS mode, count(*) AS "rows", false AS failed FROM orders
 UNION ALL SELECT 'customer', NULL, NULL, true

@@ -364,7 +364,8 @@ def rule_categorise(
     A rule is (counterparty pattern, text pattern, category) with LIKE patterns;
     None matches anything. Rules are configuration, so they are compiled into one
     expression and invoices are read once, without a pattern join. Correction
-    invoices (number ending in the suffix) are dropped, repeated ids kept once.
+    invoices (number ending in the suffix) are dropped, those without a number
+    stay, repeated ids are kept once.
     """
     def fits(who: str | None, what: str | None) -> Column:
         cond = F.lit(True)
@@ -375,7 +376,8 @@ def rule_categorise(
         return cond
 
     category = first_match([(fits(who, what), name) for who, what, name in rules], default)
-    kept = invoices.where(~F.col("NumerFaktury").endswith(correction_suffix))
+    correction = F.coalesce(F.col("NumerFaktury").endswith(correction_suffix), F.lit(False))
+    kept = invoices.where(~correction)
     return (
         kept.groupBy("InvoiceId")
         .agg(F.max(F.struct("NumerFaktury", "counterparty", "text", "amount")).alias("i"))

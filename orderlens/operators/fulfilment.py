@@ -338,10 +338,11 @@ def supplier_upgrade_rate(
     k: int = 20,
     name_length: int = 22,
 ) -> DataFrame:
-    """Upgrade rate per supplier among orders that needed a purchase; the k highest."""
-    supplier = F.left(
-        F.coalesce("GOODS_RECEIVED_supplier", "GOODS_ORDERED_supplier"), F.lit(name_length)
-    )
+    """Upgrade rate per supplier among orders that needed a purchase; the k highest.
+
+    Suppliers are told apart by their whole name; only the shown text is cut to ``name_length``.
+    """
+    supplier = F.coalesce("GOODS_RECEIVED_supplier", "GOODS_ORDERED_supplier")
     upgraded = F.count_if("upgraded")
     return (
         _fulfilled(fulfilment, tags, first, until, tag)
@@ -357,4 +358,5 @@ def supplier_upgrade_rate(
         .where(F.col("orders") >= min_orders)
         .orderBy(F.col("upgraded_pct").desc(), "supplier")
         .limit(k)
+        .withColumn("supplier", F.left("supplier", F.lit(name_length)))
     )

@@ -27,15 +27,21 @@ def high_watermark(target: DataFrame, column: str, *, overlap_minutes: int = OVE
     return target.agg(mark.alias("mark"))
 
 
-def delta_extract(source: DataFrame, column: str, mark: dt.datetime | None) -> DataFrame:
-    """Rows changed at or after the mark; everything when there is no mark.
+def stored_mark(target: DataFrame, column: str, *, overlap_minutes: int = OVERLAP_MINUTES) -> int | None:
+    """The mark in microseconds since 1970, so that it does not depend on the driver's time zone."""
+    return high_watermark(target, column, overlap_minutes=overlap_minutes).select(F.unix_micros("mark")).first()[0]
+
+
+def delta_extract(source: DataFrame, column: str, mark: dt.datetime | int | None) -> DataFrame:
+    """Rows changed at or after the mark; everything when there is no mark. An int counts microseconds since 1970.
 
     The mark is a literal, so the bound reaches the scan. Rows with a NULL
     watermark never come in a delta; the reconcile report exposes them.
     """
     if mark is None:
         return source
-    return source.where(F.col(column) >= ts(mark))
+    bound = F.timestamp_micros(F.lit(mark)) if isinstance(mark, int) else ts(mark)
+    return source.where(F.col(column) >= bound)
 
 
 def key_chunks(source: DataFrame, key: str, *, size: int) -> DataFrame:
@@ -290,7 +296,7 @@ def sync_table(
     if reload:
         return contract.target, "reload", full_reload(clean, contract, path, allow_empty=allow_empty)
     target = read_layout(spark, path, clean.schema)
-    mark = high_watermark(target, contract.watermark).first()["mark"]
+    mark = stored_mark(target, contract.watermark)
     delta = delta_extract(source, contract.watermark, mark)
     clean = mask_pii(apply_contract(delta, contract, casts), contract.mask)
     staging = f"{root}/{contract.target}_staging"
@@ -312,6 +318,5 @@ def sync_all(
         try:
             summary.append((*sync_table(contract, source, root, **options), None))
         except Exception as failure:  # every table stands alone
-            first_line = (str(failure).splitlines() or [type(failure).__name__])[0]
-            summary.append((contract.target, None, None, first_line))
+            summary.append((contract.target, None, None, str(failure) or type(failure).__name__))
     return spark.createDataFrame(summary, SUMMARY)

@@ -156,15 +156,16 @@ def loss_by_tag(
 ) -> DataFrame:
     """Per tag: the losing orders that carry it, each counted once per tag.
 
-    Tags are reduced to the newest note per (order, tag) before the join. The
+    Only tags of losing orders are aggregated, to the newest note per (order, tag). The
     example is the smallest of those notes, so it does not change between runs.
     """
-    newest = tags.groupBy("CustomerOrderId", "TagId").agg(
-        F.max_by("Note", F.struct("CreatedOnUtc", "Id", "Note")).alias("note")
-    )
     losses = losing_orders(order_profit, as_of, days).select(
         "CustomerOrderId", F.col("IdBookstore").alias("market"), "Profit_Actual"
     )
+    losing = tags.join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
+    newest = losing.groupBy("CustomerOrderId", "TagId").agg(
+        F.max_by("Note", F.struct("CreatedOnUtc", "Id", "Note")).alias("note")
+    )
     pairs = losses.join(newest, "CustomerOrderId")
     by_market = pairs.groupBy(F.col("TagId").alias("tag"), "market").agg(
         row_count().alias("n"), F.sum("Profit_Actual").alias("loss"), F.min("note").alias("note")
@@ -204,10 +205,11 @@ def tag_cooccurrence(
     The contrast to :func:`loss_by_tag`: repeated tags weigh an order repeatedly.
     The repeats are counted per (order, tag) first, so the join sees each pair once.
     """
-    repeats = tags.groupBy("CustomerOrderId", "TagId").agg(
+    losses = losing_orders(order_profit, as_of, days).select("CustomerOrderId", "Profit_Actual")
+    losing = tags.join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
+    repeats = losing.groupBy("CustomerOrderId", "TagId").agg(
         row_count().alias("rows"), F.min("Note").alias("note"), F.min("Source").alias("source")
     )
-    losses = losing_orders(order_profit, as_of, days).select("CustomerOrderId", "Profit_Actual")
     return (
         losses.join(repeats, "CustomerOrderId")
         .groupBy(F.col("TagId").alias("tag"))

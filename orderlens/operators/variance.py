@@ -215,21 +215,24 @@ def profit_revisions(revisions: DataFrame, *, slice_by: str = "day") -> DataFram
     revision of each slice is carried over to the next one, so an order with very
     many revisions is split over its slices instead of sorted in one task.
     ``slice_by`` is a unit of date_trunc; take a finer one where days are crowded.
+    A revision without a time counts as the earliest; within a time NULL values come first.
     """
     order = ("DeletedOnUtc", "Profit_Actual", "Notes")
     dated = revisions.withColumn("slice", F.date_trunc(slice_by, "DeletedOnUtc"))
     last = dated.groupBy("CustomerOrderId", "slice").agg(F.max(F.struct(*order)).alias("last"))
     by_slice = Window.partitionBy("CustomerOrderId").orderBy("slice")
     carried = last.select(
-        "CustomerOrderId", "slice", F.lag(F.col("last")["Profit_Actual"]).over(by_slice).alias("carried")
+        F.col("CustomerOrderId").alias("_order"), F.col("slice").alias("_slice"), F.lag(F.col("last")["Profit_Actual"]).over(by_slice).alias("carried")
     )
+    # Null-safe on both keys: a revision without a time or an order is a row like any other.
+    same = F.col("_order").eqNullSafe(F.col("CustomerOrderId")) & F.col("_slice").eqNullSafe(F.col("slice"))
     within = Window.partitionBy("CustomerOrderId", "slice").orderBy(*order)
     previous = F.when(F.col("rn") == 1, F.col("carried")).otherwise(F.col("before"))
     return (
         dated.withColumns(
             {"rn": F.row_number().over(within), "before": F.lag("Profit_Actual").over(within)}
         )
-        .join(carried, ["CustomerOrderId", "slice"])
+        .join(carried, same)
         .select(
             F.col("CustomerOrderId").alias("order_id"),
             F.col("DeletedOnUtc").alias("changed"),

@@ -81,8 +81,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], *, max_links: int =
             summary.append((check.name, check.description, n, n == 0 and check.silent_when_empty, None))
             parts.append(part)
         except Exception as failure:  # one check must not stop the report
-            first_line = (str(failure).splitlines() or [type(failure).__name__])[0][:120]
-            summary.append((check.name, check.description, None, False, first_line))
+            summary.append((check.name, check.description, None, False, str(failure) or type(failure).__name__))
     rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], ROWS)
     rank = F.row_number().over(Window.partitionBy("check").orderBy("link"))
     links = (
