@@ -25,9 +25,9 @@ from .units import SLICE, Memo, encode_texts, joinable
 
 LEAF_BITS = 8
 # Bytes of new pre-tokens that share one queue.
-QUEUE_BYTES = 1 << 18
+QUEUE_BYTES = 1 << 19
 # Pre-tokens remembered in each generation of a worker.
-PIECES = 150_000
+PIECES = 200_000
 
 
 def first_pairs(ranks: dict[bytes, int]) -> np.ndarray:

@@ -8,10 +8,10 @@ import numpy as np
 import pyarrow as pa
 
 # Units remembered in each of two generations of a worker. When the young one is full it becomes the old one.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 500_000
 MEMO_BYTES = 64
 # Text whose units are looked up together.
-SLICE = 4 << 20
+SLICE = 5 << 20
 
 # Bytes that may not stand beside a cut: ASCII white space and separators.
 _BLANK = np.zeros(256, bool)
