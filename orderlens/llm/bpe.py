@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bounded_batches, slices
 from .units import SLICE, Memo, encode_texts, joinable
 
 LEAF_BITS = 8
@@ -211,6 +211,7 @@ def encoded(docs: DataFrame, ranks_file: str, pattern: str, *, key: str = "doc_i
 
     An empty or null text has empty ids. A null key stays null.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key), encode(F.col(text), ranks_file, pattern).alias("ids"))
     return rows.withColumn("decoded", decode(F.col("ids"), ranks_file, pattern))
 

@@ -69,6 +69,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows that Spark hands to a Python worker at once, for columns of whole texts.
+TEXT_ROWS = 2_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session hands at most ``TEXT_ROWS`` rows to a Python worker at once, which bounds the memory of
+    both sides. A smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= TEXT_ROWS:
+        spark.conf.set(name, TEXT_ROWS)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
