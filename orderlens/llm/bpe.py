@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, slices
-from .units import SLICE, Memo, encode_texts, joinable
+from .units import MEMO_ENTRIES, SLICE, Memo, encode_texts, joinable
 
 LEAF_BITS = 8
 # Bytes of new pre-tokens that share one queue.
@@ -130,12 +130,12 @@ def merge(pieces: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray) -> li
 class Codec:
     """Encodes texts to little-endian 32-bit ids and back, by the ranks of one file."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, units: int = MEMO_ENTRIES, pieces: int = PIECES):
         self.ranks, self.pairs = ranks, first_pairs(ranks)
         self.split = regex.compile(pattern).findall
         self.tokens = {r: token for token, r in ranks.items()}
-        self.pieces = Memo(self._merged, PIECES)
-        self.units = Memo(self._encoded)
+        self.pieces = Memo(self._merged, pieces)
+        self.units = Memo(self._encoded, units)
 
     def _merged(self, pieces: list[bytes]) -> list[bytes]:
         """A pre-token that is a token is one id; the others go through the queue, a run of them at a time."""
@@ -173,18 +173,23 @@ class Codec:
 
 
 @functools.cache
-def codec(ranks_file: str, pattern: str) -> Codec:
+def codec(ranks_file: str, pattern: str, units: int = MEMO_ENTRIES, pieces: int = PIECES) -> Codec:
     """Read in each worker, where the file lies as on the driver."""
     with open(ranks_file, "rb") as lines:
         pairs = (line.split() for line in lines)
-        return Codec({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
+        return Codec({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern, units, pieces)
 
 
-def encode(text: Column, ranks_file: str, pattern: str) -> Column:
-    """Binary column of the ids of each text as little-endian unsigned 32-bit integers."""
+def encode(
+    text: Column, ranks_file: str, pattern: str, *, units: int = MEMO_ENTRIES, pieces: int = PIECES
+) -> Column:
+    """Binary column of the ids of each text as little-endian unsigned 32-bit integers.
+
+    ``units`` and ``pieces`` are what a worker remembers in each generation; they change its memory and speed, not the ids.
+    """
 
     def run(texts: pa.Array) -> pa.Array:
-        known = codec(ranks_file, pattern)
+        known = codec(ranks_file, pattern, units, pieces)
         rows = pa.RecordBatch.from_arrays([texts], names=["text"])
         parts = []
         for start, stop, data, offsets in slices(rows, "text", SLICE):
@@ -196,24 +201,35 @@ def encode(text: Column, ranks_file: str, pattern: str) -> Column:
     return F.arrow_udf(run, "binary")(text)
 
 
-def decode(ids: Column, ranks_file: str, pattern: str) -> Column:
-    """Binary column of the bytes that the ids stand for."""
+def decode(
+    ids: Column, ranks_file: str, pattern: str, *, units: int = MEMO_ENTRIES, pieces: int = PIECES
+) -> Column:
+    """Binary column of the bytes that the ids stand for. It shares the tables of an encoder with the same settings."""
 
     def run(rows: pa.Array) -> pa.Array:
-        known = codec(ranks_file, pattern)
+        known = codec(ranks_file, pattern, units, pieces)
         return pa.array((known.decode(r.as_py()) for r in rows), pa.binary(), size=len(rows))
 
     return F.arrow_udf(run, "binary")(ids)
 
 
-def encoded(docs: DataFrame, ranks_file: str, pattern: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded(
+    docs: DataFrame,
+    ranks_file: str,
+    pattern: str,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    units: int = MEMO_ENTRIES,
+    pieces: int = PIECES,
+) -> DataFrame:
     """key, ids, decoded for every row of ``docs``; repeated rows are encoded each, other columns are not read.
 
     An empty or null text has empty ids. A null key stays null.
     """
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(key), encode(F.col(text), ranks_file, pattern).alias("ids"))
-    return rows.withColumn("decoded", decode(F.col("ids"), ranks_file, pattern))
+    rows = docs.select(F.col(key), encode(F.col(text), ranks_file, pattern, units=units, pieces=pieces).alias("ids"))
+    return rows.withColumn("decoded", decode(F.col("ids"), ranks_file, pattern, units=units, pieces=pieces))
 
 
 def digests(rows: DataFrame, *, key: str = "doc_id") -> DataFrame:
