@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 PROFILE = 300
 SAMPLE_ROWS = 1500
 NONE = "und"
@@ -148,6 +150,7 @@ class Profiles:
 
 def learn(labelled: DataFrame, *, key: str, text: str, label: str, sample_rows: int = SAMPLE_ROWS) -> Profiles:
     """Profiles from rows whose label is not null. The driver gets ``PROFILE`` n-grams of each language, no more."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
