@@ -58,8 +58,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    # The workers of earlier stages still hold their tables, so less is remembered here than by the encoder alone.
-    rows = bpe.encoded(docs, ranks, pattern, units=250_000, pieces=100_000)
+    # Other stages need the workers too, so less is remembered here than by the encoder alone, and within a task only.
+    rows = bpe.encoded(docs, ranks, pattern, units=250_000, pieces=100_000, keep=False)
     return bpe.digests(rows)
 
 

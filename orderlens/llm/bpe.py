@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -137,6 +138,12 @@ class Codec:
         self.pieces = Memo(self._merged, pieces)
         self.units = Memo(self._encoded, units)
 
+    def forget(self) -> None:
+        """Gives the memory of both memos back."""
+        self.units.forget()
+        self.pieces.forget()
+        pa.default_memory_pool().release_unused()
+
     def _merged(self, pieces: list[bytes]) -> list[bytes]:
         """A pre-token that is a token is one id; the others go through the queue, a run of them at a time."""
         out = [self.ranks[p].to_bytes(4, "little") if p in self.ranks else None for p in pieces]
@@ -181,15 +188,15 @@ def codec(ranks_file: str, pattern: str, units: int = MEMO_ENTRIES, pieces: int
 
 
 def encode(
-    text: Column, ranks_file: str, pattern: str, *, units: int = MEMO_ENTRIES, pieces: int = PIECES
+    text: Column, ranks_file: str, pattern: str, *, units: int = MEMO_ENTRIES, pieces: int = PIECES, keep: bool = True
 ) -> Column:
     """Binary column of the ids of each text as little-endian unsigned 32-bit integers.
 
-    ``units`` and ``pieces`` are what a worker remembers in each generation; they change its memory and speed, not the ids.
+    ``units`` and ``pieces`` are what a worker remembers in each generation, and ``keep`` whether beyond a task; they
+    change its memory and speed, not the ids.
     """
 
-    def run(texts: pa.Array) -> pa.Array:
-        known = codec(ranks_file, pattern, units, pieces)
+    def ids_of(texts: pa.Array, known: Codec) -> pa.Array:
         rows = pa.RecordBatch.from_arrays([texts], names=["text"])
         parts = []
         for start, stop, data, offsets in slices(rows, "text", SLICE):
@@ -198,6 +205,15 @@ def encode(
             parts.append(pa.BinaryArray.from_buffers(pa.binary(), stop - start, buffers))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = codec(ranks_file, pattern, units, pieces)
+        try:
+            for texts in batches:
+                yield ids_of(texts, known)
+        finally:
+            if not keep:
+                known.forget()
+
     return F.arrow_udf(run, "binary")(text)
 
 
@@ -222,13 +238,14 @@ def encoded(
     text: str = "text",
     units: int = MEMO_ENTRIES,
     pieces: int = PIECES,
+    keep: bool = True,
 ) -> DataFrame:
     """key, ids, decoded for every row of ``docs``; repeated rows are encoded each, other columns are not read.
 
     An empty or null text has empty ids. A null key stays null.
     """
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(key), encode(F.col(text), ranks_file, pattern, units=units, pieces=pieces).alias("ids"))
+    rows = docs.select(F.col(key), encode(F.col(text), ranks_file, pattern, units=units, pieces=pieces, keep=keep).alias("ids"))
     return rows.withColumn("decoded", decode(F.col("ids"), ranks_file, pattern, units=units, pieces=pieces))
 
 

@@ -64,6 +64,9 @@ class Memo:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def values(self, wanted: list[bytes]) -> list[bytes]:
         """The ids of distinct strings."""
         young, old = self.young, self.old
