@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -185,22 +186,108 @@ def read_layout(spark: SparkSession, path: str, schema: T.StructType | None = No
 def full_reload(
     df: DataFrame, contract: TableContract, path: str, *, allow_empty: bool = False
 ) -> int:
-    """Replaces the whole table, one row per key. An empty source is an error unless allowed."""
-    rows = dedup_latest(df, contract.key, contract.watermark) if contract.key else df
-    if not allow_empty and rows.isEmpty():
+    """Replaces the whole table, one row per key. An empty source is an error unless allowed.
+
+    The new table is written beside the old one, which stays readable meanwhile,
+    and takes its place by renaming. A run that dies is finished, or its
+    unfinished copy removed, by ``settle``.
+    """
+    spark = df.sparkSession
+    settle(spark, path)
+    if not allow_empty and df.isEmpty():
         raise ContractError(f"{contract.target}: source is empty, the table was not replaced")
-    write_layout(rows, contract, path)
-    return read_layout(df.sparkSession, path, rows.schema).count()
+    rows = dedup_latest(df, contract.key, contract.watermark) if contract.key else df
+    write_layout(rows, contract, path + NEXT)
+    _declare_ready(spark, path + NEXT, [])
+    settle(spark, path)
+    return read_layout(spark, path, rows.schema).count()
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+# Beside a table: its replacement, the table that it replaces, and the partitions of a merge.
+NEXT, LAST, MERGE = "_next", "_last", "_merge"
+READY = "_ready"
+
+
+def _files(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _files(spark, path)
+    return fs.exists(p)
 
 
 def _drop_directory(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _files(spark, path)
+    fs.delete(p, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _files(spark, source)
+    if not fs.rename(p, _files(spark, target)[1]):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _part_directories(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition directories; as many as the calendar has partitions."""
+    fs, p = _files(spark, path)
+    names = (s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    return [n for n in names if n.startswith(f"{PART}=")]
+
+
+def _declare_ready(spark: SparkSession, path: str, emptied: Sequence[str]) -> None:
+    """Marks a written copy as complete; ``emptied`` names partitions that lose their last row."""
+    fs, p = _files(spark, f"{path}/{READY}.tmp")
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(sorted(emptied)).encode()))
+    out.close()
+    _move(spark, f"{path}/{READY}.tmp", f"{path}/{READY}")
+
+
+def _emptied(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _files(spark, f"{path}/{READY}")
+    stream = fs.open(p)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Puts completely written rows in their place and removes what a dead run left unfinished.
+
+    Called before and after every write. Each step can be repeated, so it does not
+    matter where an earlier call ended. One writer per table is assumed.
+    """
+    if table_exists(spark, f"{path}{NEXT}/{READY}"):
+        if table_exists(spark, path):
+            _drop_directory(spark, path + LAST)
+            _move(spark, path, path + LAST)
+        _move(spark, path + NEXT, path)
+        _drop_directory(spark, path + MERGE)  # of the table that was replaced
+    elif not table_exists(spark, path) and table_exists(spark, path + LAST):
+        _move(spark, path + LAST, path)
+    if table_exists(spark, f"{path}{MERGE}/{READY}"):
+        for name in _part_directories(spark, path + MERGE):
+            _drop_directory(spark, f"{path}/{name}")
+            _move(spark, f"{path}{MERGE}/{name}", f"{path}/{name}")
+        for name in _emptied(spark, path + MERGE):
+            _drop_directory(spark, f"{path}/{name}")
+    for left in (NEXT, LAST, MERGE):
+        _drop_directory(spark, path + left)
+
+
+def _key_range(keys: DataFrame) -> Column:
+    """Smallest to largest of each whole-number or text key column, as literals that reach the scan."""
+    plain = [f.name for f in keys.schema if isinstance(f.dataType, (T.IntegralType, T.StringType))]
+    if not plain:
+        return F.lit(True)
+    ends = keys.agg(*[g(c).alias(f"{n}_{i}") for i, c in enumerate(plain) for n, g in (("low", F.min), ("high", F.max))]).first()
+    cond = F.lit(True)
+    for i, c in enumerate(plain):
+        cond &= F.col(c).between(ends[f"low_{i}"], ends[f"high_{i}"])
+    return cond
 
 
 def _in_parts(values: set[str | None]) -> Column:
@@ -213,32 +300,27 @@ def upsert_into(delta: DataFrame, contract: TableContract, path: str) -> None:
     """Merges a delta into a stored table and rewrites only touched partitions.
 
     Touched are the partitions of the new rows and those that hold an old version
-    of their keys; the latter are found from the key column alone. Only
-    partition values reach the driver. A partition whose last row moved away is
-    removed after the new files are in place; repeating the call repeats the
-    removal, so a run that died in between is healed by the next one.
+    of their keys; the latter are found from the key columns alone, within the
+    range of the delta's keys. Only partition values and that range reach the
+    driver. The new partitions are written beside the table first, with the names
+    of those that lose their last row; ``settle`` then puts them in place, in this
+    run or, if it dies, in the next one. No key is doubled or lost for good.
     """
     spark = delta.sparkSession
+    settle(spark, path)
     key = list(contract.key)
     target = read_layout(spark, path, delta.schema)
     columns = [c for c in target.columns if c != PART]
     fresh = dedup_latest(delta.select(*columns), key, contract.watermark)
-    keys = fresh.select(*key).withColumn("_hit", F.lit(True))
-    held = (
-        target.select(*key, PART)
-        .join(keys, key, "left")
-        .groupBy(PART)
-        .agg(F.count("_hit").alias("replaced"), F.count(F.lit(1)).alias("rows"))
-        .where(F.col("replaced") > 0)
-        .collect()
-    )
-    arriving = {r[0] for r in fresh.select(partition_value(contract).alias(PART)).distinct().collect()}
-    touched = arriving | {r[PART] for r in held}
-    emptied = {r[PART] for r in held if r["replaced"] == r["rows"]} - arriving
+    keys = fresh.select(*key)
+    held = target.where(_key_range(keys)).join(keys, key, "left_semi").select(PART).distinct().collect()
+    arriving = fresh.select(partition_value(contract).alias(PART)).distinct().collect()
+    touched = {r[PART] for r in [*held, *arriving]}
     kept = target.where(_in_parts(touched)).join(keys, key, "left_anti").select(*columns)
-    write_layout(kept.unionByName(fresh), contract, path, mode="dynamic")
-    for value in emptied:
-        _drop_directory(spark, f"{path}/{PART}={NULL_PART if value is None else value}")
+    write_layout(kept.unionByName(fresh), contract, path + MERGE)
+    names = {f"{PART}={NULL_PART if value is None else value}" for value in touched}
+    _declare_ready(spark, path + MERGE, names.difference(_part_directories(spark, path + MERGE)))
+    settle(spark, path)
 
 
 def replace_days(batch: DataFrame, path: str, *, day_column: str = "data_date", sort: Sequence[str] = ()) -> None:
@@ -286,6 +368,7 @@ def sync_table(
     spark = source.sparkSession
     path = f"{root}/{contract.target}"
     contract.check(source)
+    settle(spark, path)
     reload = (
         contract.full_reload
         or not contract.key

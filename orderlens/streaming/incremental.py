@@ -31,6 +31,7 @@ def merge_batch(
     if staged.isEmpty():
         return
     path = f"{root}/{contract.target}"
+    ingest.settle(spark, path)
     if ingest.table_exists(spark, path):
         ingest.upsert_into(staged, contract, path)
     else:
