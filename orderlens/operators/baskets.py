@@ -96,6 +96,8 @@ def bundle_hits(
     )
     members = pairs.select(
         "BundleId",
+        "ean1",
+        "ean2",
         F.inline(
             F.array(
                 F.struct(F.lit(1).alias("slot"), F.col("ean1").alias("ean")),
@@ -122,7 +124,8 @@ def bundle_hits(
             some(slot(2) & F.col("in_band")).alias("off2"),
             some(slot(1) & ~F.col("in_band")).alias("not1"),
             some(slot(2) & ~F.col("in_band")).alias("not2"),
-            F.sum("is_full").alias("pair_full"),
+            # Once per line: a bundle of one product twice meets each line in both slots.
+            F.sum(F.when(slot(1) | (F.col("ean1") != F.col("ean2")), F.col("is_full")).otherwise(0)).alias("pair_full"),
         )
         .where(F.col("has1") & F.col("has2"))
     )

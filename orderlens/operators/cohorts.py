@@ -59,7 +59,9 @@ def pilot_propagation(
     """One row: did the pilot's forced prices reach the market, and did they sell?
 
     Every side is reduced to one row per product before the joins, so a product
-    counts once however many offers it has. ``sales_market`` is a LIKE pattern.
+    counts once however many offers it has. An offer belongs to a product by its
+    SKU, whatever its own EAN. ``sales_market`` is a LIKE pattern, by default the
+    pilot's own market.
     """
     sellable = (
         price_offer.where(
@@ -87,7 +89,9 @@ def pilot_propagation(
         ["RetailerId", "FulfilmentMethod", "BestOfferPrice", "HasOffer", "LastCheckedUtc"],
     ).withColumnRenamed("Ean", "OurEan")
     listed = latest_per_key(
-        price_offer.where((F.col("BookstoreId") == market) & (F.col("SKU") == F.col("OurEan"))),
+        price_offer.where(F.col("BookstoreId") == market)
+        .withColumn("OurEan", F.col("SKU"))
+        .join(pilot, "OurEan", "left_semi"),
         ["OurEan"],
         ["LastUpdatedOnUtc", "Id"],
         ["Price", "PriceMin"],
@@ -97,9 +101,10 @@ def pilot_propagation(
         .groupBy(F.col("Ean").alias("OurEan"))
         .agg(F.min("BundlePrice").alias("live_price"))
     )
-    in_market = F.col("IdBookstore").like(sales_market) if sales_market else F.lit(True)
+    in_market = F.col("IdBookstore").like(sales_market) if sales_market else F.col("IdBookstore") == market
+    piloted = items.join(pilot.select(F.col("OurEan").alias("EAN")), "EAN", "left_semi")
     sold = (
-        _sales(order_profit, items, since(F.col("OrderCreatedOnUtc"), as_of, days) & in_market, [])
+        _sales(order_profit, piloted, since(F.col("OrderCreatedOnUtc"), as_of, days) & in_market, [])
         .groupBy(F.col("EAN").alias("OurEan"))
         .agg(F.sum("Quantity").alias("units"), F.sum("ItemProfit").alias("profit"))
     )
@@ -148,7 +153,8 @@ def sale_cohort_profitability(
 
     Both windows become columns of one row per (market, product) before the
     join, so neither buy-box counts nor discounts are repeated per window.
-    Sales belong to the product: two SKUs of one product each show them.
+    Sales belong to the product: of several SKUs of one product in a market the
+    smallest carries them, so they count once.
     """
     skus = cohort.withColumn("ean", extract("sku", sku_pattern)).where(F.col("ean").isNotNull())
     asin = (
@@ -171,7 +177,7 @@ def sale_cohort_profitability(
     start = to_datetime(sale_start)
     lines = _sales(
         order_profit,
-        items,
+        items.join(skus.select(F.col("ean").alias("EAN")), "EAN", "left_semi"),
         F.col("OrderCreatedOnUtc") >= ts(days_before(start, baseline_days)),
         ["IdBookstore", "OrderCreatedOnUtc"],
     )
@@ -195,7 +201,8 @@ def sale_cohort_profitability(
         F.count_if("in_sale").alias("sale_orders"), *[F.sum(c).alias(c) for c in sums]
     )
     discount = F.try_divide(F.col("our_price") - F.col("sale_price"), F.col("our_price"))
-    joined = skus.join(won, ["market", "sku"], "left").join(sold, ["market", "ean"], "left")
+    carrier = skus.groupBy("market", "ean").agg(F.min("sku").alias("sku")).join(sold, ["market", "ean"])
+    joined = skus.join(won, ["market", "sku"], "left").join(carrier.drop("ean"), ["market", "sku"], "left")
     total = lambda c: F.sum(zero_if_null(c))
     return joined.groupBy("market").agg(
         F.count_distinct("sku").alias("skus"),
@@ -233,8 +240,10 @@ def ab_diff_in_diff(
     test_days = (to_datetime(as_of) - to_datetime(test_start)).days
     lines = _sales(
         order_profit,
-        items,
-        (F.col("IdBookstore") == market) & (F.col("OrderCreatedOnUtc") >= ts(baseline_start)),
+        items.join(cohort.select("EAN"), "EAN", "left_semi"),
+        (F.col("IdBookstore") == market)
+        & (F.col("OrderCreatedOnUtc") >= ts(baseline_start))
+        & (F.col("OrderCreatedOnUtc") < ts(as_of)),
         ["OrderCreatedOnUtc"],
     )
     test = F.col("OrderCreatedOnUtc") >= ts(test_start)
@@ -396,7 +405,7 @@ def cohort_vs_rest(
     }
     days = F.create_map(*[F.lit(x) for pair in spans.items() for x in pair])[F.col("period")]
     orders = (
-        order_profit.where(created >= ts(baseline_start))
+        order_profit.where((created >= ts(baseline_start)) & (created < ts(as_of)))
         .withColumn("period", window)
         .where(F.col("period").isNotNull())
         .select("CustomerOrderId", "period", "OrderStatusId", "IsDoneCalculating")

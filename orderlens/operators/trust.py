@@ -49,7 +49,7 @@ def mirror_health(
     max_age_hours: int = 12,
     rarely_changed: Sequence[str] = (),
 ) -> DataFrame:
-    """Tables with repeated keys or old data. A healthy set gives no rows."""
+    """Tables with repeated keys, old data or no rows at all. A healthy set gives no rows."""
     facts = _stack(
         [
             t.frame.agg(
@@ -63,13 +63,15 @@ def mirror_health(
     )
     duplicates = F.col("duplicate_keys") > 0
     old = F.col("age_hours") > max_age_hours
+    empty = F.col("rows") == 0
     exempt = F.col("table_name").isin(*rarely_changed) if rarely_changed else F.lit(False)
     status = (
         F.when(duplicates & old, "duplicates and stale")
         .when(duplicates, "duplicate keys")
+        .when(empty, "empty")
         .otherwise("stale")
     )
-    return facts.where(duplicates | (old & ~exempt)).select(
+    return facts.where(duplicates | (old & ~exempt) | empty).select(
         "table_name", "rows", "duplicate_keys", "age_hours", status.alias("status")
     )
 
