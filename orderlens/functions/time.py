@@ -32,12 +32,12 @@ def days_before(as_of: When, days: int) -> dt.datetime:
 
 
 def since(column: Column, as_of: When, days: int) -> Column:
-    """The window every report uses: the days up to as_of, itself excluded.
+    """The window every report uses: the days up to the moment as_of, which still counts.
 
     Literal bounds, so the scan can skip files; closed above, so that a replay of
     a past moment sees nothing that came later.
     """
-    return (column >= ts(days_before(as_of, days))) & (column < ts(as_of))
+    return (column >= ts(days_before(as_of, days))) & (column <= ts(as_of))
 
 
 def months_back(as_of: When, months: int) -> str:
