@@ -30,7 +30,7 @@ NONE = "und"
 SLICE_CHARS = 1 << 20
 # A code point takes 18 bits, as no letter lies above; three of them and the number of a row in its slice fit 64 bits.
 BITS = 18
-ROW_BITS = 9
+ROW_BITS = 7
 
 
 @functools.cache
