@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Text handled at once inside a task; a longer document is handled alone.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 MASK = (1 << 64) - 1
 # Odd multipliers, so that they have an inverse modulo 2**64.
 BYTE_BASE = 0x9E3779B97F4A7C15
