@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, slices
+from .common import bounded_batches, give_back, slices
 from .units import MEMO_ENTRIES, SLICE, Memo, encode_texts, joinable
 
 LEAF_BITS = 8
@@ -142,7 +142,7 @@ class Codec:
         """Gives the memory of both memos back."""
         self.units.forget()
         self.pieces.forget()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def _merged(self, pieces: list[bytes]) -> list[bytes]:
         """A pre-token that is a token is one id; the others go through the queue, a run of them at a time."""

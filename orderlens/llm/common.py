@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import shutil
@@ -82,6 +83,14 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, TEXT_ROWS)
 
 
+def give_back() -> None:
+    """Returns what a worker has freed to the system: Arrow's pool, and the C heap where its library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

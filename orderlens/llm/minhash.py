@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BASE, lower_ascii, mix, prefix_hashes, slices, span_hashes, staged, word_hashes, words
+from .common import WORD_BASE, give_back, lower_ascii, mix, prefix_hashes, slices, span_hashes, staged, word_hashes, words
 from .components import components
 
 # Probability with which a pair at the threshold shares no table.
@@ -102,6 +102,7 @@ def signatures(rows: DataFrame, size: int, bands: int, per_band: int) -> DataFra
                     ],
                     names=["doc_id", "n_shingles", "h1", "h2", "first", "second"],
                 )
+        give_back()
 
     return rows.mapInArrow(run, SIGNATURE)
 
