@@ -59,7 +59,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     # Other stages need the workers too, so less is remembered here than by the encoder alone, and within a task only.
-    rows = bpe.encoded(docs, ranks, pattern, units=250_000, pieces=100_000, keep=False)
+    rows = bpe.encoded(docs, ranks, pattern, units=100_000, pieces=50_000, slice_bytes=2 << 20, keep=False)
     return bpe.digests(rows)
 
 

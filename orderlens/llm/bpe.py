@@ -188,18 +188,25 @@ def codec(ranks_file: str, pattern: str, units: int = MEMO_ENTRIES, pieces: int
 
 
 def encode(
-    text: Column, ranks_file: str, pattern: str, *, units: int = MEMO_ENTRIES, pieces: int = PIECES, keep: bool = True
+    text: Column,
+    ranks_file: str,
+    pattern: str,
+    *,
+    units: int = MEMO_ENTRIES,
+    pieces: int = PIECES,
+    slice_bytes: int = SLICE,
+    keep: bool = True,
 ) -> Column:
     """Binary column of the ids of each text as little-endian unsigned 32-bit integers.
 
-    ``units`` and ``pieces`` are what a worker remembers in each generation, and ``keep`` whether beyond a task; they
-    change its memory and speed, not the ids.
+    ``units`` and ``pieces`` are what a worker remembers in each generation, ``slice_bytes`` the text whose units it looks
+    up together, and ``keep`` whether it remembers beyond a task; they change its memory and speed, not the ids.
     """
 
     def ids_of(texts: pa.Array, known: Codec) -> pa.Array:
         rows = pa.RecordBatch.from_arrays([texts], names=["text"])
         parts = []
-        for start, stop, data, offsets in slices(rows, "text", SLICE):
+        for start, stop, data, offsets in slices(rows, "text", slice_bytes):
             ids, at = encode_texts(data, offsets, known.units)
             buffers = [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(ids)]
             parts.append(pa.BinaryArray.from_buffers(pa.binary(), stop - start, buffers))
@@ -238,6 +245,7 @@ def encoded(
     text: str = "text",
     units: int = MEMO_ENTRIES,
     pieces: int = PIECES,
+    slice_bytes: int = SLICE,
     keep: bool = True,
 ) -> DataFrame:
     """key, ids, decoded for every row of ``docs``; repeated rows are encoded each, other columns are not read.
@@ -245,7 +253,8 @@ def encoded(
     An empty or null text has empty ids. A null key stays null.
     """
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(key), encode(F.col(text), ranks_file, pattern, units=units, pieces=pieces, keep=keep).alias("ids"))
+    ids = encode(F.col(text), ranks_file, pattern, units=units, pieces=pieces, slice_bytes=slice_bytes, keep=keep)
+    rows = docs.select(F.col(key), ids.alias("ids"))
     return rows.withColumn("decoded", decode(F.col("ids"), ranks_file, pattern, units=units, pieces=pieces))
 
 
