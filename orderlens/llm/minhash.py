@@ -240,6 +240,9 @@ def confirmed(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
             "doc_id", "text", "block",
         )
     )
+    # Dealt by the pair of blocks: the join leaves the rows dealt by cluster, which Spark would take for grouping enough
+    # and hand all pairs of a large cluster to one task.
+    tasks = tasks.repartition("cluster", "low", "high")
     return tasks.groupBy("cluster", "low", "high").applyInPandas(_confirm(size, threshold), "a long, b long")
 
 
