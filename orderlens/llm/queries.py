@@ -69,7 +69,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.digests(bpe.encoded(_documents(spark, sf_dir), ranks, pattern))
+    rows = bpe.encoded(_documents(spark, sf_dir), ranks, pattern, units=100_000, pieces=50_000, slice_bytes=2 << 20, keep=False)
+    return bpe.digests(rows)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
