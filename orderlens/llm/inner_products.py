@@ -11,9 +11,11 @@ Queries meet candidates in blocks: each block of queries goes once to each block
 made. The Gram matrix is summed in Spark, one matrix per task.
 
 Vectors that are null or hold null or non-finite components take no part. Vectors of different length (number of
-components) do not meet. Bounds carry a margin for rounding; scores are exact while they fit 53 bits. Rows that repeat an
-id are candidates each, and only rows with another id than the query's count. Ties go to the smaller id; rows of one query
-id that have different vectors are searched as one query each, and share the ranking of their best scores.
+components) do not meet. Bounds carry a margin for rounding; scores are exact while they fit 53 bits. Rows that repeat id
+and vector are one, which asks if one of them does; only rows with another id than the query's count. Rows that repeat an
+id with different vectors are candidates each; where they score alike they are one result. Ties go to the smaller id; rows
+of one query id that have different vectors are searched as one query each, and share the ranking of their best scores.
+The hits of a block, the bounds and the ranks all count distinct pairs of id and score.
 """
 
 from __future__ import annotations
@@ -91,7 +93,7 @@ class Block:
 
 
 def search(queries: Block, candidates: Block, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, candidate and score of the k best candidates of each query that can reach its bound ``least``."""
+    """Query, candidate and score of the k best pairs of id and score of each query that can reach its bound ``least``."""
     longest = candidates.length.max(initial=0.0)
     slack = MARGIN * (queries.length * longest + 1)
     alive = np.flatnonzero(queries.length * longest + slack >= least)
@@ -105,7 +107,10 @@ def search(queries: Block, candidates: Block, least: np.ndarray, k: int) -> tupl
         score = candidates.exact[some] @ queries.exact[q]
         keep = np.flatnonzero(score >= least[q])
         if len(keep) > k:
-            keep = keep[np.lexsort((candidates.ids[some[keep]], -score[keep]))[:k]]
+            keep = keep[np.lexsort((candidates.ids[some[keep]], -score[keep]))]
+            ids, best = candidates.ids[some[keep]], score[keep]
+            fresh = np.append(True, (ids[1:] != ids[:-1]) | (best[1:] != best[:-1]))
+            keep = keep[fresh][:k]
         out.append((np.full(len(keep), q), some[keep], score[keep]))
     if not out:
         none = np.zeros(0, np.int64)
@@ -157,6 +162,8 @@ def top_k(
         F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("vec"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
+    # Copies of a row would fill the hits of a block and lift the bounds, so they are folded before anything counts.
+    rows = rows.groupBy("vec_id", "vec").agg(F.max("asks").alias("asks"))
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
     rows = staged(rows.select("*", F.size("vec").alias("dim"), length.alias("length")), "vectors")
     turn = rotations(rows)
@@ -182,7 +189,7 @@ def top_k(
 
     # The longest vectors first; they bound the k-th score of every query from below.
     early = candidates.where("level = 0").join(asked, "dim").repartition("dim", "q", "part").mapInArrow(meet, HIT)
-    early = staged(early, "early")
+    early = staged(early.distinct(), "early")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = early.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") == k).select("query_id", "score")
     known = rows.where("asks").select("dim", "vec_id").join(kth, kth.query_id == F.col("vec_id"), "left")

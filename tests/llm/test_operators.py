@@ -205,6 +205,30 @@ def test_top_k(spark):
     assert inner_products.top_k(frame.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def best_products(rows, k=10):
+    """Distinct pairs of score and id of each query id, best first."""
+    good = [(i, np.floor(1024 * np.array(v, float))) for i, v in rows]
+    found = {}
+    for q, v in good:
+        if q % 100 == 0:
+            found.setdefault(q, set()).update((-int(v @ w), i) for i, w in good if i != q)
+    return [(q, n + 1, i, -s) for q, pairs in found.items() for n, (s, i) in enumerate(sorted(pairs)[:k])]
+
+
+def test_top_k_counts_copies_once(spark):
+    rng = np.random.default_rng(6)
+    base = [(i, rng.normal(size=5).astype(np.float32).tolist()) for i in range(1500)]
+    queries_twice = base + [r for r in base if r[0] % 100 == 0]
+    longest = max((r for r in base if r[0] % 100), key=lambda r: np.linalg.norm(r[1]))
+    copies = base + [longest] * 11
+    # Vectors of one id that differ but score alike against a query that is zero where they differ.
+    alike = [(i, [*r[:4], 0.0]) if i % 100 == 0 else (i, r) for i, r in base] + [(2001, [*longest[1][:4], float(j)]) for j in range(12)]
+    two_vectors = base + [(100, base[7][1]), (100, base[8][1])]
+    for rows in (queries_twice, copies, alike, two_vectors):
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+        assert ordered(inner_products.top_k(frame, F.col("vec_id") % 100 == 0).collect()) == ordered(best_products(rows))
+
+
 # 8
 
 
