@@ -1,13 +1,15 @@
 """From raw documents to token ids, in five stages. Each reads what its predecessor wrote as Parquet.
 
 1. language: rejects documents in which no language is recognised (null, or without a letter);
-2. exact_dedup: of equal texts one document stays;
+2. exact_dedup: of equal texts one row stays;
 3. near_dedup: of each near-duplicate group (five-word shingles, similarity 0.8) the smallest id stays;
 4. mix: documents come as often as the mix to target weights takes their words, from not at all to three times;
 5. bpe: ids of every document that came through, each repetition a row of its own.
 
 All stages but the last return the columns of ``documents``. Other columns than ``doc_id``, ``text``, ``lang`` and
-``source`` pass unread. Rows with a null id pass the dedup stages as far as their texts differ.
+``source`` pass unread. The dedup stages decide row by row, whatever ids repeat or are missing: of rows with equal texts
+exactly one stays, and rows that share an id but not a text are compared one by one. Among rows with the same id the hash
+of text, language and source decides. Rows with a null id pass the dedup stages as far as their texts differ.
 """
 
 from __future__ import annotations
@@ -22,9 +24,10 @@ from orderlens.llm import bpe, exact_dedup, language, minhash, mixing
 from orderlens.llm.common import shared_path, ship, staged
 
 
-def _restricted(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The documents whose id is among the keys, a null id included."""
-    return docs.join(keys.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows written once with a number of their own, and a hash that decides between rows of one id."""
+    tie = F.xxhash64("text", "lang", "source")
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_tie", tie), "numbered")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,13 +39,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return _restricted(docs, exact_dedup.dedup_table(docs).where("kept"))
+    rows = _numbered(docs)
+    kept = exact_dedup.dedup_table(rows, carry=("_tie", "_row")).where("kept")
+    # Rows that repeat the id and the length of the longest text are all marked.
+    one = kept.groupBy("text_sha256").agg(F.min(F.struct("_tie", "_row"))["_row"].alias("_row"))
+    return rows.join(one.select("_row"), "_row", "left_semi").select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    groups = minhash.near_duplicates(docs, shingle=5, threshold=Fraction(4, 5))
-    return _restricted(docs, groups.where("kept"))
+    rows = _numbered(docs)
+    named = rows.where("doc_id is not null")
+    groups = minhash.near_duplicates(named, shingle=5, threshold=Fraction(4, 5), key="_row")
+    found = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    member = staged(named.select("_row", "doc_id", "_tie").join(found, "_row"), "grouped")
+    best = member.groupBy("_group").agg(F.min(F.struct("doc_id", "_tie", "_row"))["_row"].alias("_best"))
+    dropped = member.join(best, "_group").where("_row <> _best")
+    return rows.join(dropped.select("_row"), "_row", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

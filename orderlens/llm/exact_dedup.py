@@ -12,6 +12,7 @@ repeat a doc_id are counted each; they share their answer. An empty batch or sna
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -110,14 +111,16 @@ def _keys(digests) -> np.ndarray:
     return np.frombuffer(b"".join(d[:8] for d in digests), "<u8").astype(np.uint64)
 
 
-def digested(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, digest, length (bytes of the normalised text), points (code points of the original) of every row."""
+def digested(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, digest, length (bytes of the normalised text), points (code points of the original) of every row, and the
+    columns ``carry`` as they are."""
     plain = without_spaces(text_or_empty(text))
     return docs.select(
         F.col(key).cast("long").alias("doc_id"),
         F.unhex(F.sha2(plain.cast("binary"), 256)).alias("digest"),
         F.octet_length(plain).cast("long").alias("length"),
         F.char_length(text_or_empty(text)).cast("long").alias("points"),
+        *carry,
     )
 
 
@@ -176,8 +179,8 @@ def screened(digests: DataFrame, frozen: Snapshot, *, filter_keys: int = FILTER_
     return met.drop("bucket", "part")
 
 
-def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame) -> DataFrame:
-    """Answers for the digested rows of batch and snapshot: doc_id, keep_id, group_size, kept, text_sha256.
+def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, carry: Sequence[str] = ()) -> DataFrame:
+    """Answers for the digested rows of batch and snapshot: doc_id, keep_id, group_size, kept, text_sha256, ``carry``.
 
     No group is ever gathered: a row meets its group's answer in a join on the digest, whose hot keys Spark splits.
     """
@@ -204,13 +207,14 @@ def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame) -> DataF
         "group_size",
         (F.col("doc_id").eqNullSafe(-F.col("best.negative")) & (F.col("points") == F.col("best.points"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *carry,
     )
 
 
-def dedup_table(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_table(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """A whole table as two arrivals: rows whose hashed id is even are frozen first, the others come as the new batch."""
     rows = staged(
-        digested(docs, key=key, text=text).withColumn("first", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), "digests"
+        digested(docs, key=key, text=text, carry=carry).withColumn("first", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), "digests"
     )
     early, late = rows.where("first").drop("first"), rows.where("not first").drop("first")
-    return dedup(late, snapshot(early), early)
+    return dedup(late, snapshot(early), early, carry=carry)

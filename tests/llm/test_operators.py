@@ -321,3 +321,30 @@ def test_pipeline_takes_odd_and_empty_tables(spark, odd, none):
             frame = stage(spark, frame, SF)
             assert name == "bpe" or frame.columns == columns
         frame.count()
+
+
+def test_pipeline_dedups_rows_with_null_and_repeated_ids(spark):
+    words = lambda start, n=40: " ".join(f"w{start + i}" for i in range(n))
+    rows = [
+        (1, words(0)), (None, words(0)), (None, words(100)), (None, words(100)), (None, words(200)), (None, "   "), (2, ""),
+        (3, words(300)), (3, words(300)), (3, words(300)), (4, words(400)), (4, words(0)), (5, words(500) + " x"),
+        (6, words(500) + " y"), (6, words(600)), (7, words(700)), (7, words(700).replace(" ", "\t")),
+        (None, words(500) + " z"), (8, None),
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    frame = frame.repartition(4)
+    once = corpus_pipeline.drop_exact_copies(spark, frame, SF)
+    assert once.columns == frame.columns
+    once = [(r.doc_id, r.text) for r in once.collect()]
+    assert sorted(brute.bare(t) for _, t in once) == sorted({brute.bare(t) for _, t in rows})
+    # The longest text stays, then the smallest id; null loses.
+    best = {}
+    for i, t in rows:
+        best[brute.bare(t)] = min(best.get(brute.bare(t), (0, True, 0)), (-len(t or ""), i is None, i or 0))
+    assert all((-len(t or ""), i is None, i or 0) == best[brute.bare(t)] for i, t in once)
+    near = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, frame.where("doc_id is null or doc_id > 2"), SF).collect()]
+    named = [(i, t) for i, t in near if i is not None]
+    assert ordered((i, brute.bare(t)) for i, t in named) == ordered(
+        (i, brute.bare(t)) for i, t in [(3, words(300)), (4, words(400)), (4, words(0)), (5, words(500) + " x"), (6, words(600)), (7, words(700)), (8, None)]
+    )
+    assert sum(i is None for i, _ in near) == sum(i is None for i, _ in rows)
