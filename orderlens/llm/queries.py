@@ -25,7 +25,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens")
-    token_store.write(_documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    token_store.write(_documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID, literal=False)
     return token_store.catalogue(spark, path).withColumnRenamed("key", "doc_id")
 
 

@@ -43,13 +43,13 @@ SHARD = (
 
 
 @functools.cache
-def _memo(tokenizer_file: str) -> Memo:
+def _memo(tokenizer_file: str, literal: bool) -> Memo:
     """Encodes with the tokenizers library: units that may stand together as texts of many, the others one by one."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = literal
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)
     # Byte-level vocabularies write each byte of a token as one character.
     lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -187,10 +187,14 @@ SHARD_ARROW = pa.schema(
 
 
 def write(
-    docs: DataFrame, path: str, tokenizer_file: str, end_id: int, *, key: str = "doc_id", text: str = "text"
-) -> None:
+    docs: DataFrame, path: str, tokenizer_file: str, end_id: int, *, key: str = "doc_id", text: str = "text",
+    literal: bool = True,
+) -> None:
     """Writes the ids of every text, each followed by ``end_id``, in ascending key order to the store at ``path``.
 
+    ``literal`` encodes the names of the file's added tokens as plain text; without it they get their own ids, as the
+    library does by default. Such a name must hold no white space.
+
     The tokenizer sees every distinct space-delimited unit of a worker once; the cut never falls inside a pre-token.
     """
     width = id_width(tokenizer_file, end_id)
@@ -198,7 +202,7 @@ def write(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        memo = _memo(tokenizer_file)
+        memo = _memo(tokenizer_file, literal)
         seq, size, keys, rows = 0, 0, [], []
         for batch in batches:
             for start, stop, data, offsets in slices(batch, "text", SLICE):

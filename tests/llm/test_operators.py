@@ -68,6 +68,22 @@ def test_token_store_of_odd_rows(spark, odd, tmp_path):
     assert sorted(r.key for r in found) == [5, 18, 18]
 
 
+def test_token_store_query_gives_added_tokens_their_id(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    library, end = Tokenizer.from_file(JSON), "<|endoftext|>"
+    random.seed(7)
+    rows = [(0, f"end {end} x"), (1, end), (2, f"  {end}  {end}{end} 's\n{end} "), (3, "plain words only")]
+    rows += [(i, "".join(random.choice([end, end[:6], "a", "bc", " ", " ", "  ", "\n", "é", "\xa0", "'s", "1"]) for _ in range(60))) for i in range(4, 120)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    at, want = 0, []
+    for i, t in rows:
+        ids = [*library.encode(t, add_special_tokens=False).ids, 0]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert ordered(queries.QUERIES["op1_token_store"](spark, str(tmp_path)).collect()) == ordered(want)
+
+
 def test_empty_token_store(spark, none, tmp_path):
     token_store.write(none, str(tmp_path / "s"), JSON, 0)
     assert token_store.catalogue(spark, str(tmp_path / "s")).count() == 0
