@@ -2,10 +2,13 @@
 
 A page becomes a tree of block elements. Elements that are never main text are cut off: by tag (menus, asides, forms,
 scripts, page headers and footers), when hidden, or by a word of their class, id or role that names a menu, notice,
-advert, side column or reader comments. Every paragraph then passes points for its length and commas to its ancestors,
+advert, side column or reader comments. A word that only tells of the layout ("no-comments", "has-sidebar", "ad-free")
+names nothing, nor does a word for a part of an article, as "byline", inside one. An element so named stays nevertheless
+if it holds the page's main element, its only articles, or most points of the page by paragraphs and share of links; one
+named for comments, if it holds nearly all. Every paragraph then passes points for its length and commas to its ancestors,
 fully to the parent and less to those above; a container's score is discounted by the share of its text that is link
 text. The best container is taken, together with its siblings that score near it or read like prose; where it stands in
-an article or main element, that element is taken whole. Lists of links in it are left out.
+an article or main element, that element is taken whole. Lists of links outside such an element are left out.
 
 The text of a block has its white space turned into single spaces and is trimmed; blocks are joined in page order by a
 newline. Character references are decoded. Null, empty or textless pages give an empty text. Unclosed, stray and cut-off
@@ -52,6 +55,16 @@ NAMES = frozenset(
     "replies reply respond rss search share sharing shoutbox sidebar signup skip social sponsor sponsored subscribe "
     "subscription tags taboola teaser toc toolbar tooltip topbar trending widget widgets".split()
 )
+# Of these, names of reader comments, and names of parts that an article may have.
+REMARKS = frozenset("comment comments commentlist disqus remark replies reply respond".split())
+PARTS = frozenset("byline disclaimer header legal tags".split())
+# Words that take the meaning from the next one, or from "header" as the next one.
+LAYOUT = frozenset("has have no non not with without".split())
+OWNERS = frozenset("article content entry post story".split())
+# Share of a page's points from which a named element is taken for the text.
+MOST, NEARLY_ALL = 0.5, 0.95
+# What names an element: a part that an article may have, reader comments, anything else, or that it is hidden.
+PART, REMARK, OTHER, HIDDEN = 1, 2, 3, 4
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 # A tag that the end of the page cuts off.
 _TAIL = re.compile(r"<[A-Za-z/!][^>]*\Z")
@@ -59,27 +72,40 @@ _NONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Node:
-    __slots__ = ("children", "chars", "links", "named", "parent", "score", "tag")
+    __slots__ = ("children", "chars", "links", "named", "parent", "points", "score", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, named: bool = False):
+    def __init__(self, tag: str, parent: Node | None, named: int = 0):
         self.tag, self.parent, self.named = tag, parent, named
         self.children: list = []
         self.chars = self.links = 0
-        self.score = 0.0
+        self.score = self.points = 0.0
 
 
-def _names(attrs: list) -> bool:
-    """Whether class, id or role name something other than main text, or the element is hidden."""
+def _named(value: str) -> int:
+    """What the words of one name say, without those that tell of the layout only."""
+    found = 0
+    words = [w.lower() for w in _WORD.findall(value)]
+    for i, word in enumerate(words):
+        if word in NAMES:
+            before, after = words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""
+            if before in LAYOUT or after == "free" or (word == "header" and before in OWNERS):
+                continue
+            found = max(found, PART if word in PARTS else REMARK if word in REMARKS else OTHER)
+    return found
+
+
+def _names(attrs: list) -> int:
+    """What class, id or role name other than main text, or that the element is hidden."""
+    found = 0
     for name, value in attrs:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return HIDDEN
         if name == "style" and value and _NONE.search(value):
-            return True
+            return HIDDEN
         if name in ("class", "id", "role") and value:
-            for word in _WORD.findall(value):
-                if word.lower() in NAMES:
-                    return True
-    return False
+            for one in value.split():
+                found = max(found, _named(one))
+    return found
 
 
 class Tree(HTMLParser):
@@ -97,7 +123,7 @@ class Tree(HTMLParser):
             if tag in SPACED:
                 self.at.children.append(" ")
             if attrs and tag not in VOID and _names(attrs):
-                self.at = self._open(tag, True)
+                self.at = self._open(tag, _names(attrs))
             elif tag == "label" or (self.at.tag == tag and self.at.named):
                 self.at = self._open(tag, self.at.named)
             return
@@ -111,9 +137,9 @@ class Tree(HTMLParser):
         self._close(("p",), ("article", "main", "section", "div", "td", "li", "blockquote", "table", "body"))
         if tag in CLOSES:
             self._close(*CLOSES[tag])
-        self.at = self._open(tag, _names(attrs) if tag not in KEPT else False)
+        self.at = self._open(tag, _names(attrs) if tag not in KEPT else 0)
 
-    def _open(self, tag: str, named: bool) -> Node:
+    def _open(self, tag: str, named: int) -> Node:
         node = Node(tag, self.at, named)
         self.at.children.append(node)
         return node
@@ -147,20 +173,23 @@ class Tree(HTMLParser):
         self.at.children.append((data, True) if self.link else data)
 
 
-def _cut(node: Node, by_name: bool) -> bool:
-    if node.tag in CUT or (by_name and node.named):
-        return True
-    if node.tag == "header":  # of the page, unless it stands in an article
-        up = node.parent
-        while up is not None:
-            if up.tag in WHOLE:
-                return False
-            up = up.parent
-        return True
+def _in_whole(node: Node) -> bool:
+    up = node.parent
+    while up is not None:
+        if up.tag in WHOLE:
+            return True
+        up = up.parent
     return False
 
 
-def _walk(root: Node, by_name: bool) -> list[Node]:
+def _cut(node: Node, by_name: int) -> bool:
+    """``by_name`` is the least that counts of what names an element; zero for nothing."""
+    if node.tag in CUT or (by_name and node.named >= by_name):
+        return True
+    return node.tag == "header" and not _in_whole(node)  # of the page, unless it stands in an article
+
+
+def _walk(root: Node, by_name: int) -> list[Node]:
     """The nodes that are not cut off, in page order."""
     out, stack = [], [root]
     while stack:
@@ -176,7 +205,7 @@ def _measure(nodes: list[Node]) -> None:
     """Characters, link characters and points. A paragraph is a block that holds text of its own."""
     for node in nodes:
         node.chars = node.links = 0
-        node.score = 0.0
+        node.score = node.points = 0.0
     for node in reversed(nodes):  # children come after their parents
         own = ""
         for child in node.children:
@@ -193,18 +222,60 @@ def _measure(nodes: list[Node]) -> None:
             up.links += node.links
         if len(own) >= 25:
             points = 1 + own.count(",") + min(len(own) / 100, 3)
-            share, up = 1.0, node if node.tag in ("div", "section", "article", "main") or up is None else up
+            node.points += points
+            up = node if node.tag in ("div", "section", "article", "main") or up is None else up
             level = 0
             while up is not None:
                 up.score += points / (1, 2, 6, 9)[min(level, 3)] if level < 4 else points / (3 * level)
                 level += 1
                 up = up.parent
+        if node.parent is not None:
+            node.parent.points += node.points
 
 
 def _density(node: Node) -> float:
     return node.links / node.chars if node.chars else 0.0
 
 
+def _unname(root: Node) -> None:
+    """Takes the name from elements that are the page's text nevertheless, and from parts of an article."""
+    nodes = _walk(root, HIDDEN)
+    if not any(n.named for n in nodes):
+        return
+    _measure(nodes)
+    wholes = {"main": [], "article": []}
+    for node in nodes:
+        if node.tag in WHOLE and node.chars:
+            wholes[node.tag].append(node)
+    # The page's main element, or else its articles where all stand in named elements, which are not for comments.
+    above: set[int] = set()
+
+    def chain(node: Node) -> list[Node]:
+        out = []
+        while (node := node.parent) is not None:
+            out.append(node)
+        return out
+
+    for found in (wholes["main"], wholes["article"]):
+        chains = [chain(n) for n in found]
+        if chains and all(any(n.named for n in c) for c in chains):
+            above.update(id(n) for c in chains for n in c if n.named != REMARK)
+    whole = root.points * (1 - _density(root))
+    cleared: set[int] = set()
+    for node in nodes:
+        if not node.named:
+            continue
+        share = node.points * (1 - _density(node)) / whole if whole else 0.0
+        if (
+            id(node) in above
+            or (node.named == PART and _in_whole(node))
+            or share > (NEARLY_ALL if node.named == REMARK else MOST)
+            or (id(node.parent) in cleared and node.tag in INLINE and node.tag in (node.parent.tag, "label"))
+        ):
+            node.named = 0
+            cleared.add(id(node))
+
+
 def _best(nodes: list[Node]) -> list[Node]:
     """The best container and its siblings, or the article around it."""
     best = max(nodes, key=lambda n: n.score * (1 - _density(n)))
@@ -230,7 +301,7 @@ def _best(nodes: list[Node]) -> list[Node]:
     return out
 
 
-def _text(tops: list[Node], by_name: bool) -> str:
+def _text(tops: list[Node], by_name: int) -> str:
     blocks: list[str] = []
     run: list[str] = []
 
@@ -252,7 +323,7 @@ def _text(tops: list[Node], by_name: bool) -> str:
                 run.append(item[0])
             elif item is not top and _cut(item, by_name):
                 continue
-            elif item is not top and item.tag in LISTS and item.links > 0.7 * item.chars:
+            elif item is not top and item.tag in LISTS and item.links > 0.7 * item.chars and not _in_whole(item):
                 continue
             else:
                 if item.tag in INLINE:
@@ -271,7 +342,8 @@ def main_text(html: str | None) -> str:
     tree = Tree()
     tree.feed(_TAIL.sub("", html))
     tree.close()
-    for by_name in (True, False):
+    _unname(tree.root)
+    for by_name in (PART, 0):
         nodes = _walk(tree.root, by_name)
         _measure(nodes)
         text = _text(_best(nodes), by_name)

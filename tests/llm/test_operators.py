@@ -200,6 +200,25 @@ def test_main_text(spark):
     assert pages.where("n_chars = 0").count() == 0
 
 
+def test_main_text_is_not_lost_to_class_words():
+    p = "<p>A paragraph, with commas, long enough to count for the page.</p>"
+    want = "A paragraph, with commas, long enough to count for the page."
+    side = "<div class=sidebar><p>Side stuff, which is long, but is not the text.</p></div>"
+    for names in ("content has-sidebar", "article no-comments", "layout-with-header", "ad-free", "main widget"):
+        wrapped = f"<div>1 May 2020</div><div class='{names}'>{p * 3}{side}</div>"
+        assert main_text.main_text(wrapped) == "\n".join([want] * 3), names
+    article = f"<div>1 May 2020</div><div class='page sidebar'><article>{p * 2}</article></div>"
+    assert main_text.main_text(article) == "\n".join([want] * 2)
+    parts = (
+        f"<article><div class='post-header'><h1>Title</h1></div><div class=byline>By A</div>{p}<ul><li><a href=x>One</a>"
+        "<li><a href=y>Two</a></ul><div class=tags>Red</div><div class=disclaimer>No advice</div>"
+        "<div class=related-links><ul><li><a href=z>More</a></ul></div></article>"
+    )
+    assert main_text.main_text(parts) == f"Title\nBy A\n{want}\nOne\nTwo\nRed\nNo advice"
+    remarks = "<div class=comments>" + "".join(f"<article>{p.replace('A', 'My')}</article>" for _ in range(4)) + "</div>"
+    assert main_text.main_text(f"<div class=text>{p * 3}</div>{remarks}") == "\n".join([want] * 3)
+
+
 # 7
 
 
