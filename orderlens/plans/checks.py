@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 ROWS = "check string, row_no int, payload string, link string"
 SUMMARY = "check string, description string, rows bigint, silent boolean, error string"
-MAX_LINKS = 15
 
 
 @dataclass(frozen=True)
@@ -63,8 +62,8 @@ def _payload(check: Check) -> DataFrame:
     )
 
 
-def run_checks(spark: SparkSession, checks: Sequence[Check], *, max_links: int = MAX_LINKS) -> CheckResults:
-    """Rows, summary and link list of all checks.
+def run_checks(spark: SparkSession, checks: Sequence[Check]) -> CheckResults:
+    """Rows, summary and every distinct link of all checks.
 
     Building a plan can fail (a missing column, say); so can running it. Both are
     caught per check: every check is counted on its own before it joins the
@@ -83,15 +82,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], *, max_links: int =
         except Exception as failure:  # one check must not stop the report
             summary.append((check.name, check.description, None, False, str(failure) or type(failure).__name__))
     rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], ROWS)
-    rank = F.row_number().over(Window.partitionBy("check").orderBy("link"))
-    links = (
-        rows.where(F.col("link").isNotNull())
-        .select("check", "link")
-        .distinct()
-        .withColumn("rn", rank)
-        .where(F.col("rn") <= max_links)
-        .drop("rn")
-    )
+    links = rows.where(F.col("link").isNotNull()).select("check", "link").distinct()
     return CheckResults(rows, spark.createDataFrame(summary, SUMMARY), links, tuple(parts))
 
 

@@ -89,6 +89,13 @@ def test_placeholder_watermark(spark):
     assert (r.rows, r.nulls, r.placeholder_pct, r.distinct_days, r.changed_last_day) == (5, 1, 60.0, 2, 1)
 
 
+def test_no_link_of_a_check_is_left_out(spark):
+    many = spark.range(40).selectExpr("id", "id % 20 AS page")
+    results = run_checks(spark, [Check("many", lambda: many, link_column="page", link_template="https://x/{}")])
+    assert sorted(r.link for r in results.links.collect()) == sorted(f"https://x/{i}" for i in range(20))
+    results.release()
+
+
 def test_checks_are_isolated(spark):
     two = spark.createDataFrame([(1, 2.5), (2, None)], "id bigint, v double")
     boom = two.select(F.raise_error(F.lit("run time")).alias("x"))
