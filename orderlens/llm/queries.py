@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, token_store
+from . import alignment, bpe, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, prefix_trie, token_store
 from .common import shared_path, ship
 
 END_ID = 0
@@ -73,6 +73,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(rows)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned(_documents(spark, sf_dir), a, b)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -86,7 +95,7 @@ QUERIES = {
     query.__name__: _shipped(query)
     for query in (
         op1_token_store, op2_mix_sources, op3_exact_dedup, op4_language, op5_substring_dedup, op6_main_text,
-        op7_top_inner_products, op8_edit_counts, op9_near_duplicates, op10_byte_bpe,
+        op7_top_inner_products, op8_edit_counts, op9_near_duplicates, op10_byte_bpe, op11_token_alignment, op12_prefix_trie,
     )
 }
 
