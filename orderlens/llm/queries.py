@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, prefix_trie, token_store
+from . import alignment, bpe, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, prefix_trie, token_store, toxicity
 from .common import shared_path, ship
 
 END_ID = 0
@@ -82,6 +82,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -95,7 +99,7 @@ QUERIES = {
     query.__name__: _shipped(query)
     for query in (
         op1_token_store, op2_mix_sources, op3_exact_dedup, op4_language, op5_substring_dedup, op6_main_text,
-        op7_top_inner_products, op8_edit_counts, op9_near_duplicates, op10_byte_bpe, op11_token_alignment, op12_prefix_trie,
+        op7_top_inner_products, op8_edit_counts, op9_near_duplicates, op10_byte_bpe, op11_token_alignment, op12_prefix_trie, op13_toxicity,
     )
 }
 

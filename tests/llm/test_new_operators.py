@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 
 import brute_new
+import numpy as np
 import public_tokenizers as P
 import pytest
 from llm_rows import odd_rows
 from pyspark.sql import functions as F
 
-from orderlens.llm import alignment, prefix_trie, queries
+from orderlens.llm import alignment, prefix_trie, queries, toxicity
 
 SF = "/root/testdata/sf0.001"
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
@@ -66,8 +67,6 @@ def test_units_are_remembered_in_generations(spark, monkeypatch):
     known.memo.entries = 20
     text = "one two three four five six seven eight nine ten eleven twelve " * 3
     wide = alignment.aligner(A, B)
-    import numpy as np
-
     data = np.frombuffer(text.encode(), np.uint8)
     for _ in range(3):
         for x, y in zip(known.texts(data, np.array([0, len(data)])), wide.texts(data, np.array([0, len(data)])), strict=True):
@@ -111,3 +110,94 @@ def test_trie_of_turnless_and_single_conversations(spark):
 def test_equal_turns_of_a_conversation_are_all_kept(spark):
     frame = spark.createDataFrame([(5, 0, "u", "x"), (5, 0, "u", "x"), (5, 0, "u", "y")], TURNS)
     assert prefix_trie.trie(frame).agg(F.max("depth")).first()[0] == 3
+
+
+# 13
+
+
+def plain_kernel(s, t):
+    def sums(x):
+        out = {}
+        for i in range(len(x)):
+            for j in range(i + 1, len(x)):
+                for k in range(j + 1, min(len(x), i + toxicity.SPAN)):
+                    out[x[i] + x[j] + x[k]] = out.get(x[i] + x[j] + x[k], 0) + toxicity.DECAY ** (k - i + 1)
+        return out
+
+    a, b = sums(s), sums(t)
+    # A length counts every place of a subsequence for itself.
+    norm = [sum(toxicity.DECAY ** (2 * (k - i + 1)) for i in range(len(x)) for k in range(i + 2, min(len(x), i + toxicity.SPAN)) for _ in range(i + 1, k)) for x in (s, t)]
+    return sum(v * b.get(u, 0) for u, v in a.items()) / np.sqrt(max(norm[0], toxicity.DECAY**6) * max(norm[1], toxicity.DECAY**6))
+
+
+def test_kernel_is_the_plain_one():
+    marks, units = ["idiot", "ab", "banana", "éclair"], ["idiot", "idxiot", "iidioott", "", "nab", "an éclair".replace(" ", ""), "zzz"]
+    found = toxicity.points_of(units, toxicity.landmark_table(marks))
+    assert np.allclose(found, [[plain_kernel(u, m) for m in marks] for u in units])
+
+
+def test_units():
+    def units(*texts):
+        letters, offsets, row = toxicity.units_of(list(texts))
+        raw = letters.astype("<u4").tobytes().decode("utf-32-le")
+        return [(int(r), raw[a:b]) for r, a, b in zip(row, offsets[:-1], offsets[1:], strict=True)]
+
+    assert units("You i.d-i*o!t,", "", "I d i ot 12 ÉTÉ", "i", "i") == [
+        (r, f"\x01{u}\x02") for r, u in ((0, "you"), (0, "idiot"), (2, "idi"), (2, "ot"), (2, "été"), (3, "i"), (4, "i"))
+    ]
+    long = "\x01" + "".join(chr(97 + i % 26) for i in range(58)) + "\x02"
+    assert units(long[1:-1]) == [(0, long[0:24]), (0, long[12:36]), (0, long[24:48]), (0, long[36:60])]
+    assert units() == units("") == []
+
+
+def test_margin_of_a_document_is_that_of_its_worst_unit(monkeypatch):
+    words = [f"\x01{w}\x02" for w in ("idiot", "clown", "table", "tree", "house")]
+    known = toxicity.machine(words, words, np.array([1.0, 1, -1, -1, -1]), np.ones(5))
+    texts = ["a table and a tree", "an id.iot in the house", None, "", "a b c", "clown " * 40]
+    plain = [max([known.bias, *(known.margins(*toxicity.packed([f"\x01{w}\x02"]))[0] for w in (t or "").replace(".", "").split())]) for t in texts]
+    memo = toxicity.Memo(known.encoded, 3)
+    assert np.allclose(known.documents(texts, memo)[[0, 1, 2, 3, 5]], np.array(plain)[[0, 1, 2, 3, 5]])
+    monkeypatch.setattr(toxicity, "SLICE_CHARS", 5)
+    monkeypatch.setattr(toxicity, "PIECE_CHARS", 20)
+    assert np.allclose(known.documents(texts, memo)[[0, 1, 2, 3, 5]], np.array(plain)[[0, 1, 2, 3, 5]])
+    margins = known.documents(["idiot", "idxiot", "i d i o t", "table"], memo)
+    assert margins[2] == margins[0] > margins[1] > margins[3]
+
+
+def test_toxicity_of_held_out_documents(spark):
+    rows = queries.QUERIES["op13_toxicity"](spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    found = rows.join(labels, "doc_id").where("held_out").collect()
+    assert len(found) > 300 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in found)
+    # About a quarter of the toxic documents of this table hold no word that others of them hold.
+    assert np.mean([r.predicted == r.toxic for r in found]) > 0.95
+    assert np.mean([r.predicted for r in found if r.toxic]) > 0.7
+    insults = ["idiot", "moron", "clown", "scum", "pathetic", "disgusting", "trash", "worthless", "loser", "stupid"]
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", F.lower("text").alias("text"))
+    named = rows.join(texts, "doc_id").where("held_out").where(F.regexp_like("text", F.lit(r"\b(" + "|".join(insults) + r")\b")))
+    assert named.agg(F.avg("predicted")).first()[0] > 0.9
+
+
+def test_toxicity_learns_inserted_characters_and_takes_odd_rows(spark, odd, none):
+    random.seed(2)
+    words = ["house", "tree", "river", "winter", "table", "garden", "window", "letter", "morning", "evening", "paper", "stone", "colour"]
+    docs, labels = [], []
+    for i in range(600):
+        text = random.choices(words, k=12)
+        if i % 4 == 0:
+            text[random.randrange(12)] = random.choice(["dolt", "nitwit", "blockhead"])
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0), "x"))
+    labels += [(None, 1, "x"), (5, None, "x"), (7, 3, "x"), (3, 0, "y"), (3, 0, "y"), (10**6, 1, "y")]
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int, text string")
+    probes = {1000: "the river and a nitxwit there", 1001: "a b l o c k h e a d in winter", 1002: "a n.i.t.w.i.t", 1003: "the river in winter", 1004: "", 1005: None}
+    frame = spark.createDataFrame(docs + list(probes.items()), "doc_id long, text string").selectExpr("*", "1 as toxic", "'s' as score", "2 as m", "3 as unit")
+    found = {r.doc_id: r for r in toxicity.scored(frame, marked).collect()}
+    assert len(found) == 606 and all(found[i].predicted == (i % 4 == 0) for i in range(600))
+    assert [found[i].predicted for i in range(1000, 1006)] == [1, 1, 1, 0, 0, 0]
+    assert found[1004].score == found[1005].score < 0.1
+    both = odd.select("doc_id", "text", F.lit("k").alias("row"))
+    assert toxicity.scored(both, marked.selectExpr("doc_id % 20 as doc_id", "toxic")).count() == odd.count()
+    assert toxicity.scored(none, marked).count() == 0
+    empty = toxicity.scored(odd, marked.where("false"))
+    assert empty.where("score = 0 and predicted = 0").count() == odd.count()
