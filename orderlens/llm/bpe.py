@@ -134,7 +134,14 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, units: int = MEMO_ENTRIES, pieces: int = PIECES):
         self.ranks, self.pairs = ranks, first_pairs(ranks)
         self.split = regex.compile(pattern).findall
-        self.tokens = {r: token for token, r in ranks.items()}
+        # Bytes of the tokens by id, and which ids there are.
+        self.known = np.zeros(max(ranks.values(), default=-1) + 1, bool)
+        table = [b""] * len(self.known)
+        for token, r in ranks.items():
+            table[r], self.known[r] = token, True
+        self.tokens = pa.array(table, pa.large_binary())
+        # Whether a space and letters are one pre-token.
+        self.words = r" ?\p{L}+" in pattern
         self.pieces = Memo(self._merged, pieces)
         self.units = Memo(self._encoded, units)
 
@@ -158,10 +165,26 @@ class Codec:
                 run, size = [], 0
         return out
 
+    def _is_word(self, unit: bytes) -> bool:
+        """Whether the unit is a space and Latin letters, and so one pre-token."""
+        if unit[:1] != b" ":
+            return False
+        if unit[1:].isalpha():  # of bytes: ASCII
+            return True
+        letters = unit[1:].decode()
+        return letters.isalpha() and max(letters) < "\u0250"
+
     def _encoded(self, units: list[bytes]) -> list[bytes]:
-        """Units that may stand together are split into pre-tokens as one text."""
-        together = [i for i, u in enumerate(units) if joinable(u)]
-        alone = sorted(set(range(len(units))).difference(together))
+        """Units of one word are pre-tokens, remembered as units alone; of the others, those that may stand together are
+        split as one text."""
+        word = [self.words and self._is_word(u) for u in units]
+        out = [b""] * len(units)
+        whole = [i for i, w in enumerate(word) if w]
+        for i, ids in zip(whole, self._merged([units[i] for i in whole]), strict=True):
+            out[i] = ids
+        rest = [i for i, w in enumerate(word) if not w]
+        together = [i for i in rest if joinable(units[i])]
+        alone = sorted(set(rest).difference(together))
         split = [p.encode() for p in self.split(b"".join(units[i] for i in together).decode())]
         ends = np.cumsum([len(units[i]) for i in together])
         ends = np.searchsorted(np.cumsum([len(p) for p in split]), ends, "left") + 1
@@ -170,13 +193,17 @@ class Codec:
             parts.append([p.encode() for p in self.split(units[i].decode())])
         wanted = list(dict.fromkeys(p for pieces in parts for p in pieces))
         known = dict(zip(wanted, self.pieces.values(wanted), strict=True))
-        out = [b""] * len(units)
         for i, pieces in zip(together + alone, parts, strict=True):
             out[i] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
         return out
 
-    def decode(self, ids: bytes | None) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[pa.Buffer | None, np.ndarray]:
+        """The bytes that rows of ids stand for, back to back, and the offsets of the rows in them."""
+        if not (ids < len(self.known)).all() or not self.known[ids].all():
+            raise ValueError("an id that the ranks do not have")
+        found = self.tokens.take(pa.array(ids))
+        ends = np.frombuffer(found.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        return found.buffers()[2], ends[offsets]
 
 
 @functools.cache
@@ -231,7 +258,11 @@ def decode(
 
     def run(rows: pa.Array) -> pa.Array:
         known = codec(ranks_file, pattern, units, pieces)
-        return pa.array((known.decode(r.as_py()) for r in rows), pa.binary(), size=len(rows))
+        parts = []
+        for start, stop, data, offsets in slices(pa.RecordBatch.from_arrays([rows.fill_null(b"")], names=["ids"]), "ids", SLICE):
+            raw, ends = known.decode(np.ascontiguousarray(data).view("<u4"), offsets // 4)
+            parts.append(pa.BinaryArray.from_buffers(pa.binary(), stop - start, [None, pa.py_buffer(ends.astype(np.int32)), raw]))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return F.arrow_udf(run, "binary")(ids)
 
