@@ -34,6 +34,9 @@ AGENTS = (
     "'Safari/605.1','Edg/126.0']"
 )
 
+#: The moment at which all reports look at the data.
+AS_OF = "TIMESTAMP '2001-08-02'"
+
 ENTITIES: dict[str, str] = {
     "order_sums": f"""
         SELECT l_orderkey, count(*) AS items,
@@ -105,6 +108,7 @@ ENTITIES: dict[str, str] = {
                      ([1,10,13,16,22,24,33,35,38,43])[CAST((l_linenumber + l_suppkey) % 10 AS INT) + 1] AS TagId,
                      l_suppkey AS supp, l_linenumber AS line, l_returnflag AS Source, l_shipdate AS CreatedOnUtc
               FROM lineitem)""",
+    "known_tags": f"SELECT * FROM order_profit_tag WHERE CreatedOnUtc <= {AS_OF}",
     "order_profit_revision": f"""
         SELECT l_orderkey AS CustomerOrderId, {m(f'{EXT} * (1 - {DISC})')} AS Profit_Actual,
                l_returnflag || l_linestatus AS Notes,

@@ -6,9 +6,7 @@ windows, all pairs), not the way Spark computes it.
 
 from __future__ import annotations
 
-from .entities import with_entities
-
-AS_OF = "TIMESTAMP '2001-08-02'"
+from .entities import AS_OF, with_entities
 
 
 def r(x: str, digits: int = 2) -> str:
@@ -91,7 +89,7 @@ SQL["loss_by_tag"] = f"""
 WITH noted AS (
   SELECT CustomerOrderId, Profit_Actual, IdBookstore, TagId AS tag, Note,
          row_number() OVER (PARTITION BY CustomerOrderId, TagId ORDER BY CreatedOnUtc DESC, Id DESC, Note DESC) AS rn
-  FROM losses JOIN order_profit_tag USING (CustomerOrderId)),
+  FROM losses JOIN known_tags USING (CustomerOrderId)),
 pairs AS (SELECT * FROM noted WHERE rn = 1)
 SELECT g.tag, count(*) AS orders, {r('sum(Profit_Actual)')} AS loss, {avg('Profit_Actual')} AS avg_loss,
        {markets(4, 'pairs', 'tag')} AS markets, left(min(Note), 80) AS example
@@ -100,14 +98,14 @@ FROM pairs g GROUP BY g.tag HAVING count(*) >= 3"""
 SQL["tag_cooccurrence"] = f"""
 SELECT TagId AS tag, count(DISTINCT CustomerOrderId) AS losing_orders, {r('sum(Profit_Actual)')} AS loss_per_tag_row,
        left(min(Note), 90) AS example, min(Source) AS source
-FROM losses JOIN order_profit_tag USING (CustomerOrderId) GROUP BY TagId"""
+FROM losses JOIN known_tags USING (CustomerOrderId) GROUP BY TagId"""
 
 SQL["loss_structure"] = f"""
 WITH classed AS (
   SELECT Profit_Actual, CASE
       WHEN fOrderTotal <= 0 THEN '1. replacement shipment (no revenue)'
-      WHEN EXISTS (SELECT 1 FROM order_profit_tag t WHERE t.CustomerOrderId = o.CustomerOrderId AND TagId = 22) THEN '2. return'
-      WHEN EXISTS (SELECT 1 FROM order_profit_tag t WHERE t.CustomerOrderId = o.CustomerOrderId AND TagId = 33) THEN '3. aged stock sold off'
+      WHEN EXISTS (SELECT 1 FROM known_tags t WHERE t.CustomerOrderId = o.CustomerOrderId AND TagId = 22) THEN '2. return'
+      WHEN EXISTS (SELECT 1 FROM known_tags t WHERE t.CustomerOrderId = o.CustomerOrderId AND TagId = 33) THEN '3. aged stock sold off'
       WHEN Profit_Estimated <= 0 THEN '4. loss already in the plan' ELSE '5. execution error' END AS loss_class
   FROM losses o)
 SELECT loss_class, count(*) AS orders, {r('sum(Profit_Actual)', 0)} AS loss, {avg('Profit_Actual')} AS avg_loss,
@@ -117,13 +115,13 @@ FROM classed GROUP BY loss_class"""
 SQL["loss_by_plan"] = f"""
 SELECT CustomerOrderId AS order_id, cause,
        coalesce((SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT CAST(TagId AS VARCHAR) AS x
-          FROM order_profit_tag t WHERE t.CustomerOrderId = o.CustomerOrderId
+          FROM known_tags t WHERE t.CustomerOrderId = o.CustomerOrderId
             AND TagId IN (1, 10, 13, 16, 17, 21, 24, 35, 37, 38))), '-') AS tags,
        IdBookstore AS market, coalesce(ShippingCountryIso2, '??') AS country, {r('fOrderTotal')} AS order_value,
        {r('ProductCost')} AS product_cost, {r('ShippingCost')} AS shipping_cost, {r('Profit_Actual')} AS loss
 FROM losses o
 WHERE fOrderTotal > 0 AND Profit_Estimated <= 0 AND abs(Profit_Actual - Profit_Estimated) <= 3 AND cause <> 5
-  AND NOT EXISTS (SELECT 1 FROM order_profit_tag t WHERE t.CustomerOrderId = o.CustomerOrderId AND TagId IN (22, 33))
+  AND NOT EXISTS (SELECT 1 FROM known_tags t WHERE t.CustomerOrderId = o.CustomerOrderId AND TagId IN (22, 33))
 ORDER BY Profit_Actual, CustomerOrderId LIMIT 12"""
 
 SQL["zero_revenue_shipments"] = f"""
@@ -165,7 +163,7 @@ SQL["weekly_losses"] = f"""
 SELECT CustomerOrderId AS order_id, IdBookstore AS market, CAST(OrderCreatedOnUtc AS DATE) AS ordered_on,
        {r('Profit_Actual')} AS profit, {r('fOrderTotal')} AS order_value,
        {pct('abs(Profit_Actual)', 'fOrderTotal')} AS loss_pct,
-       CASE WHEN EXISTS (SELECT 1 FROM order_profit_tag t WHERE t.CustomerOrderId = o.CustomerOrderId)
+       CASE WHEN EXISTS (SELECT 1 FROM known_tags t WHERE t.CustomerOrderId = o.CustomerOrderId)
             THEN 'tagged' ELSE 'none' END AS tags
 FROM order_profit o WHERE OrderStatusId <> 40 AND Profit_Actual < 0
 ORDER BY Profit_Actual, CustomerOrderId LIMIT 15"""
@@ -270,7 +268,7 @@ SELECT CAST(p AS VARCHAR) AS ean, s + 5 AS method_id, s_name AS method, lower(s_
        first_day AS mapped
 FROM supplied LEFT JOIN supplier ON s_suppkey = s + 5"""
 
-HAS = "EXISTS (SELECT 1 FROM order_profit_tag t WHERE t.CustomerOrderId = o.CustomerOrderId AND t.TagId = {tag})"
+HAS = "EXISTS (SELECT 1 FROM known_tags t WHERE t.CustomerOrderId = o.CustomerOrderId AND t.TagId = {tag})"
 
 SQL["driver_means"] = f"""
 SELECT CASE WHEN {HAS.format(tag=35)} THEN 'tagged' ELSE 'base' END AS cohort, count(*) AS orders,
@@ -322,7 +320,7 @@ FROM ranked GROUP BY month"""
 
 SQL["tag_base_rate"] = f"""
 WITH req AS (SELECT DISTINCT CustomerOrderId, trim(nullif(regexp_extract(Note, 'request to (.+)$', 1), '')) AS supplier
-             FROM order_profit_tag WHERE TagId = 35),
+             FROM known_tags WHERE TagId = 35),
 o2 AS (SELECT Profit_Actual AS p, coalesce(supplier, '(base)') AS supplier FROM settled LEFT JOIN req USING (CustomerOrderId)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY supplier ORDER BY p) AS rn, count(*) OVER (PARTITION BY supplier) AS cnt FROM o2)
 SELECT supplier, count(*) AS orders, {pct(n('p < 0'), n())} AS loss_pct, {avg('p')} AS avg_profit,
@@ -735,10 +733,20 @@ SQL["watermark_profile"] = " UNION ALL ".join(
     ]
 )
 
+SQL["run_checks_rows"] = f"""
+SELECT 'loss_topk' AS "check", row_number() OVER (ORDER BY loss, order_id) AS row_no, order_id, cause,
+       NULL AS tag, NULL AS orders, loss, NULL AS markets, NULL AS example,
+       'https://panel.example/order?id=' || order_id AS link FROM ({SQL['loss_topk']})
+UNION ALL SELECT 'loss_patterns', row_number() OVER (ORDER BY cause), NULL, cause, NULL, orders, loss, markets, NULL, NULL
+  FROM ({SQL['loss_patterns']})
+UNION ALL SELECT 'loss_by_tag', row_number() OVER (ORDER BY tag), NULL, NULL, tag, orders, loss, markets, example, NULL
+  FROM ({SQL['loss_by_tag']})
+UNION ALL SELECT 'silence_alarm', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL"""
+
 SQL["run_checks_summary"] = f"""
 SELECT 'loss_topk' AS "check", (SELECT count(*) FROM ({SQL['loss_topk']})) AS "rows", false AS silent, false AS failed
 UNION ALL SELECT 'loss_patterns', (SELECT count(*) FROM ({SQL['loss_patterns']})), false, false
-UNION ALL SELECT 'loss_by_tag', (SELECT count(*) FROM (SELECT TagId FROM losses JOIN order_profit_tag USING (CustomerOrderId)
+UNION ALL SELECT 'loss_by_tag', (SELECT count(*) FROM (SELECT TagId FROM losses JOIN known_tags USING (CustomerOrderId)
     GROUP BY TagId HAVING count(DISTINCT CustomerOrderId) >= 3)), false, false
 UNION ALL SELECT 'silence_alarm', 1, false, false UNION ALL SELECT 'no_silence', 0, true, false
 UNION ALL SELECT 'broken', NULL, false, true"""

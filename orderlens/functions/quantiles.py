@@ -2,15 +2,19 @@
 
 ``percentile`` holds every distinct value of a group in one task, and a plain
 ranking window sorts the whole group there. Here a bounded sketch first brackets
-each wanted rank; only the values inside the narrow bracket are then counted and
-ranked, everything else is folded into the bracket edges by partial aggregation.
+each wanted rank; values outside the brackets are folded into their edges by
+partial aggregation. The values inside still grow with the group, so they are
+dealt to ``CELLS`` cells of ascending values: cumulated cell counts tell which
+cells hold a wanted rank, and only the values of those cells are ranked, each
+cell by itself.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .money import dec
@@ -18,23 +22,48 @@ from .money import dec
 SKETCH_ACCURACY = 10_000
 # Twice the sketch's rank error on each side, so the wanted rank is always inside.
 MARGIN = 2.0 / SKETCH_ACCURACY
+# Cells of equal width in each bracket.
+CELLS = 4096
+
+
+def _ranks(p: float, interpolate: bool) -> list[Column]:
+    """The ranks whose values make up a quantile of ``_n`` values."""
+    if interpolate:
+        return [F.floor(dec(p) * (F.col("_n") - 1)) + 1, F.ceil(dec(p) * (F.col("_n") - 1)) + 1]
+    return [F.greatest(F.lit(1), F.ceil(dec(p) * F.col("_n")))]
 
 
 def _pick(ranked: DataFrame, keys: Sequence[str], probs: dict[str, float], interpolate: bool):
     out = []
     for name, p in probs.items():
-        if interpolate:
-            low = F.floor(dec(p) * (F.col("_n") - 1)) + 1
-            high = F.ceil(dec(p) * (F.col("_n") - 1)) + 1
-            first = F.min(F.when(F.col("_cum") >= low, F.col("_v")))
-            second = F.min(F.when(F.col("_cum") >= high, F.col("_v")))
-            out.append(((first + second) / 2).alias(name))
-        else:
-            rank = F.greatest(F.lit(1), F.ceil(dec(p) * F.col("_n")))
-            out.append(F.min(F.when(F.col("_cum") >= rank, F.col("_v"))).alias(name))
+        found = [F.min(F.when(F.col("_cum") >= rank, F.col("_v"))) for rank in _ranks(p, interpolate)]
+        out.append(((found[0] + found[1]) / 2 if interpolate else found[0]).alias(name))
     return ranked.groupBy(*keys).agg(*out)
 
 
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    """A NULL key is a group like any other."""
+    return reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys], F.lit(True))
+
+
+def _wanted_cells(counted: DataFrame, keys: list[str], probs: dict[str, float], interpolate: bool) -> DataFrame:
+    """The rows of cells that hold a wanted rank, with the running count of their values."""
+    sums = counted.groupBy(*keys, "_n", "_cell").agg(F.sum("_c").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = sums.withColumn("_before", F.coalesce(F.sum("_s").over(earlier), F.lit(0)))
+    holds = [
+        (F.col("_before") < rank) & (rank <= F.col("_before") + F.col("_s"))
+        for p in probs.values()
+        for rank in _ranks(p, interpolate)
+    ]
+    wanted = cells.where(reduce(lambda x, y: x | y, holds)).select(
+        *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_cell").alias("_w_cell"), "_before"
+    )
+    rows = counted.join(wanted, _same(keys, "_w_") & (F.col("_cell") == F.col("_w_cell")))
+    inside = Window.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("_cum", F.col("_before") + F.sum("_c").over(inside))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -76,27 +105,28 @@ def exact_quantiles(
             F.percentile_approx("_v", edges, SKETCH_ACCURACY).alias("_b"),
         )
         if keys:
-            # Join on renamed, null-safe keys: a NULL key is a group like any other.
             right = brackets.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", "_b")
-            cond = F.lit(True)
-            for k in keys:
-                cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-            joined = values.join(right, cond)
+            joined = values.join(right, _same(keys, "_k_"))
         else:
             one = F.lit(1).alias("_one")
             joined = values.select("*", one).join(brackets.select("*", one), "_one")
-        clamped = None
+        clamped = cell = None
         for i in range(len(ordered)):
             low, high = F.col("_b")[2 * i], F.col("_b")[2 * i + 1]
             inside = F.greatest(F.col("_v"), low)
             test = F.col("_v") <= high
+            # Ascending with the value; a bracket of no or no finite width is one cell.
+            width = high.cast("double") - low.cast("double")
+            share = F.when((width > 0) & (width < float("inf")), (inside.cast("double") - low.cast("double")) / width)
+            number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * CELLS), F.lit(CELLS - 1)).cast("int") + i * CELLS
             clamped = F.when(test, inside) if clamped is None else clamped.when(test, inside)
+            cell = F.when(test, number) if cell is None else cell.when(test, number)
         counted = (
-            joined.select(*keys, "_n", clamped.alias("_v"))
+            joined.select(*keys, "_n", clamped.alias("_v"), cell.alias("_cell"))
             .where(F.col("_v").isNotNull())
-            .groupBy(*keys, "_n", "_v")
+            .groupBy(*keys, "_n", "_v", "_cell")
             .agg(F.count(F.lit(1)).alias("_c"))
         )
+        return _pick(_wanted_cells(counted, keys, probs, interpolate), keys, probs, interpolate)
     running = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_cum", F.sum("_c").over(running))
-    return _pick(ranked, keys, probs, interpolate)
+    return _pick(counted.withColumn("_cum", F.sum("_c").over(running)), keys, probs, interpolate)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import When, since
+from ..functions.time import When, since, ts
 
 CANCELLED = 40
 
@@ -28,15 +28,23 @@ def losing_orders(order_profit: DataFrame, as_of: When, days: int, below: float
     return settled_orders(order_profit, as_of, days).where(F.col("Profit_Actual") < below)
 
 
-def tagged_orders(tags: DataFrame, *tag_ids: int) -> DataFrame:
-    """Distinct order ids that carry one of the tags.
+def known_tags(tags: DataFrame, as_of: When, *tag_ids: int) -> DataFrame:
+    """The tags that stood on orders at the moment ``as_of``, if given only those of some kinds.
+
+    Every report that looks at tags goes through here, so that a replay of a past moment sees no tag that was set
+    later. A tag without a time is not known to have stood there.
+    """
+    known = tags.where(F.col("CreatedOnUtc") <= ts(as_of))
+    return known.where(F.col("TagId").isin(*tag_ids)) if tag_ids else known
+
+
+def tagged_orders(tags: DataFrame, as_of: When, *tag_ids: int) -> DataFrame:
+    """Distinct order ids that carried one of the tags at ``as_of``.
 
     Reduced to keys before any join, so repeated tags never multiply rows and an
     order with very many tags weighs as much as one with a single tag.
     """
-    if tag_ids:
-        tags = tags.where(F.col("TagId").isin(*tag_ids))
-    return tags.select("CustomerOrderId").distinct()
+    return known_tags(tags, as_of, *tag_ids).select("CustomerOrderId").distinct()
 
 
 def with_flag(df: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:

@@ -19,6 +19,7 @@ SETTLING_DAYS = 5
 
 # Upper edges of the weight bands in kilograms.
 WEIGHT_BANDS = ((0.10, "a"), (0.25, "b"), (0.50, "c"), (1.00, "d"))
+# How notes state a deadline and a supplier.
 DEADLINE_PATTERN = r"\((\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}Z)\)"
 SUPPLIER_PATTERN = r"było do (.+)$"
 BASE = "(base)"
@@ -73,7 +74,7 @@ def tag_share_weekly(
     orders = order_profit.where(_closed("OrderCreatedOnUtc", first, as_of) & settled()).select(
         "CustomerOrderId", week_start(F.col("OrderCreatedOnUtc")).alias("week")
     )
-    flagged = with_flag(orders, tagged_orders(tags, tag), "CustomerOrderId", "tagged")
+    flagged = with_flag(orders, tagged_orders(tags, as_of, tag), "CustomerOrderId", "tagged")
     with_tag = F.count_if("tagged")
     return flagged.groupBy("week").agg(
         row_count().alias("orders"), with_tag.alias("tagged"), pct(with_tag, row_count(), 2).alias("tagged_pct")
@@ -111,7 +112,7 @@ def upgrade_counterfactual(
         F.col("fShippingCostTotal").alias("cost"),
     )
     joined = orders.join(costs, "CustomerOrderId")
-    flagged = with_flag(joined, tagged_orders(tags, tag), "CustomerOrderId", "upgraded")
+    flagged = with_flag(joined, tagged_orders(tags, as_of, tag), "CustomerOrderId", "upgraded")
     cells = (
         flagged.withColumn("is_cheap", any_like(F.col("method"), cheap))
         .groupBy("country", "band", "method", "upgraded", "is_cheap")
@@ -233,8 +234,8 @@ def tag_base_rate(
     )
 
 
-def _base_rate_by(orders: DataFrame, tags: DataFrame, tag: int, by: str) -> DataFrame:
-    flagged = with_flag(orders, tagged_orders(tags, tag), "CustomerOrderId", "tagged")
+def _base_rate_by(orders: DataFrame, tags: DataFrame, as_of: When, tag: int, by: str) -> DataFrame:
+    flagged = with_flag(orders, tagged_orders(tags, as_of, tag), "CustomerOrderId", "tagged")
     lost = F.col("Profit_Actual") < 0
     hit = F.col("tagged")
     return flagged.groupBy(by).agg(
@@ -258,7 +259,7 @@ def tag_base_rate_monthly(
     ratio = F.try_divide(
         exact("tagged_losses") * exact("base_orders"), exact("tagged_orders") * exact("base_losses")
     )
-    return _base_rate_by(orders, tags, tag, "month").select(
+    return _base_rate_by(orders, tags, as_of, tag, "month").select(
         "month",
         "tagged_orders",
         pct("tagged_losses", "tagged_orders").alias("tagged_loss_pct"),
@@ -273,7 +274,7 @@ def tag_base_rate_by_market(
 ) -> DataFrame:
     """Loss rate of tagged orders and of the base, per market."""
     orders = settled_orders(order_profit, as_of, days).withColumn("market", F.col("IdBookstore"))
-    return _base_rate_by(orders, tags, tag, "market").select(
+    return _base_rate_by(orders, tags, as_of, tag, "market").select(
         "market",
         "tagged_orders",
         pct("tagged_losses", "tagged_orders").alias("tagged_loss_pct"),
@@ -285,7 +286,7 @@ def _fulfilled(fulfilment: DataFrame, tags: DataFrame, first: When, until: When,
     rows = fulfilment.where(
         (F.col("ORDER_CREATED") >= ts(first)) & (F.col("ORDER_CREATED") < ts(until))
     )
-    return with_flag(rows, tagged_orders(tags, tag), "CustomerOrderId", "upgraded")
+    return with_flag(rows, tagged_orders(tags, until, tag), "CustomerOrderId", "upgraded")
 
 
 def _mean_hours(column: str) -> F.Column:

@@ -48,20 +48,35 @@ def delta_extract(source: DataFrame, column: str, mark: dt.datetime | int | None
 def key_chunks(source: DataFrame, key: str, *, size: int) -> DataFrame:
     """Windows of ``size`` consecutive keys from the smallest to the largest key.
 
-    Windows without rows are listed too: they are what a range pull would ask for.
+    Windows without rows are listed too: they are what a range pull would ask for. The
+    windows between two sparse keys can be very many, so they are made in runs: as many
+    runs as a run has windows, spread over the tasks before they are opened.
     """
-    bounds = source.agg(F.min(key).alias("low"), F.max(key).alias("high")).where(F.col("low").isNotNull())
-    windows = bounds.select(
-        F.explode(F.sequence(F.col("low"), F.col("high"), F.lit(size).cast("bigint"))).alias("first_key"), "low"
-    ).select(
-        ((F.col("first_key") - F.col("low")) / size).cast("bigint").alias("chunk"),
-        "first_key",
-        (F.col("first_key") + size - 1).alias("last_key"),
+    wide = "decimal(20,0)"
+    bounds = source.agg(F.min(key).cast("bigint").alias("low"), F.max(key).cast("bigint").alias("high"))
+    count = F.expr(f"(cast(high as {wide}) - low) div {size}") + 1
+    run = F.ceil(F.sqrt(F.col("windows").cast("double"))).cast("bigint")
+    runs = (
+        bounds.where(F.col("low").isNotNull())
+        .withColumn("windows", count)
+        .withColumn("run", run)
+        .withColumn("at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr("(windows - 1) div run"))))
+        .repartition("at")
     )
-    low = source.agg(F.min(key)).scalar()
+    end = F.least(F.col("at") * F.col("run") + F.col("run"), F.col("windows")) - 1
+    first_key = (F.col("low").cast(wide) + F.col("chunk") * F.lit(size).cast(wide)).cast("bigint")
+    # The last window may reach beyond the largest 64-bit number.
+    last_key = F.least(F.col("first_key").cast(wide) + (size - 1), F.lit(2**63 - 1).cast(wide)).cast("bigint")
+    windows = (
+        runs.select("low", F.explode(F.sequence(F.col("at") * F.col("run"), end)).alias("chunk"))
+        .select("chunk", first_key.alias("first_key"))
+        .withColumn("last_key", last_key)
+    )
+    low = source.agg(F.min(key).alias("_low"))
     counted = (
         source.where(F.col(key).isNotNull())
-        .groupBy(F.floor((F.col(key) - low) / size).alias("chunk"))
+        .select((F.col(key).cast(wide) - low.scalar()).alias("_off"))
+        .groupBy(F.expr(f"_off div {size}").alias("chunk"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     return windows.join(counted, "chunk", "left").select(

@@ -16,7 +16,7 @@ from ..functions.classify import (
 )
 from ..functions.money import dec, pct, ratio, rounded, row_count
 from ..functions.time import When, since, to_datetime
-from .filters import losing_orders, not_cancelled, settled_orders, tagged_orders, with_flag
+from .filters import known_tags, losing_orders, not_cancelled, settled_orders, tagged_orders, with_flag
 
 RETURN_TAG = 22
 AGED_STOCK_TAG = 33
@@ -162,7 +162,7 @@ def loss_by_tag(
     losses = losing_orders(order_profit, as_of, days).select(
         "CustomerOrderId", F.col("IdBookstore").alias("market"), "Profit_Actual"
     )
-    losing = tags.join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
+    losing = known_tags(tags, as_of).join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
     newest = losing.groupBy("CustomerOrderId", "TagId").agg(
         F.max_by("Note", F.struct("CreatedOnUtc", "Id", "Note")).alias("note")
     )
@@ -206,7 +206,7 @@ def tag_cooccurrence(
     The repeats are counted per (order, tag) first, so the join sees each pair once.
     """
     losses = losing_orders(order_profit, as_of, days).select("CustomerOrderId", "Profit_Actual")
-    losing = tags.join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
+    losing = known_tags(tags, as_of).join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
     repeats = losing.groupBy("CustomerOrderId", "TagId").agg(
         row_count().alias("rows"), F.min("Note").alias("note"), F.min("Source").alias("source")
     )
@@ -238,7 +238,7 @@ def loss_structure(
     if report_day is not None and to_datetime(as_of).day != report_day:
         losses = losses.where(F.lit(False))
     marks = (
-        tags.where(F.col("TagId").isin(RETURN_TAG, AGED_STOCK_TAG))
+        known_tags(tags, as_of, RETURN_TAG, AGED_STOCK_TAG)
         .groupBy("CustomerOrderId")
         .agg(
             F.bool_or(F.col("TagId") == RETURN_TAG).alias("returned"),
@@ -289,12 +289,12 @@ def loss_by_plan(
         .where(F.col("cause") != OTHER_CAUSE)
     )
     helpers = (
-        tags.where(F.col("TagId").isin(*HELPER_TAGS))
+        known_tags(tags, as_of, *HELPER_TAGS)
         .groupBy("CustomerOrderId")
         .agg(F.array_join(F.sort_array(F.collect_set(F.col("TagId").cast("string"))), ",").alias("tags"))
     )
     worst = (
-        planned.join(tagged_orders(tags, RETURN_TAG, AGED_STOCK_TAG), "CustomerOrderId", "left_anti")
+        planned.join(tagged_orders(tags, as_of, RETURN_TAG, AGED_STOCK_TAG), "CustomerOrderId", "left_anti")
         .orderBy("Profit_Actual", "CustomerOrderId")
         .limit(k)
     )
@@ -415,7 +415,7 @@ def weekly_losses(
         .orderBy("Profit_Actual", "CustomerOrderId")
         .limit(k)
     )
-    return with_flag(worst, tagged_orders(tags), "CustomerOrderId", "tagged").select(
+    return with_flag(worst, tagged_orders(tags, as_of), "CustomerOrderId", "tagged").select(
         F.col("CustomerOrderId").alias("order_id"),
         F.col("IdBookstore").alias("market"),
         F.col("OrderCreatedOnUtc").cast("date").alias("ordered_on"),

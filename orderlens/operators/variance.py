@@ -309,7 +309,7 @@ def driver_means(
     orders = settled_orders(order_profit, as_of, days)
     if market is not None:
         orders = orders.where(F.col("IdBookstore") == market)
-    flagged = with_flag(orders, tagged_orders(tags, tag), "CustomerOrderId", "tagged")
+    flagged = with_flag(orders, tagged_orders(tags, as_of, tag), "CustomerOrderId", "tagged")
     return flagged.groupBy(F.when(F.col("tagged"), "tagged").otherwise("base").alias("cohort")).agg(
         row_count().alias("orders"),
         rounded(F.avg("fOrderTotal")).alias("avg_revenue"),

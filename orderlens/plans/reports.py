@@ -14,7 +14,7 @@ from ..contracts import TableContract, registry_frame
 from ..operators import baskets, cohorts, cost, crawl, fulfilment, ingest, loss, trust, variance
 from ..sources.entities import Entities
 from ..sources.scratch import shared_folder, staged
-from .checks import Check, CheckResults, run_checks
+from .checks import Check, CheckResults, run_checks, typed
 
 AS_OF = "2001-08-02"
 START = "1995-01-01"
@@ -560,7 +560,9 @@ def _checked(e: Entities) -> CheckResults:
 
 @report
 def run_checks_rows(e):
-    return _checked(e).rows.select("check", "row_no", "payload", "link")
+    """The rows of all checks; of each payload the fields that the checks share, read back with their types."""
+    fields = "order_id bigint, cause int, tag int, orders bigint, loss double, markets string, example string"
+    return typed(_checked(e).rows, fields)
 
 
 @report

@@ -6,6 +6,7 @@ import json
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from orderlens.contracts import ContractError, TableContract, load_registry, registry_frame
 from orderlens.operators import ingest
@@ -226,3 +227,15 @@ def test_stream_merges_what_arrives(spark, tmp_path):
     run()
     run()
     assert [(k, n) for k, n, _ in stored(spark, root)] == [(1, "a"), (2, "b2"), (3, "c")]
+
+
+def test_windows_between_sparse_and_extreme_keys(spark):
+    ids = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,), (None,)], "id bigint")
+    got = [tuple(r) for r in ingest.key_chunks(ids, "id", size=2**61).orderBy("chunk").collect()]
+    assert [(r[0], r[3]) for r in got] == [(i, int(i in (0, 4, 7))) for i in range(8)]
+    assert got[0][1:3] == (-(2**63), -(2**63) + 2**61 - 1) and got[7][2] == 2**63 - 1
+    wide = spark.createDataFrame([(7,), (7 + 20_000_000,)], "id bigint")
+    found = ingest.key_chunks(wide, "id", size=10)
+    assert found.agg(F.count("*"), F.sum("rows"), F.max("last_key"), F.countDistinct("chunk")).first()[:] == (
+        2_000_001, 2, 7 + 20_000_009, 2_000_001,
+    )

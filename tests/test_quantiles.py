@@ -72,3 +72,31 @@ def test_no_keys(spark):
 def test_interpolation_needs_the_median(spark):
     with pytest.raises(ValueError):
         exact_quantiles(spark.range(3), [], "id", {"p": 0.9}, interpolate=True)
+
+
+def test_ranks_of_very_many_distinct_values(spark, monkeypatch):
+    """Cells split the bracket, whatever the values' kind and spread."""
+    from orderlens.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "MARGIN", 0.2)
+    monkeypatch.setattr(quantiles, "CELLS", 7)
+    rng = random.Random(3)
+    for kind, make in (
+        ("double", lambda: rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300)),
+        ("decimal(18,4)", lambda: Decimal(rng.randint(-(10**9), 10**9)) / 10_000),
+        ("bigint", lambda: rng.choice([0, 0, 0, rng.randint(-5, 5), rng.randint(-(2**62), 2**62)])),
+    ):
+        rows = [("a" if i % 3 else None, make()) for i in range(3000)]
+        frame = spark.createDataFrame(rows, f"k string, v {kind}")
+        probs = {"p1": 0.01, "p10": 0.1, "half": 0.5, "p60": 0.6, "p99": 0.99}
+        found = {r.k: r for r in quantiles.exact_quantiles(frame, ["k"], "v", probs).collect()}
+        for key in ("a", None):
+            values = [v for k, v in rows if k == key]
+            assert [found[key][p] for p in probs] == [disc(values, p) for p in probs.values()], kind
+
+
+def test_no_task_ranks_a_whole_group(spark):
+    frame = spark.range(200_000).selectExpr("'hot' AS k", "xxhash64(id) AS v")
+    plan = exact_quantiles(frame, ["k"], "v", {"half": 0.5})._jdf.queryExecution().executedPlan().toString()
+    ranking = [line for line in plan.splitlines() if "Window" in line and "_v" in line]
+    assert ranking and all("_cell" in line for line in ranking)

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from orderlens.operators import trust
-from orderlens.plans.checks import Check, failed, run_checks
+from orderlens.plans.checks import Check, failed, run_checks, typed
 
 T0 = dt.datetime(2026, 3, 10)
 
@@ -119,3 +119,14 @@ def test_checks_are_isolated(spark):
     assert failed(results)
     assert [r.link for r in results.links.orderBy("link").collect()] == ["https://x/1?p=100%", "https://x/2?p=100%"]
     results.release()
+
+
+def test_rows_of_long_reports_are_numbered_by_ranges(spark):
+    many = spark.range(5000).selectExpr("id", "id % 7 AS g", "xxhash64(id) AS x").repartition(5)
+    results = run_checks(spark, [Check("many", lambda: many, order_by=("g", "x"))])
+    rows = typed(results.rows, "g int, x bigint").orderBy("row_no").collect()
+    assert [r.row_no for r in rows] == list(range(1, 5001))
+    assert [(r.g, r.x) for r in rows] == sorted((r.g, r.x) for r in rows)
+    plan = results.rows._jdf.queryExecution().toString()
+    assert "SinglePartition" not in [line for line in plan.splitlines() if "payload" in line and "Exchange" in line]
+    results.release()
