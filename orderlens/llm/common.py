@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 # Text handled at once inside a task; a longer document is handled alone.
 SLICE_BYTES = 1 << 18
 MASK = (1 << 64) - 1
-# Odd multipliers, so that they have an inverse modulo 2**64.
-BYTE_BASE = 0x9E3779B97F4A7C15
-WORD_BASE = 0xD1342543DE82EF95
+# Rabin-Karp hashes are taken modulo a prime: modulo 2**64, sequences of two values collide whatever the base.
+PRIME = (1 << 61) - 1
+# Two independent bases.
+WORD_BASE, OTHER_BASE = 0x1342543DE82EF95A, 0x0AF251AF3B0F025B
 
 # The white space of the word contracts: space and the code points 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
@@ -130,20 +131,38 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data | 32, data)
 
 
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, for numbers below it."""
+    low, mask = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> low, a & mask, b >> low, b & mask
+    middle = a1 * b0 + a0 * b1  # stands for itself times 2**31
+    # 2**62 is 2, and 2**61 is 1.
+    out = a1 * b1 * np.uint64(2) + (middle >> np.uint64(30)) + ((middle & np.uint64((1 << 30) - 1)) << low) + a0 * b0
+    return reduced(out)
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    p = np.uint64(PRIME)
+    x = (x & p) + (x >> np.uint64(61))
+    return np.where(x >= p, x - p, x)
+
+
 _TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n. Tables up to one slice are kept."""
+    """base**i and base**-i modulo PRIME for i < n. Tables up to one slice are kept."""
     if base in _TABLES and len(_TABLES[base][0]) >= n:
         return _TABLES[base][0][:n], _TABLES[base][1][:n]
-    size = max(n, SLICE_BYTES + 1)
+    size = max(n, SLICE_BYTES // 2 + 2)
     out = []
-    for factor in (base, pow(base, -1, 1 << 64)):
-        steps = np.full(size, factor, np.uint64)
-        steps[0] = 1
-        out.append(np.cumprod(steps, dtype=np.uint64))
-    if size <= 2 * SLICE_BYTES:
+    for factor in (base, pow(base, -1, PRIME)):
+        table = np.ones(1, np.uint64)
+        while len(table) < size:
+            table = np.concatenate((table, times(table, np.full(len(table), pow(factor, len(table), PRIME), np.uint64))))
+        out.append(table[:size])
+    if size <= SLICE_BYTES:
         _TABLES[base] = (out[0], out[1])
     return out[0][:n], out[1][:n]
 
@@ -156,15 +175,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def prefix_hashes(values: np.ndarray, base: int) -> np.ndarray:
-    """n + 1 running sums of values[i] * base**i modulo 2**64."""
+    """n + 1 running sums of values[i] * base**i modulo PRIME."""
+    terms = times(reduced(values.astype(np.uint64, copy=False)), powers(base, len(values))[0])
+    # The halves of the terms are summed apart, so that no sum overflows.
+    high, low = np.cumsum(terms >> np.uint64(31)), np.cumsum(terms & np.uint64((1 << 31) - 1))
     out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64, copy=False) * powers(base, len(values))[0], out=out[1:], dtype=np.uint64)
+    out[1:] = reduced(times(reduced(high), np.full(len(high), 1 << 31, np.uint64)) + reduced(low))
     return out
 
 
 def span_hashes(prefix: np.ndarray, start: np.ndarray, stop: np.ndarray, base: int) -> np.ndarray:
     """Rabin-Karp hashes of the spans, the same wherever a span stands."""
-    return (prefix[stop] - prefix[start]) * powers(base, len(prefix))[1][start]
+    return times(reduced(prefix[stop] + np.uint64(PRIME) - prefix[start]), powers(base, len(prefix))[1][start])
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,7 +203,19 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, stops, np.searchsorted(starts, offsets, "left")
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    # Bytes count from one, so that a leading zero byte changes the value.
-    prefix = prefix_hashes(data.astype(np.uint64) + np.uint64(1), BYTE_BASE)
-    return mix(span_hashes(prefix, starts, stops, BYTE_BASE) + (stops - starts).astype(np.uint64))
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash of the bytes of each word: eight at a time, each scrambled with its place, and their sum scrambled again."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    length = stops - starts
+    lanes = (length + 7) >> 3
+    upto = np.cumsum(lanes)
+    place = np.arange(upto[-1]) - np.repeat(upto - lanes, lanes)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))[np.repeat(starts, lanes) + 8 * place]
+    rest = np.minimum(np.repeat(length, lanes) - 8 * place, 8).astype(np.uint64)
+    eight = eight & (np.uint64(MASK) >> (np.uint64(64) - np.uint64(8) * rest))
+    step = np.uint64((0x9E3779B97F4A7C15 * (2 * seed + 1)) & MASK)
+    mixed = mix(mix(eight + step) + (place.astype(np.uint64) + np.uint64(1)) * step)
+    sums = np.add.reduceat(mixed, upto - lanes)
+    return mix(sums ^ (length.astype(np.uint64) * step))

@@ -5,7 +5,8 @@ each collection, so ``2 * bands * rows`` minima give ``bands ** 2`` tables of ``
 need ``2 * rows * bands ** 2``. Two documents meet if one band of either collection agrees. ``bands`` is the smallest
 number for which a pair at the threshold is missed with a probability of at most ``MISS``.
 
-Steps: documents with equal shingle sets collapse to one class, whose smallest id goes on. Classes that share no band of
+Steps: documents with equal shingle sets, told by their size and two independent 64-bit hashes of words, shingles and sets,
+collapse to one class, whose smallest id goes on. Classes that share no band of
 the first collection with another one cannot meet anyone and are done. The others are keyed by all tables; the members of
 a table are linked to its smallest id, and the components of these links are the candidate clusters: any two documents
 that meet in a table are in one cluster. In every cluster all links are then confirmed or refused on full shingle sets,
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BASE, give_back, lower_ascii, mix, prefix_hashes, slices, span_hashes, staged, word_hashes, words
+from .common import OTHER_BASE, WORD_BASE, give_back, lower_ascii, mix, prefix_hashes, slices, span_hashes, staged, word_hashes, words
 from .components import components
 
 # Probability with which a pair at the threshold shares no table.
@@ -48,35 +49,40 @@ def bands_for(threshold: Fraction, rows: int, miss: float = MISS) -> int:
     return math.ceil(math.log(miss / 2) / math.log(1 - float(threshold) ** rows))
 
 
-def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each row back to back, and the offsets of the rows in them."""
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each row back to back, a second and independent hash of each shingle, and the offsets
+    of the rows in them."""
     starts, stops, firsts = words(data, offsets)
     count = np.diff(firsts)
-    hashes = word_hashes(data, starts, stops)
-    prefix = prefix_hashes(hashes, WORD_BASE)
+    prefixes = [
+        prefix_hashes(word_hashes(data, starts, stops, seed), base) for seed, base in ((0, WORD_BASE), (1, OTHER_BASE))
+    ]
     row = np.repeat(np.arange(len(count)), count)
-    at = np.arange(len(hashes))
+    at = np.arange(len(starts))
     whole = count[row] < size
     use = np.where(whole, at == firsts[:-1][row], at + size <= firsts[1:][row])
     at, row = at[use], row[use]
     length = np.where(count[row] < size, count[row], size)
-    made = mix(span_hashes(prefix, at, at + length, WORD_BASE) + length.astype(np.uint64))
+    made, other = (
+        mix(span_hashes(prefix, at, at + length, base) + length.astype(np.uint64))
+        for prefix, base in zip(prefixes, (WORD_BASE, OTHER_BASE), strict=True)
+    )
     order = np.lexsort((made, row))
-    made, row = made[order], row[order]
+    made, other, row = made[order], other[order], row[order]
     new = np.ones(len(made), bool)
     new[1:] = (made[1:] != made[:-1]) | (row[1:] != row[:-1])
-    return made[new], np.searchsorted(row[new], np.arange(len(count) + 1))
+    return made[new], other[new], np.searchsorted(row[new], np.arange(len(count) + 1))
 
 
 def signatures(rows: DataFrame, size: int, bands: int, per_band: int) -> DataFrame:
-    """The band hashes of both collections, and two order-free hashes of the whole set."""
+    """The band hashes of both collections, and two independent and order-free hashes of the whole set."""
     total = 2 * bands * per_band
     seeds = mix(np.arange(1, total + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop, data, offsets in slices(batch, "text"):
-                made, at = shingle_hashes(lower_ascii(data), offsets, size)
+                made, other, at = shingle_hashes(lower_ascii(data), offsets, size)
                 n = np.diff(at)
                 full = np.flatnonzero(n)
                 begin = at[:-1][full]
@@ -88,7 +94,7 @@ def signatures(rows: DataFrame, size: int, bands: int, per_band: int) -> DataFra
                         least = np.minimum.reduceat(made * seeds[i], begin)
                         bands_of[:, i // per_band] = mix(bands_of[:, i // per_band] ^ least)
                     h1[full] = np.add.reduceat(made, begin)
-                    h2[full] = np.bitwise_xor.reduceat(mix(made), begin)
+                    h2[full] = np.add.reduceat(other, begin)
                 lists = np.zeros((len(n), 2 * bands), np.uint64)
                 lists[full] = bands_of
                 signed = lists.view(np.int64)

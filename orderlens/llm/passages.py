@@ -10,7 +10,8 @@ windows with the same smallest hash form a segment, about one row for twenty wor
 3. where different segments share a smallest hash (the edges of a passage), one copy of each segment has all its windows
    hashed, counted, and compared one by one.
 
-Removed windows merge into maximal intervals per document. Hot passages are pre-aggregated to their smallest id, and rows
+Equal words are told by two independent 64-bit hashes besides the smallest one. A row is known by its id and a hash of its
+text. Removed windows merge into maximal intervals per document. Hot passages are pre-aggregated to their smallest id, and rows
 meet these in joins on the hash, which Spark splits. Null text has no words. Documents with a null id keep all words and
 are no source. Rows that repeat an id are judged each by its own text, and none of them is a source for the others.
 """
@@ -25,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_BASE, mix, prefix_hashes, slices, span_hashes, staged, word_hashes, words
+from .common import OTHER_BASE, WORD_BASE, mix, prefix_hashes, slices, span_hashes, staged, word_hashes, words
 
 WINDOW = 50
 # Words of the spans whose hashes choose the segment of a window.
 SPAN = 8
 
-SEGMENT = "row_key long, doc_id long, m long, s long, w0 int, nw int"
+SEGMENT = "row_key long, doc_id long, m long, s long, t long, w0 int, nw int"
 FIRST = "doc_id long, row_key long, n_words long, n_removed long, kept_sha256 string, text string, gone array<struct<a:int,b:int>>, asked array<struct<w0:int,nw:int,m:bigint>>"
 
 
@@ -46,12 +47,13 @@ def sliding_min(values: np.ndarray, n: int) -> np.ndarray:
 
 
 def segments_of(data: np.ndarray, offsets: np.ndarray, window: int, span: int) -> tuple[np.ndarray, ...]:
-    """Row, first window, number of windows, smallest hash and hash of the words of every segment in a slice."""
+    """Row, first window, number of windows, smallest hash and two independent hashes of the words of every segment in a
+    slice."""
     starts, stops, firsts = words(data, offsets)
     counts = np.diff(firsts)
     none = np.zeros(0, np.int64)
     if not len(starts) or counts.max() < window:
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     hashes = word_hashes(data, starts, stops)
     prefix = prefix_hashes(hashes, WORD_BASE)
     at = np.arange(len(hashes) - span + 1)
@@ -67,7 +69,12 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, window: int, span: int) -
     last = firsts[row[begin] + 1] - window
     end = np.minimum(follow, last + 1)
     content = mix(span_hashes(prefix, begin, end + window - 1, WORD_BASE))
-    return row[begin], begin - firsts[row[begin]], end - begin, least[begin].view(np.int64), content.view(np.int64)
+    prefix = prefix_hashes(word_hashes(data, starts, stops, 1), OTHER_BASE)
+    other = mix(span_hashes(prefix, begin, end + window - 1, OTHER_BASE))
+    return (
+        row[begin], begin - firsts[row[begin]], end - begin,
+        least[begin].view(np.int64), content.view(np.int64), other.view(np.int64),
+    )
 
 
 def segments(rows: DataFrame, window: int, span: int) -> DataFrame:
@@ -75,12 +82,12 @@ def segments(rows: DataFrame, window: int, span: int) -> DataFrame:
         for batch in batches:
             keys = batch.column("row_key").to_numpy(zero_copy_only=False)
             for start, stop, data, offsets in slices(batch, "text"):
-                row, w0, nw, m, s = segments_of(data, offsets, window, span)
+                row, w0, nw, m, s, t = segments_of(data, offsets, window, span)
                 ids = batch.column("doc_id").slice(start, stop - start).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[start:stop][row]), ids, pa.array(m), pa.array(s),
+                    [pa.array(keys[start:stop][row]), ids, pa.array(m), pa.array(s), pa.array(t),
                      pa.array(w0.astype(np.int32)), pa.array(nw.astype(np.int32))],
-                    names=["row_key", "doc_id", "m", "s", "w0", "nw"],
+                    names=["row_key", "doc_id", "m", "s", "t", "w0", "nw"],
                 )
 
     return rows.mapInArrow(run, SEGMENT)
@@ -125,12 +132,14 @@ def _single_windows(window: int):
             for start, stop, data, offsets in slices(batch, "text"):
                 begin, end, firsts = words(data, offsets)
                 prefix = prefix_hashes(word_hashes(data, begin, end), WORD_BASE)
-                out = {name: [] for name in ("row_key", "doc_id", "m", "h", "w")}
+                second = prefix_hashes(word_hashes(data, begin, end, 1), OTHER_BASE)
+                out = {name: [] for name in ("row_key", "doc_id", "m", "h", "g", "w")}
                 for i in range(start, stop):
                     for part in asked[i]:
                         w = np.arange(part["w0"], part["w0"] + part["nw"])
                         at = firsts[i - start] + w
                         out["h"].append(mix(span_hashes(prefix, at, at + window, WORD_BASE)).view(np.int64))
+                        out["g"].append(mix(span_hashes(second, at, at + window, OTHER_BASE)).view(np.int64))
                         out["w"].append(w.astype(np.int32))
                         out["m"].append(np.full(len(w), part["m"]))
                         out["row_key"].append(np.full(len(w), keys[i]))
@@ -161,46 +170,46 @@ def without_repeats(
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of ``docs``; other columns are not read."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    rows = rows.withColumn("row_key", F.xxhash64("text"))
     found = staged(segments(rows, window, span), "segments")
     # 1. Smallest hashes in more than one document; ``mixed`` if they stand in different segments.
     shared = staged(
         found.groupBy("m")
-        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("s").alias("s0"), F.max("s").alias("s1"))
+        .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("s").alias("s0"), F.max("s").alias("s1"), F.min("t").alias("t0"), F.max("t").alias("t1"))
         .where("low < high")
-        .select("m", (F.col("s0") != F.col("s1")).alias("mixed")),
+        .select("m", ((F.col("s0") != F.col("s1")) | (F.col("t0") != F.col("t1"))).alias("mixed")),
         "shared",
     )
     shared_segments = staged(found.join(shared, "m"), "shared_segments")
     # 2. The first document of each segment.
-    origin = staged(shared_segments.groupBy("m", "s").agg(F.min("doc_id").alias("first")), "origin")
-    judged = shared_segments.join(origin, ["m", "s"])
+    origin = staged(shared_segments.groupBy("m", "s", "t").agg(F.min("doc_id").alias("first")), "origin")
+    judged = shared_segments.join(origin, ["m", "s", "t"])
     per_row = (
         judged.where("doc_id > first or (mixed and doc_id = first)")
-        .groupBy("row_key")
+        .groupBy("doc_id", "row_key")
         .agg(
             F.collect_set(F.when(F.col("doc_id") > F.col("first"), _interval(window))).alias("gone"),
             F.collect_set(F.when(F.col("doc_id") == F.col("first"), F.struct("w0", "nw", "m"))).alias("asked"),
         )
     )
-    first = staged(rows.join(per_row, "row_key", "left").mapInArrow(_first_pass, FIRST), "first")
+    first = staged(rows.join(per_row, ["doc_id", "row_key"], "left").select("doc_id", "text", "row_key", "gone", "asked").mapInArrow(_first_pass, FIRST), "first")
     # 3. Windows of one copy of every segment that shares its smallest hash with another one.
     open_rows = first.where("text is not null")
     single = staged(
         open_rows.select("row_key", "doc_id", "text", "asked").mapInArrow(
-            _single_windows(window), "row_key long, doc_id long, m long, h long, w int"
+            _single_windows(window), "row_key long, doc_id long, m long, h long, g long, w int"
         ),
         "windows",
     )
     repeated = staged(
-        single.groupBy("m", "h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last"),
+        single.groupBy("m", "h", "g").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last"),
         "repeated",
     )
-    late = single.join(repeated, ["m", "h"]).where("doc_id > first")
-    more = late.groupBy("row_key").agg(
+    late = single.join(repeated, ["m", "h", "g"]).where("doc_id > first")
+    more = late.groupBy("doc_id", "row_key").agg(
         F.collect_set(F.struct(F.col("w").alias("a"), (F.col("w") + window).cast("int").alias("b"))).alias("more")
     )
     gone = F.concat(F.coalesce("gone", F.array()), F.coalesce("more", F.array()))
-    closed = open_rows.join(more, "row_key", "left").select("doc_id", "text", gone.alias("gone"))
+    closed = open_rows.join(more, ["doc_id", "row_key"], "left").select("doc_id", "text", gone.alias("gone"))
     closed = closed.mapInArrow(_last_pass, "doc_id long, n_words long, n_removed long, kept_sha256 string")
     return first.where("text is null").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(closed)

@@ -383,3 +383,47 @@ def test_pipeline_dedups_rows_with_null_and_repeated_ids(spark):
         (i, brute.bare(t)) for i, t in [(3, words(300)), (4, words(400)), (4, words(0)), (5, words(500) + " x"), (6, words(600)), (7, words(700)), (8, None)]
     )
     assert sum(i is None for i, _ in near) == sum(i is None for i, _ in rows)
+
+
+# Words and sequences that collide under a polynomial modulo 2**64, whatever its base.
+
+
+def thue_morse(n, zero, one):
+    return [one if bin(i).count("1") & 1 else zero for i in range(n)]
+
+
+def colliding_rows():
+    a, b = "".join(thue_morse(2048, "a", "b")), "".join(thue_morse(2048, "b", "a"))
+    some = " ".join(f"w{i}" for i in range(49))
+    x, y = " ".join(thue_morse(2048, "ab", "ba")), " ".join(thue_morse(2048, "ba", "ab"))
+    return [(1, f"{some} {a}"), (2, f"{some} {b}"), (3, f"{a} x y"), (4, f"{b} x y"), (5, x), (6, y), (7, f"{some} {a}"), (8, f"{x} {y}")]
+
+
+def test_times_of_the_prime_field():
+    from orderlens.llm import common
+
+    random.seed(1)
+    edge = [0, 1, common.PRIME - 1, (1 << 31) - 1, 1 << 31, (1 << 60) + 1]
+    a = [*edge, *(random.randrange(common.PRIME) for _ in range(500))]
+    b = [*edge[::-1], *(random.randrange(common.PRIME) for _ in range(500))]
+    assert common.times(np.array(a, np.uint64), np.array(b, np.uint64)).tolist() == [x * y % common.PRIME for x, y in zip(a, b, strict=True)]
+    values = np.array([random.randrange(1 << 64) for _ in range(3000)], np.uint64)
+    prefix, want = common.prefix_hashes(values, common.OTHER_BASE), 0
+    for i, v in enumerate(values.tolist()):
+        want = (want + v * pow(common.OTHER_BASE, i, common.PRIME)) % common.PRIME
+        assert int(prefix[i + 1]) == want
+
+
+def test_words_that_share_a_polynomial_hash_stay_apart(spark):
+    rows = colliding_rows()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ordered(passages.without_repeats(frame).collect()) == ordered(brute.passages(rows))
+    found = minhash.near_duplicates(frame, shingle=3, threshold=Fraction(85, 100)).collect()
+    assert ordered(found) == ordered(brute.near(rows, 3, 85, 100))
+
+
+def test_rows_that_repeat_an_id_keep_their_own_passages(spark):
+    p = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, p), (2, f"{p} a"), (2, f"b {p}"), (2, "short"), (None, p), (None, f"{p} z"), (3, p), (3, p)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert ordered(passages.without_repeats(frame).collect()) == ordered(brute.passages(rows))
