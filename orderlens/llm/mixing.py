@@ -33,14 +33,18 @@ CELLS = 4096
 ROUNDS = 24
 
 
-def sizes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, name (the source, never null), size, order of every row."""
+def sizes(
+    docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", carry: Sequence[str] = ()
+) -> DataFrame:
+    """doc_id, source, name (the source, never null), size, order of every row, and the columns ``carry``."""
     return docs.select(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("")).alias("name"),
         F.regexp_count(text_or_empty(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
-        F.xxhash64(F.col(key), F.lit(7)).alias("order"),
+        # With the text, so that rows without an id or with the same one are spread like others.
+        F.xxhash64(F.col(key), F.lit(7), F.col(text)).alias("order"),
+        *carry,
     )
 
 
@@ -66,7 +70,7 @@ def targets(rows: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
     )
 
 
-def placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
+def placed(rows: DataFrame, sources: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The rows with ``start``, their first word in the stream of their source. A hot source is ordered in buckets."""
     buckets = F.greatest(F.lit(1), F.ceil(F.col("rows") / BUCKET_ROWS))
     spread = rows.join(sources.select("name", "rows"), "name").withColumn("bucket", F.pmod("order", buckets))
@@ -77,7 +81,7 @@ def placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     offsets = sums.select("name", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
     within = spread.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     return within.join(offsets, ["name", "bucket"]).select(
-        "doc_id", "source", "name", "size", (F.col("offset") + F.col("within")).alias("start")
+        "doc_id", "source", "name", "size", (F.col("offset") + F.col("within")).alias("start"), *carry
     )
 
 
@@ -176,14 +180,16 @@ def mix(
     key: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken for every row of ``docs``; other columns are not read.
+    """doc_id, source, size, source_size, target, taken for every row of ``docs``, and its columns ``carry``; others are
+    not read. Names of ``carry`` begin with an underscore.
 
     ``taken`` counts the words of the document in the taken blocks, a word as often as its block is taken.
     """
-    rows = staged(sizes(docs, key=key, text=text, source=source), "sizes")
+    rows = staged(sizes(docs, key=key, text=text, source=source, carry=carry), "sizes")
     sources = staged(targets(rows, weights, most), "targets")
-    placed_rows = staged(placed(rows, sources), "placed")
+    placed_rows = staged(placed(rows, sources, carry), "placed")
     blocks = taken_blocks(sources, block_words, shard_slots, most, seed)
     last = F.floor((F.col("start") + F.col("size") - 1) / block_words)
     first = F.floor(F.col("start") / block_words)
@@ -198,5 +204,5 @@ def mix(
     return (
         placed_rows.join(found.hint("merge"), ["name", "start"], "left")
         .join(sources.select("name", "source_size", "target"), "name")
-        .select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+        .select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *carry)
     )

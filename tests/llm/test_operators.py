@@ -427,3 +427,28 @@ def test_rows_that_repeat_an_id_keep_their_own_passages(spark):
     rows = [(1, p), (2, f"{p} a"), (2, f"b {p}"), (2, "short"), (None, p), (None, f"{p} z"), (3, p), (3, p)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert ordered(passages.without_repeats(frame).collect()) == ordered(brute.passages(rows))
+
+
+def test_pipeline_leaves_columns_of_any_name_alone(spark, docs):
+    names = ["_row", "_tie", "_found", "_copy", "_id", "_times", "_group", "_best", "__row", "_ROW ", "a.b", "size", "block", "taken", "n", "rows"]
+    frame = docs.where("doc_id < 60").select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        frame = stage(spark, frame, SF)
+    rows = frame.collect()
+    assert rows and frame.columns == [*docs.columns, *names]
+    assert all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
+
+
+def test_pipeline_mix_takes_rows_without_an_id_by_themselves(spark):
+    rows = [(None, " ".join(f"n{i} w{j}" for j in range(15)), "en", "a", 0) for i in range(200)]
+    rows += [(7, " ".join(f"s{i} w{j}" for j in range(15)), "en", "a", 0) for i in range(200)]
+    rows += [(100 + i, " ".join(f"b{i} w{j}" for j in range(15)), "en", "b", 0) for i in range(400)]
+    frame = spark.createDataFrame(rows, DOCS_OF_PIPELINE).repartition(3)
+    taken = {r.id: r.taken for r in mixing.mix(frame).groupBy(F.coalesce("doc_id", F.lit(-1)).alias("id")).agg(F.sum("taken").alias("taken")).collect()}
+    out = corpus_pipeline.mix_sources(spark, frame, SF).groupBy("doc_id").agg((F.count("*") * 30).alias("words")).collect()
+    words = {-1 if r.doc_id is None else r.doc_id: r.words for r in out}
+    assert words[-1] == pytest.approx(taken[-1], rel=0.15) and words[7] == pytest.approx(taken[7], rel=0.15)
+    assert sum(words.values()) == pytest.approx(sum(taken.values()), rel=0.1)
+
+
+DOCS_OF_PIPELINE = "doc_id long, text string, lang string, source string, n_chars long"
