@@ -7,9 +7,10 @@
 5. bpe: ids of every document that came through, each repetition a row of its own.
 
 All stages but the last return the columns of ``documents``. Other columns than ``doc_id``, ``text``, ``lang`` and
-``source`` pass unread. The dedup stages decide row by row, whatever ids repeat or are missing: of rows with equal texts
+``source`` pass unread, whatever their names. The dedup stages decide row by row, whatever ids repeat or are missing: of rows with equal texts
 exactly one stays, and rows that share an id but not a text are compared one by one. Among rows with the same id the hash
-of text, language and source decides. Rows with a null id pass the dedup stages as far as their texts differ.
+of text, language and source decides. Rows with a null id pass the dedup stages as far as their texts differ,
+and the mix takes each of them by itself.
 """
 
 from __future__ import annotations
@@ -17,55 +18,79 @@ from __future__ import annotations
 from fractions import Fraction
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import bpe, exact_dedup, language, minhash, mixing
 from orderlens.llm.common import shared_path, ship, staged
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows written once with a number of their own, and a hash that decides between rows of one id."""
-    tie = F.xxhash64("text", "lang", "source")
-    return staged(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_tie", tie), "numbered")
+def _fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names with as many underscores before them as it takes to differ from all columns."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _own(docs: DataFrame) -> list[Column]:
+    """The columns as they came in, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """The rows written once with a number of their own, and a hash that decides between rows of one id; the names of
+    these two columns."""
+    row, tie = _fresh(docs, "_row", "_tie")
+    both = F.monotonically_increasing_id().alias(row), F.xxhash64("text", "lang", "source").alias(tie)
+    return staged(docs.select(*_own(docs), *both), "numbered"), row, tie
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     profiles = language.learn(docs.where(~language.held_out(F.col("doc_id"))), key="doc_id", text="text", label="lang")
-    found = language.predict(F.col("text"), profiles)["lang"]
-    return docs.withColumn("_found", found).where(F.col("_found") != language.NONE).select(docs.columns)
+    (found,) = _fresh(docs, "_found")
+    named = docs.select(*_own(docs), language.predict(F.col("text"), profiles)["lang"].alias(found))
+    return named.where(F.col(found) != language.NONE).select(_own(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    rows = _numbered(docs)
-    kept = exact_dedup.dedup_table(rows, carry=("_tie", "_row")).where("kept")
+    rows, row, tie = _numbered(docs)
+    kept = exact_dedup.dedup_table(rows, carry=(tie, row)).where("kept")
     # Rows that repeat the id and the length of the longest text are all marked.
-    one = kept.groupBy("text_sha256").agg(F.min(F.struct("_tie", "_row"))["_row"].alias("_row"))
-    return rows.join(one.select("_row"), "_row", "left_semi").select(docs.columns)
+    one = kept.groupBy("text_sha256").agg(F.min(F.struct(tie, row))[row].alias(row))
+    return rows.join(one.select(row), row, "left_semi").select(_own(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    rows = _numbered(docs)
-    named = rows.where("doc_id is not null")
-    groups = minhash.near_duplicates(named, shingle=5, threshold=Fraction(4, 5), key="_row")
-    found = groups.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    member = staged(named.select("_row", "doc_id", "_tie").join(found, "_row"), "grouped")
-    best = member.groupBy("_group").agg(F.min(F.struct("doc_id", "_tie", "_row"))["_row"].alias("_best"))
-    dropped = member.join(best, "_group").where("_row <> _best")
-    return rows.join(dropped.select("_row"), "_row", "left_anti").select(docs.columns)
+    rows, row, tie = _numbered(docs)
+    named = rows.where("doc_id is not null").select(row, "doc_id", tie, "text")
+    groups = minhash.near_duplicates(named, shingle=5, threshold=Fraction(4, 5), key=row)
+    found = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("_group"))
+    member = staged(named.select(row, "doc_id", tie).join(found, row), "grouped")
+    best = member.groupBy("_group").agg(F.min(F.struct("doc_id", tie, row))[row].alias("_best"))
+    dropped = member.join(best, "_group").where(F.col(row) != F.col("_best"))
+    return rows.join(dropped.select(row), row, "left_anti").select(_own(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats whole documents: the taken words over the size, a remainder rounded up with its probability by a hash."""
-    mixed = mixing.mix(docs).where("taken > 0")
-    luck = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("repeat")), 11) / F.lit(float(1 << 53))
-    times = mixed.select(F.col("doc_id").alias("_id"), F.floor(F.col("taken") / F.col("size") + luck).alias("_times"))
-    times = staged(times.where("_times > 0").groupBy("_id").agg(F.max("_times").alias("_times")), "times")
-    met = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+    """Repeats whole documents: the taken words over the size, a remainder rounded up with its probability by a hash.
+
+    Every row is taken by itself, also where ids repeat or are missing.
+    """
+    rows, row, tie = _numbered(docs)
+    mixed = mixing.mix(rows, carry=(row, tie)).where("taken > 0")
+    luck = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("repeat"), tie), 11) / F.lit(float(1 << 53))
+    (times,) = _fresh(rows, "_times")
+    repeats = mixed.select(row, F.floor(F.col("taken") / F.col("size") + luck).alias(times))
+    repeats = staged(repeats.where(F.col(times) > 0), "times")
+    met = rows.join(repeats, row)
+    return met.select(*_own(docs), F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).select(_own(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
