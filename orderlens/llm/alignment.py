@@ -38,7 +38,7 @@ from .units import Memo, begins, joinable
 # Most frequent pairs that every task holds: 16 bytes and a flag each.
 HOT_PAIRS = 1 << 18
 # Units remembered in each generation of a worker, and text looked up at once.
-UNITS = 150_000
+UNITS = 300_000
 SLICE_BYTES = 1 << 20
 # Units that the tokenizers get as one text.
 JOINED = 512
