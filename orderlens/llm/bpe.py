@@ -245,7 +245,9 @@ def encode(
             for texts in batches:
                 yield ids_of(texts, known)
         finally:
-            if not keep:
+            if keep:
+                give_back()
+            else:
                 known.forget()
 
     return F.arrow_udf(run, "binary")(text)

@@ -69,7 +69,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    rows = bpe.encoded(_documents(spark, sf_dir), ranks, pattern, units=200_000, pieces=50_000, slice_bytes=2 << 20, keep=False)
+    rows = bpe.encoded(_documents(spark, sf_dir), ranks, pattern, units=300_000, pieces=50_000, slice_bytes=2 << 20)
     return bpe.digests(rows)
 
 
