@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..contracts import ContractError, TableContract, registry_frame
 from ..functions.time import When, ts
+from ..sources import snapshots
 
 OVERLAP_MINUTES = 10
 PART = "_part"
@@ -191,11 +191,23 @@ def write_layout(df: DataFrame, contract: TableContract, path: str, *, mode: str
 def read_layout(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The table with its partition value as text, whatever it looks like.
 
-    With a declared schema an empty table can be read too, and a column added to
-    the source later is NULL in older files.
+    Of a table with snapshots the newest one, whatever is written meanwhile. With a
+    declared schema an empty table can be read too, and a column added to the
+    source later is NULL in older files.
     """
-    fields = [f for f in (schema or spark.read.parquet(path).schema) if f.name != PART]
-    return spark.read.schema(T.StructType([*fields, T.StructField(PART, T.StringType())])).parquet(path)
+    return _read_snapshot(spark, path, snapshots.current(spark, path), schema)
+
+
+def _read_snapshot(spark: SparkSession, path: str, at: snapshots.Snapshot | None, schema: T.StructType | None) -> DataFrame:
+    places = snapshots.directories(path, at) if at else [path]
+    part = T.StructField(PART, T.StringType())
+    if not places:
+        return spark.createDataFrame([], T.StructType([f for f in (schema or T.StructType()) if f.name != PART] + [part]))
+    reader = spark.read.option("basePath", path)
+    known = schema or reader.parquet(*places).schema
+    fields = [f for f in known if f.name not in (PART, snapshots.VERSION)]
+    hidden = [T.StructField(snapshots.VERSION, T.StringType())] if at else []
+    return reader.schema(T.StructType([*fields, part, *hidden])).parquet(*places).drop(snapshots.VERSION)
 
 
 def full_reload(
@@ -203,94 +215,28 @@ def full_reload(
 ) -> int:
     """Replaces the whole table, one row per key. An empty source is an error unless allowed.
 
-    The new table is written beside the old one, which stays readable meanwhile,
-    and takes its place by renaming. A run that dies is finished, or its
-    unfinished copy removed, by ``settle``.
+    The new rows are written beside the old ones and become the table by one new
+    snapshot. A reader meanwhile sees the old table or the new one.
     """
     spark = df.sparkSession
     settle(spark, path)
     if not allow_empty and df.isEmpty():
         raise ContractError(f"{contract.target}: source is empty, the table was not replaced")
     rows = dedup_latest(df, contract.key, contract.watermark) if contract.key else df
-    write_layout(rows, contract, path + NEXT)
-    _declare_ready(spark, path + NEXT, [])
-    settle(spark, path)
-    return read_layout(spark, path, rows.schema).count()
-
-
-# Beside a table: its replacement, the table that it replaces, and the partitions of a merge.
-NEXT, LAST, MERGE = "_next", "_last", "_merge"
-READY = "_ready"
-
-
-def _files(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+    before = snapshots.current(spark, path)
+    parts = snapshots.write(laid_out(rows, contract), path, PART)
+    at = snapshots.switch(spark, path, before, parts)
+    return _read_snapshot(spark, path, at, rows.schema).count()
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _files(spark, path)
-    return fs.exists(p)
-
-
-def _drop_directory(spark: SparkSession, path: str) -> None:
-    fs, p = _files(spark, path)
-    fs.delete(p, True)
-
-
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    fs, p = _files(spark, source)
-    if not fs.rename(p, _files(spark, target)[1]):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def _part_directories(spark: SparkSession, path: str) -> list[str]:
-    """Names of the partition directories; as many as the calendar has partitions."""
-    fs, p = _files(spark, path)
-    names = (s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-    return [n for n in names if n.startswith(f"{PART}=")]
-
-
-def _declare_ready(spark: SparkSession, path: str, emptied: Sequence[str]) -> None:
-    """Marks a written copy as complete; ``emptied`` names partitions that lose their last row."""
-    fs, p = _files(spark, f"{path}/{READY}.tmp")
-    out = fs.create(p, True)
-    out.write(bytearray(json.dumps(sorted(emptied)).encode()))
-    out.close()
-    _move(spark, f"{path}/{READY}.tmp", f"{path}/{READY}")
-
-
-def _emptied(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _files(spark, f"{path}/{READY}")
-    stream = fs.open(p)
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode())
-    finally:
-        stream.close()
+    """Whether a table stands there; what a first load left that never ended is none."""
+    return snapshots.current(spark, path) is not None or snapshots.has_plain_files(spark, path)
 
 
 def settle(spark: SparkSession, path: str) -> None:
-    """Puts completely written rows in their place and removes what a dead run left unfinished.
-
-    Called before and after every write. Each step can be repeated, so it does not
-    matter where an earlier call ended. One writer per table is assumed.
-    """
-    if table_exists(spark, f"{path}{NEXT}/{READY}"):
-        if table_exists(spark, path):
-            _drop_directory(spark, path + LAST)
-            _move(spark, path, path + LAST)
-        _move(spark, path + NEXT, path)
-        _drop_directory(spark, path + MERGE)  # of the table that was replaced
-    elif not table_exists(spark, path) and table_exists(spark, path + LAST):
-        _move(spark, path + LAST, path)
-    if table_exists(spark, f"{path}{MERGE}/{READY}"):
-        for name in _part_directories(spark, path + MERGE):
-            _drop_directory(spark, f"{path}/{name}")
-            _move(spark, f"{path}{MERGE}/{name}", f"{path}/{name}")
-        for name in _emptied(spark, path + MERGE):
-            _drop_directory(spark, f"{path}/{name}")
-    for left in (NEXT, LAST, MERGE):
-        _drop_directory(spark, path + left)
+    """Removes what no reader can need any more: rows of dead runs and of older snapshots. One writer is assumed."""
+    snapshots.clean(spark, path)
 
 
 def _key_range(keys: DataFrame) -> Column:
@@ -317,25 +263,29 @@ def upsert_into(delta: DataFrame, contract: TableContract, path: str) -> None:
     Touched are the partitions of the new rows and those that hold an old version
     of their keys; the latter are found from the key columns alone, within the
     range of the delta's keys. Only partition values and that range reach the
-    driver. The new partitions are written beside the table first, with the names
-    of those that lose their last row; ``settle`` then puts them in place, in this
-    run or, if it dies, in the next one. No key is doubled or lost for good.
+    driver. The touched partitions are written beside the old ones, and a new
+    snapshot takes them in and leaves out those that lost their last row. A run
+    that dies before it leaves the old table, whole.
     """
     spark = delta.sparkSession
     settle(spark, path)
     key = list(contract.key)
-    target = read_layout(spark, path, delta.schema)
+    before = snapshots.current(spark, path)
+    target = _read_snapshot(spark, path, before, delta.schema)
     columns = [c for c in target.columns if c != PART]
     fresh = dedup_latest(delta.select(*columns), key, contract.watermark)
     keys = fresh.select(*key)
+    if before is None:  # written without snapshots: all of it gets one
+        kept = target.join(keys, key, "left_anti").select(*columns)
+        snapshots.switch(spark, path, None, snapshots.write(laid_out(kept.unionByName(fresh), contract), path, PART))
+        return
     held = target.where(_key_range(keys)).join(keys, key, "left_semi").select(PART).distinct().collect()
     arriving = fresh.select(partition_value(contract).alias(PART)).distinct().collect()
     touched = {r[PART] for r in [*held, *arriving]}
     kept = target.where(_in_parts(touched)).join(keys, key, "left_anti").select(*columns)
-    write_layout(kept.unionByName(fresh), contract, path + MERGE)
+    written = snapshots.write(laid_out(kept.unionByName(fresh), contract), path, PART)
     names = {f"{PART}={NULL_PART if value is None else value}" for value in touched}
-    _declare_ready(spark, path + MERGE, names.difference(_part_directories(spark, path + MERGE)))
-    settle(spark, path)
+    snapshots.switch(spark, path, before, {p: v for p, v in before.parts.items() if p not in names} | written)
 
 
 def replace_days(batch: DataFrame, path: str, *, day_column: str = "data_date", sort: Sequence[str] = ()) -> None:

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 import time
 
 import pytest
 
 from orderlens.contracts import TableContract
-from orderlens.operators import cohorts, ingest, loss, trust
+from orderlens.operators import cohorts, ingest, trust
+from orderlens.sources import snapshots
 
 from test_cohorts import OFFER, D, offer, sales
 from test_baskets import hits
@@ -27,50 +27,118 @@ def stored(spark, root):
     return sorted((r.id, r.name, r[ingest.PART]) for r in ingest.read_layout(spark, f"{root}/t").collect())
 
 
-def dies_at(monkeypatch, call: int):
-    """The n-th move of a directory kills the run."""
-    real, seen = ingest._move, []
+class Death(BaseException):
+    pass
 
-    def move(spark, source, target):
-        seen.append(source)
-        if len(seen) == call:
-            raise KeyboardInterrupt
-        real(spark, source, target)
 
-    monkeypatch.setattr(ingest, "_move", move)
+def dies_in(monkeypatch, step: str, *, after: bool):
+    """The run ends before or after it has written rows, or has switched the snapshot."""
+    real = getattr(snapshots, step)
 
+    def die(*args):
+        if after:
+            real(*args)
+        raise Death
 
-@pytest.mark.parametrize("call", [1, 2, 3])
-def test_killed_merge_is_finished_by_the_next_run(spark, tmp_path, monkeypatch, call):
+    monkeypatch.setattr(snapshots, step, die)
+
+
+STEPS = [("write", False), ("write", True), ("switch", False), ("switch", True)]
+
+
+@pytest.mark.parametrize("step, after", STEPS)
+def test_killed_merge_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, step, after):
     root = str(tmp_path)
     ingest.sync_table(TABLE, frame(spark, (1, JAN, T0, "a"), (2, MAR, T0, "b"), (3, FEB, T0, "c")), root)
     later = T0 + dt.timedelta(hours=1)
     delta = frame(spark, (1, FEB, later, "a2"), (2, MAR, later, "b2"))  # January loses its last row
     with monkeypatch.context() as patch:
-        dies_at(patch, call)
-        with pytest.raises(KeyboardInterrupt):
+        dies_in(patch, step, after=after)
+        with pytest.raises(Death):
             ingest.sync_table(TABLE, delta, root)
-    want = [(1, "a2", "2026-02-01"), (2, "b2", "2026-03-01"), (3, "c", "2026-02-01")]
-    if call == 1:  # before the commit: the old rows stand
-        assert stored(spark, root) == [(1, "a", "2026-01-01"), (2, "b", "2026-03-01"), (3, "c", "2026-02-01")]
-        ingest.sync_table(TABLE, delta, root)
+    old = [(1, "a", "2026-01-01"), (2, "b", "2026-03-01"), (3, "c", "2026-02-01")]
+    new = [(1, "a2", "2026-02-01"), (2, "b2", "2026-03-01"), (3, "c", "2026-02-01")]
+    assert stored(spark, root) == (new if (step, after) == ("switch", True) else old)
+    ingest.sync_table(TABLE, delta, root)
+    ingest.sync_table(TABLE, delta, root)
+    ingest.settle(spark, f"{root}/t")
+    assert stored(spark, root) == new
+    versions = [p for p in (tmp_path / "t").glob("*/*") if p.is_dir()]
+    assert len(versions) <= 2 * 3, "what two snapshots do not name is gone"
+
+
+@pytest.mark.parametrize("step, after", STEPS)
+def test_killed_reload_leaves_a_whole_table(spark, tmp_path, monkeypatch, step, after):
+    path = str(tmp_path / "t")
+    for first in (True, False):
+        with monkeypatch.context() as patch:
+            dies_in(patch, step, after=after)
+            with pytest.raises(Death):
+                ingest.full_reload(frame(spark, (2, JAN, T0, "new")), TABLE, path)
+        done = (step, after) == ("switch", True)
+        if first:
+            assert ingest.table_exists(spark, path) == done
+            ingest.full_reload(frame(spark, (1, JAN, T0, "old")), TABLE, path)
+        else:
+            assert stored(spark, str(tmp_path)) == ([(2, "new", "2026-01-01")] if done else [(1, "old", "2026-01-01")])
+
+
+@pytest.mark.parametrize("write", ["reload", "merge"])
+def test_a_reader_sees_the_old_or_the_new_table_but_never_neither(spark, tmp_path, monkeypatch, write):
+    """A reader looks before, during and after every step of a write, and keeps what it has found until the end."""
+    path = str(tmp_path / "t")
+    days = [(i, dt.datetime(2026, 1 + i % 6, 5), T0, "old") for i in range(60)]
+    ingest.full_reload(frame(spark, *days), TABLE, path)
+    later = T0 + dt.timedelta(hours=1)
+    new = frame(spark, *[(i, dt.datetime(2026, 1 + i % 6, 5), later, "new") for i in range(60)])
+    readers, seen = [], []
+
+    def look():
+        df = ingest.read_layout(spark, path)
+        readers.append(df)
+        seen.append({r.name: r["count"] for r in df.groupBy("name").count().collect()})
+
+    for step in ("write", "switch"):
+        real = getattr(snapshots, step)
+
+        def watched(*args, real=real):
+            look()
+            out = real(*args)
+            look()
+            return out
+
+        monkeypatch.setattr(snapshots, step, watched)
+    look()
+    if write == "reload":
+        ingest.full_reload(new, TABLE, path)
     else:
-        ingest.sync_table(TABLE, delta.where("false"), root)
-    assert stored(spark, root) == want
-    assert sorted(os.listdir(root)) in (["t", "t_staging"], [".t.crc", "t", "t_staging"])
+        ingest.upsert_into(new, TABLE, path)
+    look()
+    assert seen == [{"old": 60}] * 4 + [{"new": 60}] * 2
+    late = [{r.name: r["count"] for r in df.groupBy("name").count().collect()} for df in readers]
+    assert late == seen, "a reader keeps its snapshot after the switch"
 
 
-@pytest.mark.parametrize("call", [1, 2, 3])
-def test_killed_reload_leaves_a_whole_table(spark, tmp_path, monkeypatch, call):
+def test_a_second_writer_is_told(spark, tmp_path):
     path = str(tmp_path / "t")
-    ingest.full_reload(frame(spark, (1, JAN, T0, "old")), TABLE, path)
-    with monkeypatch.context() as patch:
-        dies_at(patch, call)
-        with pytest.raises(KeyboardInterrupt):
-            ingest.full_reload(frame(spark, (2, JAN, T0, "new")), TABLE, path)
+    ingest.full_reload(frame(spark, (1, JAN, T0, "a")), TABLE, path)
+    before = snapshots.current(spark, path)
+    ingest.full_reload(frame(spark, (2, JAN, T0, "b")), TABLE, path)
+    with pytest.raises(snapshots.WriterConflict):
+        snapshots.switch(spark, path, before, {})
+    assert [r.id for r in ingest.read_layout(spark, path).collect()] == [2]
+
+
+def test_a_table_without_snapshots_is_taken_over(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ingest.write_layout(frame(spark, (1, JAN, T0, "a"), (2, None, T0, "b")), TABLE, path)
+    assert ingest.table_exists(spark, path)
+    ingest.upsert_into(frame(spark, (1, FEB, T0, "a2"), (3, JAN, T0, "c")), TABLE, path)
+    want = [(1, "a2", "2026-02-01"), (2, "b", None), (3, "c", "2026-01-01")]
+    assert stored(spark, str(tmp_path)) == want
+    ingest.upsert_into(frame(spark, (2, None, T0, "b2")), TABLE, path)
     ingest.settle(spark, path)
-    assert stored(spark, str(tmp_path)) == ([(1, "old", "2026-01-01")] if call == 1 else [(2, "new", "2026-01-01")])
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    assert stored(spark, str(tmp_path)) == [want[0], (2, "b2", None), want[2]]
 
 
 def test_mark_does_not_depend_on_the_drivers_zone(spark, tmp_path, monkeypatch):
