@@ -65,7 +65,7 @@ class TableContract:
 
     def check(self, df: DataFrame) -> None:
         """Every declared column must exist, or the run stops before it writes."""
-        named = [*self.key, *self.cluster_by, *self.mask]
+        named = [*self.key, *self.cluster_by, *self.mask, *self.exclude]
         named += [c for c in (self.watermark, self.partition_by, self.chunk_by) if c]
         missing = sorted(set(named) - set(df.columns))
         if missing:

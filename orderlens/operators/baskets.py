@@ -165,10 +165,18 @@ def bundle_attribution(
         ("3. discounted pair without contrast", off & ~contrast),
         ("4. pair at full price", F.col("at_full_price")),
     )
-    counts = hits.agg(
+    # Each hit stands for its order and for its bundle; their flags are folded before they are counted.
+    flags = hits.select("order_id", "bundle_id", *[cond.alias(f"_f{i}") for i, (_, cond) in enumerate(kinds)])
+    sides = [F.struct(F.lit(k).alias("_side"), F.col(k).cast("string").alias("_id")) for k in ("order_id", "bundle_id")]
+    folded = (
+        flags.select(F.explode(F.array(*sides)).alias("_s"), *[f"_f{i}" for i in range(len(kinds))])
+        .groupBy("_s._side", "_s._id")
+        .agg(*[F.bool_or(f"_f{i}").alias(f"_f{i}") for i in range(len(kinds))])
+    )
+    counts = folded.agg(
         *[
-            F.count_distinct(F.when(cond, F.col(key))).alias(f"{key}_{i}")
-            for i, (_, cond) in enumerate(kinds)
+            F.count_if(F.col(f"_f{i}") & (F.col("_side") == key)).alias(f"{key}_{i}")
+            for i in range(len(kinds))
             for key in ("order_id", "bundle_id")
         ]
     )

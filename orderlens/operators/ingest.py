@@ -91,14 +91,22 @@ def apply_contract(df: DataFrame, contract: TableContract, casts: Mapping[str, s
     """Drops excluded and unsupported columns and casts the named ones."""
     contract.check(df)
     casts = casts or {}
-    kept = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in contract.exclude and not isinstance(f.dataType, UNSUPPORTED)
-    ]
+    dropped = dropped_columns(df, contract)
+    kept = [c for c in df.columns if c not in dropped]
     return df.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c) for c in kept])
 
 
+def dropped_columns(df: DataFrame, contract: TableContract) -> dict[str, str]:
+    """The columns that ``apply_contract`` leaves out, and why."""
+    out = {}
+    for f in df.schema.fields:
+        if f.name in contract.exclude:
+            out[f.name] = "excluded"
+        elif isinstance(f.dataType, UNSUPPORTED):
+            out[f.name] = f"type {f.dataType.simpleString()} is not stored"
+    return out
+
+
 def _mask_fixed(c: Column) -> Column:
     return F.when(c.isNotNull(), F.lit("xxx"))
 
@@ -312,7 +320,7 @@ def registry_publish(
 
 # -- orchestration -----------------------------------------------------------
 
-SUMMARY = "target string, mode string, rows bigint, error string"
+SUMMARY = "target string, mode string, rows bigint, error string, dropped map<string,string>"
 
 
 def sync_table(
@@ -359,12 +367,15 @@ def sync_table(
 def sync_all(
     jobs: Sequence[tuple[TableContract, DataFrame]], root: str, **options: object
 ) -> DataFrame:
-    """Syncs every table; one failure is reported and does not stop the others."""
+    """Syncs every table; one failure is reported and does not stop the others.
+
+    The summary also names the columns that were not stored, with the reason.
+    """
     spark = jobs[0][1].sparkSession
-    summary: list[tuple[str, str | None, int | None, str | None]] = []
+    summary: list[tuple] = []
     for contract, source in jobs:
         try:
-            summary.append((*sync_table(contract, source, root, **options), None))
+            summary.append((*sync_table(contract, source, root, **options), None, dropped_columns(source, contract)))
         except Exception as failure:  # every table stands alone
-            summary.append((contract.target, None, None, str(failure) or type(failure).__name__))
+            summary.append((contract.target, None, None, str(failure) or type(failure).__name__, None))
     return spark.createDataFrame(summary, SUMMARY)

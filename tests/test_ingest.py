@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.contracts import ContractError, TableContract, load_registry, registry_frame
 from orderlens.operators import ingest
 from orderlens.sources import snapshots
-from orderlens.sources.jdbc import jdbc_options
+from orderlens.sources.jdbc import jdbc_options, source_select
 from orderlens.sources.tables import read_date_shards, read_ndjson
 from orderlens.streaming.incremental import stream_sync
 
@@ -240,3 +240,45 @@ def test_windows_between_sparse_and_extreme_keys(spark):
     assert found.agg(F.count("*"), F.sum("rows"), F.max("last_key"), F.countDistinct("chunk")).first()[:] == (
         2_000_001, 2, 7 + 20_000_009, 2_000_001,
     )
+
+
+COLUMNS_OF_SOURCE = {
+    "id": "bigint", "mail": "nvarchar(200)", "name": "nvarchar(50)", "sum": "money", "at": "datetime2(7)", "note]s": "varchar(10)",
+    "photo": "varbinary(max)", "secret": "nvarchar(9)", "guid": "uniqueidentifier",
+}
+
+
+def test_source_is_asked_for_stored_and_masked_columns_only():
+    contract = TableContract(
+        "t", "shop.dbo.t", ("id",), "at", exclude=("secret",), mask={"mail": "email_domain", "name": "xxx"}, chunk_by="id", chunk_size=100
+    )
+    select = source_select(contract, COLUMNS_OF_SOURCE)
+    assert select.text == (
+        "[id], CASE WHEN CHARINDEX('@', [mail]) > 0 THEN STUFF([mail], 1, CHARINDEX('@', [mail]) - 1, 'xxx') "
+        "WHEN [mail] IS NOT NULL THEN 'xxx' END AS [mail], CASE WHEN [name] IS NOT NULL THEN 'xxx' END AS [name], "
+        "[sum], [at], [note]]s], [guid]"
+    )
+    assert select.types == {
+        "id": "bigint", "mail": "string", "name": "string", "sum": "decimal(38,9)", "at": "timestamp", "note]s": "string", "guid": "string",
+    }
+    assert select.dropped == {"photo": "type varbinary is not stored", "secret": "excluded"}
+    options = jdbc_options(contract, "jdbc:x", mark=T0, bounds=(1, 250), select=select)
+    assert options["dbtable"].startswith(f"(SELECT {select.text} FROM shop.dbo.t WHERE at >= '") and options["numPartitions"] == "3"
+    assert "secret" not in options["dbtable"] and "`sum` decimal(38,9)" in options["customSchema"]
+
+
+def test_a_typo_in_the_contract_stops_the_pull():
+    for wrong in ({"exclude": ("secrte",)}, {"mask": {"mial": "xxx"}}, {"mask": {"mail": "half"}}, {"key": ("di",)}):
+        with pytest.raises(ContractError):
+            source_select(TableContract("t", "s", **wrong), COLUMNS_OF_SOURCE)
+    with pytest.raises(ContractError):
+        jdbc_options(TableContract("t", "s", mask={"mail": "xxx"}), "jdbc:x")
+
+
+def test_summary_names_columns_that_are_not_stored(spark, tmp_path):
+    df = spark.sql("SELECT 1L AS id, array(1) AS list, binary('x') AS raw, 'a' AS secret")
+    done = ingest.sync_all([(TableContract("t", key=("id",), exclude=("secret",)), df), (TableContract("u", exclude=("x",)), df)], str(tmp_path))
+    got = {r.target: r for r in done.collect()}
+    assert got["t"].dropped == {"list": "type array<int> is not stored", "raw": "type binary is not stored", "secret": "excluded"}
+    assert got["t"].rows == 1 and "no such column: x" in got["u"].error
+    assert ingest.read_layout(spark, f"{tmp_path}/t").columns == ["id", ingest.PART]
