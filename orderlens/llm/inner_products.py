@@ -170,6 +170,7 @@ def top_k(
     candidates = staged(blocks(rows.drop("asks"), BLOCK, by_length=True), "candidates")
     queries = staged(blocks(rows.where("asks").drop("asks"), QUERY_BLOCK, by_length=False), "queries")
     asked = queries.select("dim", F.col("part").alias("q"), F.col("ids").alias("q_ids"), F.col("raw").alias("q_raw"))
+    asked_longest = queries.select("dim", F.col("part").alias("q"), F.col("longest").alias("q_longest"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,8 +195,10 @@ def top_k(
     kth = early.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") == k).select("query_id", "score")
     known = rows.where("asks").select("dim", "vec_id").join(kth, kth.query_id == F.col("vec_id"), "left")
     known = known.withColumn("q", _query_part(rows)).groupBy("dim", "q").agg(
-        F.map_from_entries(F.collect_set(F.struct("vec_id", F.coalesce(F.col("score").cast("double"), F.lit(float("-inf"))).alias("s")))).alias("bound")
+        F.map_from_entries(F.collect_set(F.struct("vec_id", F.coalesce(F.col("score").cast("double"), F.lit(float("-inf"))).alias("s")))).alias("bound"),
+        F.min(F.coalesce(F.col("score").cast("double"), F.lit(float("-inf")))).alias("least"),
     )
+    known = staged(known, "bounds")
 
     def with_bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,8 +210,17 @@ def top_k(
                 rows_, pa.schema([("dim", pa.int32()), ("q", pa.int32()), ("q_ids", pa.binary()), ("q_raw", pa.binary()), ("least", pa.binary())])
             )
 
-    bounded = asked.join(known, ["dim", "q"]).mapInArrow(with_bounds, "dim int, q int, q_ids binary, q_raw binary, least binary")
-    late = candidates.where("level > 0").join(bounded, "dim").repartition("dim", "q", "level", "part").mapInArrow(meet, HIT)
+    # Pairs of blocks that can hold a hit at all, by their longest vectors, before any vector travels.
+    reach = F.col("longest") * F.col("q_longest")
+    pairs = (
+        candidates.where("level > 0").select("dim", "level", "part", "longest")
+        .join(asked_longest.join(known.select("dim", "q", "least"), ["dim", "q"]), "dim")
+        .where(reach + MARGIN * (reach + 1) >= F.col("least"))
+        .select("dim", "level", "part", "q")
+    )
+    bounded = asked.join(known.drop("least"), ["dim", "q"]).mapInArrow(with_bounds, "dim int, q int, q_ids binary, q_raw binary, least binary")
+    met = pairs.hint("merge").join(candidates, ["dim", "level", "part"]).join(bounded.hint("merge"), ["dim", "q"])
+    late = met.repartition("dim", "q", "level", "part").mapInArrow(meet, HIT)
     hits = early.unionByName(late).distinct()
     return (
         hits.withColumn("rank", F.row_number().over(by_score))

@@ -452,3 +452,22 @@ def test_pipeline_mix_takes_rows_without_an_id_by_themselves(spark):
 
 
 DOCS_OF_PIPELINE = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_blocks_of_vectors_are_left_out_only_where_no_hit_can_be(spark, monkeypatch):
+    monkeypatch.setattr(inner_products, "BLOCK", 16)
+    monkeypatch.setattr(inner_products, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(4)
+    # Lengths from tiny to large, so that most blocks of short vectors cannot hold a hit.
+    some = rng.normal(size=(1500, 6)) * 10.0 ** rng.uniform(-3, 1, size=(1500, 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(some)] + [(i, v.tolist()) for i, v in enumerate(some[:40])]
+    rows += [(2000 + i, [0.0] * 6) for i in range(12)] + [(3000, [1.0, 2.0]), (3100, [2.0, 1.0]), (3200, None), (3300, [float("nan")] * 6)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as dim", "2 as part", "3 as q", "4 as least").repartition(5)
+    found = inner_products.top_k(frame, F.col("vec_id") % 100 == 0).collect()
+    whole = {(i, tuple(np.floor(1024 * np.array(v)))) for i, v in rows if v is not None and np.isfinite(v).all()}
+    want = []
+    for q, x in sorted(whole):
+        if q % 100 == 0:
+            scores = sorted((-int(np.dot(x, y)), c) for c, y in whole if c != q and len(y) == len(x))
+            want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scores[:10])]
+    assert ordered(found) == ordered(want)
