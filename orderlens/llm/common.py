@@ -64,9 +64,23 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+# Folders that staged tables of this driver lie in.
+STAGED: list[str] = []
+
+
+def remove_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Removes staged tables that nobody reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in STAGED:
+            STAGED.remove(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back: cuts lineage, outlives any executor."""
     path = shared_path(df.sparkSession, name)
+    STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
