@@ -11,10 +11,13 @@ All stages but the last return the columns of ``documents``. Other columns than
 exactly one stays, and rows that share an id but not a text are compared one by one. Among rows with the same id the hash
 of text, language and source decides. Rows with a null id pass the dedup stages as far as their texts differ,
 and the mix takes each of them by itself.
+
+Write a stage's rows before the next stage runs on them, as ``run`` does: a stage removes what earlier ones have staged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from fractions import Fraction
 
 import public_tokenizers
@@ -22,9 +25,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import bpe, exact_dedup, language, minhash, mixing
+from orderlens.llm import common
 from orderlens.llm.common import shared_path, ship, staged
 
 
+# Folders that earlier stages have staged tables in.
+_LEFT: list[str] = []
+
+
+def _stage(run: Callable) -> Callable:
+    """A stage that first removes what stages before it have staged, as far as its own input does not read it: they have
+    been written. So the shared folder holds the intermediate tables of one stage, not of all."""
+
+    def cleaning(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if _LEFT:
+            # Folders of the input's files; a stage of a written pipeline reads one.
+            used = {file.rsplit("/", 1)[0] for file in docs.inputFiles()}
+            gone = [path for path in _LEFT if not any(path.rsplit("/", 1)[-1] in folder for folder in used)]
+            common.remove_staged(spark, gone)
+            _LEFT[:] = [path for path in _LEFT if path not in gone]
+        before = len(common.STAGED)
+        out = run(spark, docs, sf_dir)
+        _LEFT.extend(common.STAGED[before:])
+        return out
+
+    cleaning.__name__ = run.__name__
+    return cleaning
+
+
 def _fresh(docs: DataFrame, *names: str) -> list[str]:
     """The names with as many underscores before them as it takes to differ from all columns."""
     taken, out = {c.lower() for c in docs.columns}, []
@@ -49,6 +77,7 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, str, str]:
     return staged(docs.select(*_own(docs), *both), "numbered"), row, tie
 
 
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     profiles = language.learn(docs.where(~language.held_out(F.col("doc_id"))), key="doc_id", text="text", label="lang")
@@ -57,6 +86,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return named.where(F.col(found) != language.NONE).select(_own(docs))
 
 
+@_stage
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     rows, row, tie = _numbered(docs)
@@ -66,6 +96,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.join(one.select(row), row, "left_semi").select(_own(docs))
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     rows, row, tie = _numbered(docs)
@@ -78,6 +109,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.join(dropped.select(row), row, "left_anti").select(_own(docs))
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats whole documents: the taken words over the size, a remainder rounded up with its probability by a hash.
 
@@ -93,6 +125,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return met.select(*_own(docs), F.explode(F.sequence(F.lit(1), F.col(times))).alias(times)).select(_own(docs))
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
