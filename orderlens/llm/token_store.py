@@ -30,6 +30,8 @@ from .common import MASK, mix, partitions, slices
 from .units import SLICE, Memo, cut_ids, encode_texts, joinable
 
 SHARD_IDS = 1 << 20
+# Characters of a text that tell rows of one key apart when ranges are cut.
+LEAD = 64
 GAMMA = 2
 LAYERS = 64
 # Units that the tokenizer gets as one text.
@@ -188,12 +190,15 @@ SHARD_ARROW = pa.schema(
 
 def write(
     docs: DataFrame, path: str, tokenizer_file: str, end_id: int, *, key: str = "doc_id", text: str = "text",
-    literal: bool = True,
+    literal: bool = False,
 ) -> None:
     """Writes the ids of every text, each followed by ``end_id``, in ascending key order to the store at ``path``.
 
-    ``literal`` encodes the names of the file's added tokens as plain text; without it they get their own ids, as the
-    library does by default. Such a name must hold no white space.
+    The names of the file's added tokens get their own ids, as the library does by default; ``literal`` encodes them as
+    plain text. Such a name must hold no white space.
+
+    Ranges are cut by key and the first ``LEAD`` characters of the text, which agrees with the order by key and text, so
+    the rows of a key that very many rows share, null included, fill many partitions as far as their texts differ there.
 
     The tokenizer sees every distinct space-delimited unit of a worker once; the cut never falls inside a pre-token.
     """
@@ -219,10 +224,12 @@ def write(
         if keys:
             yield pa.RecordBatch.from_pylist([_shard(part, seq, keys, rows, width)], SHARD_ARROW)
 
+    # Spark samples whole sort columns to cut ranges, so the text itself is none of them.
+    first = F.col("key").asc_nulls_first()
     ordered = (
         docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        .repartitionByRange(partitions(docs.sparkSession), F.col("key").asc_nulls_first())
-        .sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
+        .repartitionByRange(partitions(docs.sparkSession), first, F.left("text", F.lit(LEAD)).asc_nulls_first())
+        .sortWithinPartitions(first, "text")
     )
     ordered.mapInArrow(pack, SHARD).write.option("compression", "zstd").parquet(path)
 
