@@ -2,7 +2,8 @@
 
 The snapshot is kept as exact buckets (one row per distinct digest) and one static binary-fuse filter per bucket. A batch
 is first grouped by digest, which finds its own duplicates and leaves one row per digest. These digests are screened by
-the filter of their bucket; only positives join the exact buckets, where all bytes of digest and length are compared.
+the filter of their bucket; only positives join the exact buckets, by all bytes of digest and length, and of each pair found
+the normalised texts of the two rows that stay on either side are compared byte by byte. Only these texts are sent.
 Texts are equal when they agree after deleting white space; the digest is the SHA-256 of that text in UTF-8.
 
 Of equal texts the row with the most code points in the original text stays, then the one with the smallest doc_id.
@@ -112,14 +113,15 @@ def _keys(digests) -> np.ndarray:
 
 
 def digested(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """doc_id, digest, length (bytes of the normalised text), points (code points of the original) of every row, and the
-    columns ``carry`` as they are."""
+    """doc_id, digest, length (bytes of the normalised text), points (code points of the original), plain (that text in
+    UTF-8) of every row, and the columns ``carry`` as they are."""
     plain = without_spaces(text_or_empty(text))
     return docs.select(
         F.col(key).cast("long").alias("doc_id"),
         F.unhex(F.sha2(plain.cast("binary"), 256)).alias("digest"),
         F.octet_length(plain).cast("long").alias("length"),
         F.char_length(text_or_empty(text)).cast("long").alias("points"),
+        plain.cast("binary").alias("plain"),
         *carry,
     )
 
@@ -179,6 +181,25 @@ def screened(digests: DataFrame, frozen: Snapshot, *, filter_keys: int = FILTER_
     return met.drop("bucket", "part")
 
 
+def _checked(matched: DataFrame, rows: DataFrame) -> DataFrame:
+    """Of the matched digests those whose texts agree byte for byte: the row that stays in the batch's group against the
+    one in the snapshot's. A row is looked up by its id, length and digest, so copies do not meet in one task."""
+    ends = [F.struct(F.lit(new).alias("new"), F.col(best).alias("best")) for new, best in ((True, "best"), (False, "old_best"))]
+    heads = matched.select("digest", "length", F.explode(F.array(*ends)).alias("head")).select(
+        F.col("digest").alias("head_digest"), F.col("length").alias("head_length"), F.col("head.new").alias("head_new"),
+        F.col("head.best.points").alias("head_points"), F.col("head.best.negative").alias("head_negative"),
+    )
+    same = (
+        (F.col("digest") == F.col("head_digest")) & (F.col("length") == F.col("head_length"))
+        & (F.col("new") == F.col("head_new")) & (F.col("points") == F.col("head_points"))
+        & (-F.col("doc_id")).eqNullSafe(F.col("head_negative"))
+    )
+    found = rows.select("doc_id", "digest", "length", "points", "plain", "new").join(heads, same)
+    # Rows that repeat an id are all compared.
+    texts = found.groupBy("digest", "length").agg(F.min("plain").alias("low"), F.max("plain").alias("high"))
+    return matched.join(texts.where("low = high").select("digest", "length"), ["digest", "length"], "left_semi")
+
+
 def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, carry: Sequence[str] = ()) -> DataFrame:
     """Answers for the digested rows of batch and snapshot: doc_id, keep_id, group_size, kept, text_sha256, ``carry``.
 
@@ -191,7 +212,8 @@ def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, carry
         F.col("best").alias("old_best"), F.col("n").alias("old_n"),
     )
     matched = positive.join(old, (F.col("digest") == F.col("old_digest")) & (F.col("length") == F.col("old_length")))
-    merged = matched.select(
+    rows = batch.withColumn("new", F.lit(True)).unionByName(snapshot_rows.withColumn("new", F.lit(False)))
+    merged = _checked(staged(matched, "matched"), rows).select(
         "digest", "length", F.greatest("best", "old_best").alias("best"), (F.col("n") + F.col("old_n")).alias("n"),
         F.explode(F.array(F.lit(True), F.lit(False))).alias("new"),
     )
@@ -200,7 +222,6 @@ def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, carry
     every = every.unionByName(fresh.withColumn("new", F.lit(True))).unionByName(merged)
     groups = every.groupBy("digest", "length", "new").agg(F.max("best").alias("best"), F.max("n").alias("group_size"))
     groups = staged(groups, "groups")
-    rows = batch.withColumn("new", F.lit(True)).unionByName(snapshot_rows.withColumn("new", F.lit(False)))
     return rows.join(groups, ["digest", "length", "new"]).select(
         "doc_id",
         (-F.col("best.negative")).alias("keep_id"),
