@@ -10,10 +10,14 @@ collapse to one class, whose smallest id goes on. Classes that share no band of
 the first collection with another one cannot meet anyone and are done. The others are keyed by all tables; the members of
 a table are linked to its smallest id, and the components of these links are the candidate clusters: any two documents
 that meet in a table are in one cluster. In every cluster all links are then confirmed or refused on full shingle sets,
-compared without hashing. A cluster too large for one task is cut into blocks by set size and hash, and every pair of
-blocks that can hold a link is a task of its own; sizes that differ by more than the threshold allows never meet.
-Only a spanning forest of confirmed links leaves a task, and the components of these links are the groups. What a table's
-smallest id does not see itself is found in its cluster, so nothing depends on which document that is.
+compared without hashing. A cluster too large for one task is cut into blocks by set size and hash, in two rounds. First
+each block is compared within itself and with a few pivots, documents of the cluster that visit all blocks of near sizes;
+a group of near copies holds together through them. Then the documents outside the largest group found so far, and only
+these, meet all blocks of near sizes, so every link between different groups is seen. Sizes that differ by more than the
+threshold allows never meet. Only a spanning forest of confirmed links leaves a task, and the components of these links are
+the groups. What a table's smallest id does not see itself is found in its cluster, so nothing depends on which document
+that is, nor on the choice of pivots, which decides about the work alone: a cluster with one dominant group costs work in
+proportion to its size, one of many large groups that are no near copies of each other the product of their sizes.
 
 Lower-cased are A to Z alone. Null text has no words; documents without words have size 0 and are linked with nothing.
 Documents with fewer words than a shingle have one shingle, their whole sequence. Rows with a null id get a null
@@ -41,6 +45,8 @@ ROWS = 4
 # Documents and bytes of text in a block of a large cluster.
 BLOCK_DOCS = 512
 BLOCK_BYTES = 8 << 20
+# Documents of each size level of a large cluster that visit all blocks, about.
+PIVOTS = 8
 
 SIGNATURE = "doc_id long, n_shingles long, h1 long, h2 long, first array<long>, second array<long>"
 
@@ -139,21 +145,24 @@ def shingle_codes(texts: list[str], size: int) -> list[np.ndarray]:
     return np.split(pairs[1], np.searchsorted(pairs[0], np.arange(1, len(texts)))) if texts else []
 
 
-def forest(sets: list[np.ndarray], side: np.ndarray, threshold: Fraction) -> list[tuple[int, int]]:
+def forest(sets: list[np.ndarray], side: np.ndarray, known: np.ndarray, threshold: Fraction) -> list[tuple[int, int]]:
     """Links that hold all documents together which confirmed links connect. ``side`` tells two blocks apart: where
-    both occur, only pairs across are compared, pairs within are another task's."""
+    both occur, only pairs across are compared. Documents with the same ``known`` group are connected already."""
     n = len(sets)
-    both = len(np.unique(side)) > 1
+    sides, side = np.unique(side, return_inverse=True)
+    both = len(sides) > 1
     size = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets) if n else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(n), size)
     order = np.argsort(flat, kind="stable")
     owners = owner[order]
     starts = np.searchsorted(flat[order], np.arange(flat.max(initial=-1) + 2))
-    group = np.arange(n)
+    group = np.unique(known, return_inverse=True)[1]
     links = []
-    for x in range(n):
+    # Pairs across are all seen from the smaller side.
+    for x in np.flatnonzero(side == np.bincount(side).argmin()).tolist() if both else range(n):
         if (group == group[x]).all():
+            # All are connected: nothing is left for anyone.
             break
         begin, count = starts[sets[x]], starts[sets[x] + 1] - starts[sets[x]]
         place = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -171,15 +180,24 @@ def forest(sets: list[np.ndarray], side: np.ndarray, threshold: Fraction) -> lis
 
 def _confirm(size: int, threshold: Fraction):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("doc_id")
+        frame = frame.sort_values(["doc_id", "side"])
         ids = frame["doc_id"].to_numpy()
-        side = frame["block"].to_numpy()
-        found = forest(shingle_codes(frame["text"].tolist(), size), side, threshold)
+        sets = shingle_codes(frame["text"].tolist(), size)
+        found = forest(sets, frame["side"].to_numpy(), frame["known"].to_numpy(), threshold)
         return pd.DataFrame({"a": [int(ids[x]) for x, _ in found], "b": [int(ids[y]) for _, y in found]}, dtype="int64")
 
     return run
 
 
+def _across(confirm):
+    """Without visitors, or without anyone to visit, a task has no pair to compare."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        return confirm(frame if frame["side"].nunique() > 1 else frame.iloc[:0])
+
+    return run
+
+
 def clusters(classes: DataFrame, bands: int) -> DataFrame:
     """node, component: candidate clusters of the classes that meet another one in a table."""
     one = classes.select("doc_id", F.posexplode("first").alias("i", "band"))
@@ -199,57 +217,87 @@ def clusters(classes: DataFrame, bands: int) -> DataFrame:
     return components(links.distinct())
 
 
+def _parts() -> Column:
+    """Of the documents of one size level: the number of blocks that they are dealt to."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("parts")
+
+
+def _by_level(name: str) -> Column:
+    return F.map_from_entries(F.collect_list(F.struct("level", name))).alias(name)
+
+
+def _block(level: Column, part: Column) -> Column:
+    return (level.cast("long") * F.lit(1 << 32) + part).cast("long")
+
+
+def _near_blocks(parts: str) -> Column:
+    """The blocks of the own level and of both next to it, as a map from levels to their numbers of blocks tells."""
+
+    def of(level: Column) -> Column:
+        count = F.coalesce(F.col(parts)[level], F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda p: _block(level, p))
+        return F.when(count > 0, blocks).otherwise(F.array().cast("array<long>"))
+
+    return F.concat(*(of(F.col("level") + step) for step in (-1, 0, 1)))
+
+
+def _dealt(parts: str, salt: str) -> Column:
+    return _block(F.col("level"), F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col(parts)[F.col("level")]).cast("int"))
+
+
 def confirmed(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
-    """Links a, b from the rows doc_id, text, cluster, n_shingles: all pairs of a cluster, a pair of blocks at a time."""
+    """Links a, b that connect what all links within a cluster connect; rows doc_id, text, cluster, n_shingles."""
     ratio = -math.log(float(threshold))
     level = F.floor(F.log(F.col("n_shingles").cast("double")) / ratio + F.lit(1e-9)).cast("int")
     rows = staged(texts.withColumn("level", level).withColumn("bytes", F.octet_length("text").cast("long")), "clustered")
-    sums = rows.groupBy("cluster", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
-    whole = sums.groupBy("cluster").agg(
-        F.sum("n").alias("n"),
-        F.sum("bytes").alias("bytes"),
-        F.map_from_entries(
-            F.collect_list(
-                F.struct(
-                    "level",
-                    F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int").alias("parts"),
-                )
-            )
-        ).alias("parts"),
-    )
-    whole = staged(whole, "cluster_sizes")
-    small = (F.col("n") <= BLOCK_DOCS) & (F.col("sum_bytes") <= BLOCK_BYTES)
-    placed = rows.join(whole.select("cluster", "n", F.col("bytes").alias("sum_bytes"), "parts"), "cluster").select(
-        "cluster", "doc_id", "text", F.when(small, F.lit(None)).otherwise(F.col("parts")).alias("parts"), "level"
+    levels = rows.groupBy("cluster", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), _parts())
+    whole = levels.groupBy("cluster").agg(
+        F.sum("n").alias("docs"), F.sum("bytes").alias("all_bytes"), _by_level("parts"), _by_level("n")
     )
-
-    def block(lvl: Column, part: Column) -> Column:
-        return (lvl.cast("long") * F.lit(1 << 32) + part).cast("long")
-
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("parts")[F.col("level")]).cast("int")
-
-    def others(lvl: Column) -> Column:
-        count = F.coalesce(F.col("parts")[lvl], F.lit(0))
-        return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda p: block(lvl, p))).otherwise(
-            F.array().cast("array<long>")
+    whole = staged(whole.withColumn("fits", (F.col("docs") <= BLOCK_DOCS) & (F.col("all_bytes") <= BLOCK_BYTES)), "cluster_sizes")
+    confirm, pair = _confirm(size, threshold), "a long, b long"
+    small = rows.join(whole.where("fits").select("cluster"), "cluster")
+    small = small.select("cluster", "doc_id", "text", F.lit(0).alias("side"), F.col("doc_id").alias("known"))
+    links = small.groupBy("cluster").applyInPandas(confirm, pair)
+    large = whole.where("not fits").select("cluster", "parts", "n")
+    if large.isEmpty():
+        return links
+
+    # First round. Blocks are dealt by an explicit repartition: a join may leave the rows dealt by cluster, which Spark
+    # would take for grouping enough and hand all blocks of a large cluster to one task.
+    placed = rows.join(large, "cluster")
+    share = F.ceil(F.col("n")[F.col("level")] / F.lit(PIVOTS))
+    pivot = F.pmod(F.xxhash64("doc_id", F.lit("pivot")), share) == 0
+    blocks = F.when(pivot, _near_blocks("parts")).otherwise(F.array(_dealt("parts", "block")))
+    own = placed.select("cluster", "doc_id", "text", F.explode(blocks).alias("block"), F.lit(0).alias("side"), F.col("doc_id").alias("known"))
+    first = staged(own.repartition("cluster", "block").groupBy("cluster", "block").applyInPandas(confirm, pair), "first_links")
+
+    # Second round: documents outside the largest group of their cluster against all blocks of near sizes.
+    found = components(first).select(F.col("node").alias("doc_id"), F.col("component").alias("found"))
+    known = placed.select("cluster", "doc_id", "level", "bytes").join(found, "doc_id", "left")
+    known = known.select("cluster", "doc_id", "level", "bytes", F.coalesce("found", "doc_id").alias("known"))
+    known = staged(known, "known_groups")
+    counted = known.groupBy("cluster", "known").agg(F.count(F.lit(1)).alias("n"))
+    main = counted.groupBy("cluster").agg(F.max(F.struct("n", "known"))["known"].alias("main"))
+    apart = staged(known.join(main, "cluster").where("known <> main").drop("main"), "apart")
+    few = apart.groupBy("cluster", "level").agg(_parts()).groupBy("cluster").agg(_by_level("parts"))
+    few = staged(few.withColumnRenamed("parts", "few"), "apart_sizes")
+    # A repeated id has several texts, which are one node.
+    groups = known.select("doc_id", "known").distinct()
+    met = placed.join(few, "cluster").join(groups, "doc_id")
+    lone = met.join(apart.select("doc_id").distinct(), "doc_id", "left_semi")
+    tasks = met.select(
+        "cluster", "doc_id", "text", "known", F.lit(0).alias("side"),
+        _dealt("parts", "block").alias("block"), F.explode(_near_blocks("few")).alias("visitor"),
+    ).unionByName(
+        lone.select(
+            "cluster", "doc_id", "text", "known", F.lit(1).alias("side"),
+            F.explode(_near_blocks("parts")).alias("block"), _dealt("few", "visitor").alias("visitor"),
         )
-
-    own = F.when(F.col("parts").isNull(), F.lit(0).cast("long")).otherwise(block(F.col("level"), mine))
-    reach = F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-        F.concat(others(F.col("level") - 1), others(F.col("level")), others(F.col("level") + 1))
-    )
-    tasks = (
-        placed.withColumn("block", own)
-        .select("cluster", "doc_id", "text", "block", F.explode(reach).alias("other"))
-        .select(
-            "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-            "doc_id", "text", "block",
-        )
-    )
-    # Dealt by the pair of blocks: the join leaves the rows dealt by cluster, which Spark would take for grouping enough
-    # and hand all pairs of a large cluster to one task.
-    tasks = tasks.repartition("cluster", "low", "high")
-    return tasks.groupBy("cluster", "low", "high").applyInPandas(_confirm(size, threshold), "a long, b long")
+    )
+    keys = ["cluster", "block", "visitor"]
+    second = tasks.repartition(*keys).groupBy(*keys).applyInPandas(_across(confirm), pair)
+    return links.unionByName(first).unionByName(second)
 
 
 def near_duplicates(
