@@ -59,7 +59,7 @@ def test_token_store(spark, given):
 
 
 def test_token_store_of_odd_rows(spark, odd, tmp_path):
-    token_store.write(odd, str(tmp_path / "s"), JSON, 0)
+    token_store.write(odd, str(tmp_path / "s"), JSON, 0, literal=True)
     assert ordered(token_store.catalogue(spark, str(tmp_path / "s")).collect()) == ordered(
         expected_store([(r[0], r[1]) for r in ODD])
     )
@@ -84,6 +84,20 @@ def test_token_store_query_gives_added_tokens_their_id(spark, tmp_path):
     assert ordered(queries.QUERIES["op1_token_store"](spark, str(tmp_path)).collect()) == ordered(want)
 
 
+def test_token_store_spreads_a_key_over_parts_and_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_IDS", 64)
+    random.seed(11)
+    rows = [(random.choice([None, None, 5, 5, 5, i]), f"{random.random()} word{i} and more") for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    token_store.write(frame, str(tmp_path / "s"), JSON, 0)
+    store = token_store.read(spark, str(tmp_path / "s"))
+    assert ordered(token_store.catalogue(spark, str(tmp_path / "s")).collect()) == ordered(expected_store(rows))
+    assert store.where("first_key <= 5 and last_key >= 5").select("part").distinct().count() > 1
+    assert store.where("first_key is null").select("part").distinct().count() > 1
+    keys = spark.createDataFrame([(5,), (7000,)], "doc_id long")
+    assert token_store.lookup(store, keys).count() == sum(i == 5 for i, _ in rows)
+
+
 def test_empty_token_store(spark, none, tmp_path):
     token_store.write(none, str(tmp_path / "s"), JSON, 0)
     assert token_store.catalogue(spark, str(tmp_path / "s")).count() == 0
@@ -140,6 +154,25 @@ def test_exact_dedup(spark, docs, odd, none, given):
     assert exact_dedup.dedup_table(none).count() == 0
 
 
+def test_equal_digests_of_different_texts_stay_apart(spark):
+    shape = "doc_id long, digest binary, length long, points long, plain binary"
+    one, other = bytearray(b"\x01" * 32), bytearray(b"\x02" * 32)
+    early = spark.createDataFrame([(1, one, 3, 3, bytearray(b"abc")), (2, other, 3, 3, bytearray(b"xyz"))], shape)
+    late = spark.createDataFrame([(3, one, 3, 3, bytearray(b"abd")), (4, other, 3, 4, bytearray(b"xyz"))], shape)
+    got = exact_dedup.dedup(late, exact_dedup.snapshot(early), early).collect()
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in got} == {
+        1: (1, 1, True), 3: (3, 1, True), 2: (4, 2, False), 4: (4, 2, True),
+    }
+
+
+def test_exact_dedup_with_many_filters_and_parts(spark, docs, given):
+    rows = exact_dedup.digested(docs)
+    early, late = rows.where("doc_id % 3 = 0"), rows.where("doc_id % 3 <> 0")
+    frozen = exact_dedup.snapshot(early, filter_keys=8)
+    assert frozen.buckets > 3
+    assert ordered(exact_dedup.dedup(late, frozen, early).collect()) == ordered(brute.exact(given))
+
+
 def test_filter_finds_all_and_few_others():
     keys = np.arange(1, 20_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     made = exact_dedup.BinaryFuse.build(keys)
@@ -321,6 +354,25 @@ def test_large_clusters_are_cut_into_blocks(spark, monkeypatch):
     assert ordered(minhash.near_duplicates(frame, shingle=3, threshold=Fraction(85, 100)).collect()) == ordered(brute.near(rows, 3, 85, 100))
 
 
+def test_groups_of_one_cluster_meet_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", 5)
+    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    random.seed(9)
+    base = [f"w{i}" for i in range(150)]
+    bases = [base, base[:95] + [f"y{i}" for i in range(45)], base[:8] + [f"z{i}" for i in range(60)] + base[20:90]]
+    rows = []
+    for i in range(120):
+        words = list(random.choice([*bases, base]))
+        for _ in range(random.choice([0, 1, 3, 5, 9, 14])):
+            words[random.randrange(len(words))] = f"x{random.randrange(40)}"
+        rows.append((i, " ".join(words[: random.randint(len(words) - 30, len(words))])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(frame, shingle=2, threshold=Fraction(7, 10)).collect()
+    want = brute.near(rows, 2, 7, 10)
+    assert ordered(got) == ordered(want)
+    assert 3 < len({r[2] for r in want}) < 80
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(100)] + [(200, 300), (300, 250), (7, 7), (None, 3)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
