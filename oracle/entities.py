@@ -201,7 +201,8 @@ ENTITIES: dict[str, str] = {
     "supplier_feed": """
         SELECT doc_id AS Id, left(md5(text), 13) AS isbn13,
                CASE WHEN doc_id % 50 = 0 THEN '-1' ELSE CAST(doc_id % 211 AS VARCHAR) END AS own_ean,
-               lang || ':' || doc_id AS name, source AS SupplierId FROM documents""",
+               lang || ':' || doc_id AS name, CASE WHEN doc_id % 9 <> 0 THEN lang END AS autor,
+               'house ' || (doc_id % 7) AS wydawnictwo, source AS SupplierId FROM documents""",
     "replacement": """
         SELECT own_ean AS EAN, first_ean AS ReplacementEAN
         FROM supplier_feed JOIN (SELECT isbn13, min(own_ean) AS first_ean FROM supplier_feed

@@ -130,13 +130,15 @@ SELECT IdBookstore AS market, coalesce(ShippingCountryIso2, '??') AS country, co
        {avg('ShippingCost')} AS avg_shipping, {avg('ProductCost')} AS avg_product
 FROM losses WHERE fOrderTotal <= 0 GROUP BY ALL"""
 
-SQL["unprofitable_destinations"] = f"""
+UNPROFITABLE = f"""
 SELECT coalesce(ShippingCountryIso2, '??') AS country, count(*) AS orders,
        {pct(n('Profit_Actual < 0'), n())} AS loss_pct, {r('sum(Profit_Actual)', 0)} AS result,
        {avg('Profit_Actual')} AS avg_per_order, {n('Profit_Actual < 0 AND Profit_Estimated <= 0')} AS planned_losses,
        {n('Profit_Actual < 0')} AS losses
-FROM settled
+FROM settled WHERE {{where}}
 GROUP BY 1 HAVING count(*) >= 5 AND round(sum(Profit_Actual), 0) < 0"""
+SQL["unprofitable_destinations"] = UNPROFITABLE.format(where="true")
+SQL["unprofitable_destinations_small_orders"] = UNPROFITABLE.format(where="fOrderTotal < 60000")
 
 SQL["loss_bands"] = f"""
 WITH banded AS (SELECT *, CASE WHEN Profit_Actual > -2 THEN 'a) 0 to -2' WHEN Profit_Actual > -5 THEN 'b) -2 to -5'
@@ -517,10 +519,12 @@ UNION ALL SELECT event_name, 'page_location', count(page), count(DISTINCT page)
 UNION ALL SELECT event_name, 'absent', 0, 0 FROM web_event GROUP BY 1"""
 
 SQL["missing_pairs"] = """
-WITH codes AS (SELECT isbn13, own_ean AS ean, min(name) AS name, count(DISTINCT SupplierId) AS sup FROM supplier_feed
+WITH codes AS (SELECT isbn13, own_ean AS ean, min(name) AS name, min(autor) AS autor, min(wydawnictwo) AS house,
+        count(DISTINCT SupplierId) AS sup FROM supplier_feed
     WHERE length(isbn13) = 13 AND own_ean NOT IN ('-1', '') GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY isbn13 ORDER BY sup DESC, ean) AS rk FROM codes)
-SELECT a.isbn13, a.ean AS code_a, b.ean AS code_b, left(a.name, 60) AS title, least(a.sup, b.sup) AS confirmations
+SELECT a.isbn13, a.ean AS code_a, b.ean AS code_b, left(a.name, 60) AS title, a.autor AS author, a.house AS publisher,
+       least(a.sup, b.sup) AS confirmations
 FROM ranked a JOIN ranked b ON a.isbn13 = b.isbn13 AND a.ean < b.ean
 WHERE NOT EXISTS (SELECT 1 FROM replacement x WHERE (x.EAN = a.ean AND x.ReplacementEAN = b.ean)
                                                  OR (x.EAN = b.ean AND x.ReplacementEAN = a.ean))
@@ -581,7 +585,7 @@ CRAWL = f"""SELECT data_date, zone, b AS bot, edge_status, cache_status, count(*
 FROM (SELECT *, '__ALL__' AS b FROM bot_request UNION ALL SELECT *, bot AS b FROM bot_request WHERE bot IS NOT NULL)
 GROUP BY 1, 2, 3, 4, 5"""
 
-SQL["crawl_daily"] = CRAWL
+SQL["crawl_daily"] = f"SELECT *, TIMESTAMP '2024-01-31' AS collected_at FROM ({CRAWL})"
 ORIGIN = "cache_status IN ('miss', 'expired', 'dynamic', 'none', 'bypass', 'revalidated')"
 SQL["origin_share"] = f"""
 SELECT zone, bot, count(*) AS requests, {n(ORIGIN)} AS to_origin, {pct(n(ORIGIN), n(), 2)} AS origin_pct
@@ -589,7 +593,8 @@ FROM bot_request WHERE bot IS NOT NULL GROUP BY 1, 2"""
 
 SQL["crawl_exact_rows"] = """
 SELECT data_date, zone, '__EXACT__' AS bot, CAST(NULL AS INT) AS edge_status, CAST(NULL AS VARCHAR) AS cache_status,
-       count(*) AS requests, CAST(NULL AS BIGINT) AS bytes, CAST(NULL AS DOUBLE) AS avg_origin_ms
+       count(*) AS requests, CAST(NULL AS BIGINT) AS bytes, CAST(NULL AS DOUBLE) AS avg_origin_ms,
+       TIMESTAMP '2024-01-31' AS collected_at
 FROM bot_request GROUP BY 1, 2"""
 
 SQL["sampled_calibration"] = f"""

@@ -291,6 +291,10 @@ def missing_pairs(
     that many at all. Only those codes are paired: the number of pairs formed
     grows with k and the links, not with the square of the group. Ranking runs in
     ``spread`` slices per ISBN before it runs per ISBN.
+
+    Title, author and publisher (``name``, ``autor``, ``wydawnictwo``) are the
+    smallest that the feed gives for the first code of a pair, null where it gives
+    none or has no such column.
     """
     usable = feed.where(
         (F.length("isbn13") == 13) & F.col("own_ean").isNotNull() & ~F.col("own_ean").isin(*NO_CODE)
@@ -351,15 +355,24 @@ def missing_pairs(
         .limit(k)
         .select("isbn13", F.col("low").alias("code_a"), F.col("high").alias("code_b"), "confirmations")
     )
-    # Names are looked up for the k pairs only, not carried through the shuffles.
-    names = usable.select("isbn13", F.col("own_ean").alias("code_a"), "name")
+    # Descriptions are looked up for the k pairs only, not carried through the
+    # shuffles; the pairs of one code, at most k, meet its feed rows as one list.
+    listed = best.groupBy("isbn13", "code_a").agg(
+        F.collect_list(F.struct("code_b", F.col("confirmations").cast("bigint").alias("confirmations"))).alias("pairs")
+    )
+    given = lambda c: F.col(c) if c in feed.columns else F.lit(None).cast("string").alias(c)
+    described = usable.select("isbn13", F.col("own_ean").alias("code_a"), "name", given("autor"), given("wydawnictwo"))
     return (
-        best.join(names, ["isbn13", "code_a"])
-        .groupBy("isbn13", "code_a", "code_b")
+        described.join(listed, ["isbn13", "code_a"])
+        .groupBy("isbn13", "code_a")
         .agg(
             F.left(F.min("name"), F.lit(60)).alias("title"),
-            F.max("confirmations").cast("bigint").alias("confirmations"),
+            F.min("autor").alias("author"),
+            F.min("wydawnictwo").alias("publisher"),
+            F.first("pairs").alias("pairs"),
         )
+        .select("isbn13", "code_a", "title", "author", "publisher", F.inline("pairs"))
+        .select("isbn13", "code_a", "code_b", "title", "author", "publisher", "confirmations")
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import first_match
 from ..functions.money import pct, rounded, share
+from ..functions.time import When, ts
 
 # Bots and the pattern of their user agent.
 BOT_PATTERNS = (
@@ -48,11 +49,17 @@ def bot_classify(requests: DataFrame) -> DataFrame:
     return requests.withColumn("bot", bot_label(F.col("user_agent")))
 
 
-def crawl_daily(requests: DataFrame) -> DataFrame:
+def _collected(at: When | None) -> Column:
+    moment = F.lit(None).cast("timestamp") if at is None else ts(at)
+    return moment.alias("collected_at")
+
+
+def crawl_daily(requests: DataFrame, *, collected_at: When | None = None) -> DataFrame:
     """Requests per day, zone, bot, edge status and cache state, and for all traffic.
 
     The all-traffic rows are made from the counted groups, so the log is read and
-    shuffled once.
+    shuffled once. ``collected_at`` is the moment the log was taken, which tells a
+    day that was still running from a whole one; null if unknown.
     """
     counted = bot_classify(requests).groupBy(
         F.col("ts").cast("date").alias("data_date"), "zone", "bot", "edge_status", "cache_status"
@@ -71,6 +78,7 @@ def crawl_daily(requests: DataFrame) -> DataFrame:
             F.sum("b").cast("bigint").alias("bytes"),
             rounded(F.try_divide(F.sum("ms"), F.sum("ms_n")), 4).alias("avg_origin_ms"),
         )
+        .select("*", _collected(collected_at))
     )
 
 
@@ -92,7 +100,7 @@ def origin_share(crawl: DataFrame, states: Sequence[str] = ORIGIN_STATES) -> Dat
     )
 
 
-def exact_rows(exact_daily: DataFrame) -> DataFrame:
+def exact_rows(exact_daily: DataFrame, *, collected_at: When | None = None) -> DataFrame:
     """Unsampled daily totals in the shape of :func:`crawl_daily`."""
     empty = lambda kind: F.lit(None).cast(kind)
     return exact_daily.select(
@@ -104,6 +112,7 @@ def exact_rows(exact_daily: DataFrame) -> DataFrame:
         "requests",
         empty("bigint").alias("bytes"),
         empty("double").alias("avg_origin_ms"),
+        _collected(collected_at),
     )
 
 

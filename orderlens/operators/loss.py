@@ -334,16 +334,19 @@ def zero_revenue_shipments(
 
 
 def unprofitable_destinations(
-    order_profit: DataFrame, *, as_of: When, days: int = 90, min_orders: int = 20
+    order_profit: DataFrame, *, as_of: When, days: int = 90, min_orders: int = 20, below: float | None = None
 ) -> DataFrame:
     """Countries whose rounded result over the window is negative.
 
-    A result that rounds to zero is not reported.
+    A result that rounds to zero is not reported. With ``below`` only orders of a
+    smaller value count: a country that earns in all may lose on small baskets.
     """
     lost = F.col("Profit_Actual") < 0
+    orders = settled_orders(order_profit, as_of, days)
+    if below is not None:
+        orders = orders.where(F.col("fOrderTotal") < dec(below))
     return (
-        settled_orders(order_profit, as_of, days)
-        .groupBy(F.coalesce("ShippingCountryIso2", F.lit("??")).alias("country"))
+        orders.groupBy(F.coalesce("ShippingCountryIso2", F.lit("??")).alias("country"))
         .agg(
             row_count().alias("orders"),
             pct(F.count_if(lost), row_count()).alias("loss_pct"),

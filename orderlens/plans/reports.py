@@ -107,6 +107,14 @@ def unprofitable_destinations(e):
     return loss.unprofitable_destinations(e.order_profit, as_of=AS_OF, days=HISTORY, min_orders=5)
 
 
+@report
+def unprofitable_destinations_small_orders(e):
+    """Here small orders lose everywhere."""
+    return loss.unprofitable_destinations(
+        e.order_profit, as_of=AS_OF, days=HISTORY, min_orders=5, below=60000
+    )
+
+
 @report
 def loss_bands(e):
     return loss.loss_bands(e.order_profit, as_of=AS_OF, days=HISTORY)
@@ -411,7 +419,7 @@ def bot_classify(e):
 
 @report
 def crawl_daily(e):
-    return crawl.crawl_daily(e.request_log)
+    return crawl.crawl_daily(e.request_log, collected_at=EVENTS_AS_OF)
 
 
 @report
@@ -427,7 +435,7 @@ def _exact(e: Entities) -> DataFrame:
 
 @report
 def crawl_exact_rows(e):
-    return crawl.exact_rows(_exact(e))
+    return crawl.exact_rows(_exact(e), collected_at=EVENTS_AS_OF)
 
 
 @report

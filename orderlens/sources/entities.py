@@ -477,6 +477,8 @@ class Entities:
             "left(md5(cast(text AS binary)), 13) AS isbn13",
             "if(doc_id % 50 = 0, '-1', cast(doc_id % 211 AS string)) AS own_ean",
             "concat_ws(':', lang, cast(doc_id AS string)) AS name",
+            "if(doc_id % 9 = 0, NULL, lang) AS autor",
+            "concat('house ', cast(doc_id % 7 AS string)) AS wydawnictwo",
             "source AS SupplierId",
         )
 

@@ -58,6 +58,20 @@ def test_pairs_grow_with_k_and_links_not_with_the_group(spark):
     assert len(got) == 10 and ("c00000", "c00001") not in {(r.code_a, r.code_b) for r in got}
 
 
+def test_pairs_name_the_author_and_publisher_of_their_first_code(spark):
+    feed = [
+        (1, "c1", "Title b", None, "House", "s1"), (2, "c1", "Title a", "Author", None, "s2"),
+        (3, "c2", "Other", "Else", "Where", "s1"), (4, "c2", "Other", "Else", "Where", "s2"),
+        (5, "c0", "x" * 70, None, None, "s1"), (6, "c0", None, None, None, "s2"),
+    ]
+    frame = spark.createDataFrame([(i, "H" * 13, *rest) for i, *rest in feed], "Id bigint, isbn13 string, own_ean string, "
+                                  "name string, autor string, wydawnictwo string, SupplierId string")
+    got = baskets.missing_pairs(frame, spark.createDataFrame([("c2", "c0")], LINK)).collect()
+    assert sorted(tuple(r)[1:] for r in got) == [
+        ("c0", "c1", "x" * 60, None, None, 2), ("c1", "c2", "Title a", "Author", "House", 2),
+    ]
+
+
 REL = "order_id bigint, ean string, rel decimal(18,6)"
 
 
@@ -145,3 +159,7 @@ def test_bots_and_all_traffic(spark):
     scaled = {r.bot: (r.factor, r.scaled, r.share_pct) for r in crawl.sampled_calibration(daily, exact).collect()}
     assert scaled == {"Googlebot": (2.0, 2.0, 25.0), "Googlebot-Image": (2.0, 2.0, 25.0)}
     assert {r.bot for r in crawl.origin_share(daily).collect()} == {"Googlebot", "Googlebot-Image"}
+    assert {r.collected_at for r in daily.collect()} == {None}
+    later = crawl.crawl_daily(df, collected_at="2026-03-02 04:00:00")
+    both = later.unionByName(crawl.exact_rows(exact, collected_at="2026-03-02 04:00:00"))
+    assert {r.collected_at for r in both.collect()} == {dt.datetime(2026, 3, 2, 4)}

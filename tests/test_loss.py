@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderlens.operators import loss
 
@@ -138,6 +139,15 @@ def test_zero_result_is_not_unprofitable(spark):
     assert [r.country for r in got] == ["FR"]
 
 
+def test_small_baskets_may_lose_where_all_orders_earn(spark):
+    df = spark.createDataFrame([order(1, -9), order(2, 50), order(3, -4)], COLUMNS)
+    df = df.withColumn("fOrderTotal", F.when(F.col("CustomerOrderId") == 2, 500).otherwise(20).cast("decimal(18,4)"))
+    assert loss.unprofitable_destinations(df, as_of=AS_OF, min_orders=1).count() == 0
+    (got,) = loss.unprofitable_destinations(df, as_of=AS_OF, min_orders=1, below=20.01).collect()
+    assert (got.orders, got.losses, got.result) == (2, 2, -13)
+    assert loss.unprofitable_destinations(df, as_of=AS_OF, min_orders=1, below=20).count() == 0
+
+
 def test_bands_and_shares_cover_their_input(orders):
     bands = loss.loss_bands(orders, as_of=AS_OF).collect()
     assert sum(r.orders for r in bands) == 4
