@@ -181,7 +181,7 @@ def screened(digests: DataFrame, frozen: Snapshot, *, filter_keys: int = FILTER_
     return met.drop("bucket", "part")
 
 
-def _checked(matched: DataFrame, rows: DataFrame) -> DataFrame:
+def _checked(matched: DataFrame, texts: DataFrame) -> DataFrame:
     """Of the matched digests those whose texts agree byte for byte: the row that stays in the batch's group against the
     one in the snapshot's. A row is looked up by its id, length and digest, so copies do not meet in one task."""
     ends = [F.struct(F.lit(new).alias("new"), F.col(best).alias("best")) for new, best in ((True, "best"), (False, "old_best"))]
@@ -194,16 +194,21 @@ def _checked(matched: DataFrame, rows: DataFrame) -> DataFrame:
         & (F.col("new") == F.col("head_new")) & (F.col("points") == F.col("head_points"))
         & (-F.col("doc_id")).eqNullSafe(F.col("head_negative"))
     )
-    found = rows.select("doc_id", "digest", "length", "points", "plain", "new").join(heads, same)
+    # One way of joining at every size: the plan at scale is the plan of small tables.
+    found = texts.select("doc_id", "digest", "length", "points", "plain", "new").join(heads.hint("merge"), same)
     # Rows that repeat an id are all compared.
-    texts = found.groupBy("digest", "length").agg(F.min("plain").alias("low"), F.max("plain").alias("high"))
-    return matched.join(texts.where("low = high").select("digest", "length"), ["digest", "length"], "left_semi")
+    equal = found.groupBy("digest", "length").agg(F.min("plain").alias("low"), F.max("plain").alias("high"))
+    return matched.join(equal.where("low = high").select("digest", "length"), ["digest", "length"], "left_semi")
 
 
-def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, carry: Sequence[str] = ()) -> DataFrame:
+def dedup(
+    batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, texts: DataFrame | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
     """Answers for the digested rows of batch and snapshot: doc_id, keep_id, group_size, kept, text_sha256, ``carry``.
 
-    No group is ever gathered: a row meets its group's answer in a join on the digest, whose hot keys Spark splits.
+    ``texts`` may hold the same rows with their ``plain`` texts and ``new`` (of the batch or not), if batch and snapshot
+    come without. No group is ever gathered: a row meets its group's answer in a join on the digest, whose hot keys Spark
+    splits.
     """
     fresh = staged(_grouped(batch), "batch")
     positive = screened(fresh, frozen)
@@ -213,7 +218,7 @@ def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, carry
     )
     matched = positive.join(old, (F.col("digest") == F.col("old_digest")) & (F.col("length") == F.col("old_length")))
     rows = batch.withColumn("new", F.lit(True)).unionByName(snapshot_rows.withColumn("new", F.lit(False)))
-    merged = _checked(staged(matched, "matched"), rows).select(
+    merged = _checked(staged(matched, "matched"), rows if texts is None else texts).select(
         "digest", "length", F.greatest("best", "old_best").alias("best"), (F.col("n") + F.col("old_n")).alias("n"),
         F.explode(F.array(F.lit(True), F.lit(False))).alias("new"),
     )
@@ -234,8 +239,8 @@ def dedup(batch: DataFrame, frozen: Snapshot, snapshot_rows: DataFrame, *, carry
 
 def dedup_table(docs: DataFrame, *, key: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """A whole table as two arrivals: rows whose hashed id is even are frozen first, the others come as the new batch."""
-    rows = staged(
-        digested(docs, key=key, text=text, carry=carry).withColumn("first", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), "digests"
-    )
-    early, late = rows.where("first").drop("first"), rows.where("not first").drop("first")
-    return dedup(late, snapshot(early), early, carry=carry)
+    whole = digested(docs, key=key, text=text, carry=carry).withColumn("new", F.pmod(F.xxhash64("doc_id"), F.lit(2)) != 0)
+    # Texts are normalised a second time for the comparison rather than stored.
+    rows = staged(whole.drop("plain"), "digests")
+    early, late = rows.where("not new").drop("new"), rows.where("new").drop("new")
+    return dedup(late, snapshot(early), early, texts=whole, carry=carry)
