@@ -199,14 +199,17 @@ def tag_cooccurrence(
     as_of: When,
     days: int = 7,
     note_length: int = 90,
+    replay: bool = True,
 ) -> DataFrame:
     """Per tag: distinct losing orders, and their loss repeated for every tag row.
 
     The contrast to :func:`loss_by_tag`: repeated tags weigh an order repeatedly.
     The repeats are counted per (order, tag) first, so the join sees each pair once.
+    A ``replay`` sees the tags that stood at ``as_of``; without it every tag row counts, whenever it was set.
     """
     losses = losing_orders(order_profit, as_of, days).select("CustomerOrderId", "Profit_Actual")
-    losing = known_tags(tags, as_of).join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
+    seen = known_tags(tags, as_of) if replay else tags
+    losing = seen.join(losses.select("CustomerOrderId"), "CustomerOrderId", "left_semi")
     repeats = losing.groupBy("CustomerOrderId", "TagId").agg(
         row_count().alias("rows"), F.min("Note").alias("note"), F.min("Source").alias("source")
     )

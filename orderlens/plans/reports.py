@@ -81,7 +81,7 @@ def loss_by_tag(e):
 
 @report
 def tag_cooccurrence(e):
-    return loss.tag_cooccurrence(e.order_profit, e.order_profit_tag, as_of=AS_OF, days=HISTORY)
+    return loss.tag_cooccurrence(e.order_profit, e.order_profit_tag, as_of=AS_OF, days=HISTORY, replay=False)
 
 
 @report
