@@ -189,16 +189,19 @@ def tag_base_rate(
     tag: int = SUPPLIER_TAG,
     pattern: str = SUPPLIER_PATTERN,
     min_orders: int = 30,
+    replay: bool = True,
     stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Losses of orders with a request to a supplier, beside the orders without one.
 
     An order with requests to several suppliers counts for each of them. The
     joined (supplier, profit) rows are read three times (twice for the median);
-    ``stage`` may store them in between.
+    ``stage`` may store them in between. A ``replay`` sees the requests of the window and
+    30 days before it, up to ``as_of``; without it every request counts, whenever it was made.
     """
+    seen = tags.where(since(F.col("CreatedOnUtc"), as_of, days + 30)) if replay else tags
     requests = (
-        tags.where((F.col("TagId") == tag) & since(F.col("CreatedOnUtc"), as_of, days + 30))
+        seen.where(F.col("TagId") == tag)
         .select("CustomerOrderId", F.trim(extract("Note", pattern)).alias("supplier"))
         .distinct()
     )

@@ -232,7 +232,7 @@ def promise_window(e):
 def tag_base_rate(e):
     return fulfilment.tag_base_rate(
         e.order_profit, e.order_profit_tag, as_of=AS_OF, days=HISTORY,
-        pattern=SUPPLIER_NOTE, min_orders=10, stage=lambda rows: staged(rows, "base-rate"),
+        pattern=SUPPLIER_NOTE, min_orders=10, replay=False, stage=lambda rows: staged(rows, "base-rate"),
     )
 
 

@@ -26,3 +26,8 @@ def entities(spark):
 def test_cooccurrence_counts_every_tag(spark):
     got = REPORTS["tag_cooccurrence"](entities(spark)).collect()
     assert [tuple(r) for r in got] == [(35, 12, -78.0, "request to Alpha", "S0")]
+
+
+def test_base_rate_counts_every_tag(spark):
+    got = {r.supplier: (r.orders, r.net_result) for r in REPORTS["tag_base_rate"](entities(spark)).collect()}
+    assert got == {"Alpha": (12, -78.0), "(base)": (12, -222.0)}
