@@ -214,6 +214,17 @@ def codec(ranks_file: str, pattern: str, units: int = MEMO_ENTRIES, pieces: int
         return Codec({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern, units, pieces)
 
 
+def _ids_of(texts: pa.Array, known: Codec, slice_bytes: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Of runs of texts of about ``slice_bytes``: their number, the ids back to back, and the offsets of the texts in them."""
+    rows = pa.RecordBatch.from_arrays([texts], names=["text"])
+    for start, stop, data, offsets in slices(rows, "text", slice_bytes):
+        yield stop - start, *encode_texts(data, offsets, known.units)
+
+
+def _binary(n: int, offsets: np.ndarray, data: object) -> pa.Array:
+    return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.astype(np.int32)), data])
+
+
 def encode(
     text: Column,
     ranks_file: str,
@@ -224,49 +235,29 @@ def encode(
     slice_bytes: int = SLICE,
     keep: bool = True,
 ) -> Column:
-    """Binary column of the ids of each text as little-endian unsigned 32-bit integers.
+    """A struct of ``ids``, those of each text as little-endian unsigned 32-bit integers, and ``decoded``, the bytes that
+    these ids stand for. One worker does both, so a task needs the tables of the codec once.
 
     ``units`` and ``pieces`` are what a worker remembers in each generation, ``slice_bytes`` the text whose units it looks
     up together, and ``keep`` whether it remembers beyond a task; they change its memory and speed, not the ids.
     """
 
-    def ids_of(texts: pa.Array, known: Codec) -> pa.Array:
-        rows = pa.RecordBatch.from_arrays([texts], names=["text"])
-        parts = []
-        for start, stop, data, offsets in slices(rows, "text", slice_bytes):
-            ids, at = encode_texts(data, offsets, known.units)
-            buffers = [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(ids)]
-            parts.append(pa.BinaryArray.from_buffers(pa.binary(), stop - start, buffers))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
-
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = codec(ranks_file, pattern, units, pieces)
         try:
             for texts in batches:
-                yield ids_of(texts, known)
+                for n, ids, at in _ids_of(texts, known, slice_bytes):
+                    raw, ends = known.decode(ids, at)
+                    yield pa.StructArray.from_arrays(
+                        [_binary(n, at * 4, pa.py_buffer(ids)), _binary(n, ends, raw)], names=["ids", "decoded"]
+                    )
         finally:
             if keep:
                 give_back()
             else:
                 known.forget()
 
-    return F.arrow_udf(run, "binary")(text)
-
-
-def decode(
-    ids: Column, ranks_file: str, pattern: str, *, units: int = MEMO_ENTRIES, pieces: int = PIECES
-) -> Column:
-    """Binary column of the bytes that the ids stand for. It shares the tables of an encoder with the same settings."""
-
-    def run(rows: pa.Array) -> pa.Array:
-        known = codec(ranks_file, pattern, units, pieces)
-        parts = []
-        for start, stop, data, offsets in slices(pa.RecordBatch.from_arrays([rows.fill_null(b"")], names=["ids"]), "ids", SLICE):
-            raw, ends = known.decode(np.ascontiguousarray(data).view("<u4"), offsets // 4)
-            parts.append(pa.BinaryArray.from_buffers(pa.binary(), stop - start, [None, pa.py_buffer(ends.astype(np.int32)), raw]))
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
-
-    return F.arrow_udf(run, "binary")(ids)
+    return F.arrow_udf(run, "ids binary, decoded binary")(text)
 
 
 def encoded(
@@ -286,9 +277,8 @@ def encoded(
     An empty or null text has empty ids. A null key stays null.
     """
     bounded_batches(docs.sparkSession)
-    ids = encode(F.col(text), ranks_file, pattern, units=units, pieces=pieces, slice_bytes=slice_bytes, keep=keep)
-    rows = docs.select(F.col(key), ids.alias("ids"))
-    return rows.withColumn("decoded", decode(F.col("ids"), ranks_file, pattern, units=units, pieces=pieces))
+    both = encode(F.col(text), ranks_file, pattern, units=units, pieces=pieces, slice_bytes=slice_bytes, keep=keep)
+    return docs.select(F.col(key), both.alias("_both")).select(key, "_both.ids", "_both.decoded")
 
 
 def digests(rows: DataFrame, *, key: str = "doc_id") -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, give_back
 
 PROFILE = 300
 SAMPLE_ROWS = 1500
@@ -187,9 +187,11 @@ def learn(labelled: DataFrame, *, key: str, text: str, label: str, sample_rows:
 def predict(text: Column, profiles: Profiles) -> Column:
     """A struct of ``lang`` and ``score`` for each text."""
 
-    def run(texts: pa.Array) -> pa.Array:
-        names, scores = profiles.predict([t or "" for t in texts.to_pylist()])
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            names, scores = profiles.predict([t or "" for t in texts.to_pylist()])
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+        give_back()  # what a worker keeps is missing in the stages after this one
 
     return F.arrow_udf(run, "lang string, score double")(text)
 

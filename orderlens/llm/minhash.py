@@ -184,6 +184,9 @@ def _confirm(size: int, threshold: Fraction):
         ids = frame["doc_id"].to_numpy()
         sets = shingle_codes(frame["text"].tolist(), size)
         found = forest(sets, frame["side"].to_numpy(), frame["known"].to_numpy(), threshold)
+        if len(ids) > BLOCK_DOCS // 4:
+            del sets
+            give_back()  # a worker outlives the task
         return pd.DataFrame({"a": [int(ids[x]) for x, _ in found], "b": [int(ids[y]) for _, y in found]}, dtype="int64")
 
     return run

@@ -42,8 +42,7 @@ def given(docs):
 
 
 def expected_store(rows):
-    from tokenizers import Tokenizer
-
+    
     tokenizer = Tokenizer.from_file(JSON)
     tokenizer.encode_special_tokens = True
     at, out = 0, []
@@ -69,8 +68,7 @@ def test_token_store_of_odd_rows(spark, odd, tmp_path):
 
 
 def test_token_store_query_gives_added_tokens_their_id(spark, tmp_path):
-    from tokenizers import Tokenizer
-
+    
     library, end = Tokenizer.from_file(JSON), "<|endoftext|>"
     random.seed(7)
     rows = [(0, f"end {end} x"), (1, end), (2, f"  {end}  {end}{end} 's\n{end} "), (3, "plain words only")]
@@ -109,6 +107,11 @@ def test_perfect_hash_is_minimal():
     assert sorted(made.slots(hashes)) == list(range(5000))
 
 
+def test_bpe_plan_has_one_python_step(odd):
+    rows = bpe.digests(bpe.encoded(odd, RANKS, P.PATTERN))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_bpe_encodes_as_the_library_does(spark, odd, given):
     library = edit_counts.encoder(RANKS, P.PATTERN)
     rows = bpe.encoded(odd, RANKS, P.PATTERN).collect()
