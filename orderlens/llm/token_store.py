@@ -15,6 +15,7 @@ text; the index leads to the first of them and their number. Extra columns are n
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import MASK, mix, partitions, slices
-from .units import SLICE, Memo, cut_ids, encode_texts, joinable
+from .units import SLICE, Memo, cut_ids, encode_texts, joinable, punctuation
 
 SHARD_IDS = 1 << 20
 # Characters of a text that tell rows of one key apart when ranges are cut.
@@ -35,7 +36,7 @@ LEAD = 64
 GAMMA = 2
 LAYERS = 64
 # Units that the tokenizer gets as one text.
-JOINED = 512
+JOINED = 64
 NULL_HASH = 0x5BF03635D3E2A9C7
 
 SHARD = (
@@ -45,13 +46,20 @@ SHARD = (
 
 
 @functools.cache
-def _memo(tokenizer_file: str, literal: bool) -> Memo:
-    """Encodes with the tokenizers library: units that may stand together as texts of many, the others one by one."""
+def _memo(tokenizer_file: str, literal: bool) -> tuple[Memo, np.ndarray | None]:
+    """Encodes with the tokenizers library: units that may stand together as texts of many, the others one by one. Beside
+    it the marks that units are cut at, where the file splits texts by the pattern of byte-level tokenizers."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
     tokenizer.encode_special_tokens = literal
+    settings = json.loads(tokenizer.to_str())
+    split = settings["pre_tokenizer"] or {}
+    words = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    marks = None
+    if words and not settings["normalizer"]:
+        marks = punctuation([token["content"] for token in settings["added_tokens"]])
     vocabulary = tokenizer.get_vocab(with_added_tokens=True)
     # Byte-level vocabularies write each byte of a token as one character.
     lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -73,7 +81,7 @@ def _memo(tokenizer_file: str, literal: bool) -> Memo:
                 out[i] = part
         return out
 
-    return Memo(encoded)
+    return Memo(encoded), marks
 
 
 @functools.cache
@@ -200,18 +208,19 @@ def write(
     Ranges are cut by key and the first ``LEAD`` characters of the text, which agrees with the order by key and text, so
     the rows of a key that very many rows share, null included, fill many partitions as far as their texts differ there.
 
-    The tokenizer sees every distinct space-delimited unit of a worker once; the cut never falls inside a pre-token.
+    The tokenizer sees every distinct unit of a worker once; units begin at spaces, and where the file has the pattern of
+    byte-level tokenizers also at marks after a word; the cut never falls inside a pre-token or an added token.
     """
     width = id_width(tokenizer_file, end_id)
     end = np.array([end_id], f"<u{width}").tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        memo = _memo(tokenizer_file, literal)
+        memo, marks = _memo(tokenizer_file, literal)
         seq, size, keys, rows = 0, 0, [], []
         for batch in batches:
             for start, stop, data, offsets in slices(batch, "text", SLICE):
-                ids, at = encode_texts(data, offsets, memo)
+                ids, at = encode_texts(data, offsets, memo, marks)
                 raw = memoryview(ids.astype(f"<u{width}").tobytes())
                 for i, key in enumerate(batch.column(0).slice(start, stop - start).to_pylist()):
                     row = bytes(raw[width * at[i] : width * at[i + 1]]) + end

@@ -12,10 +12,11 @@ import public_tokenizers as P
 import pytest
 from llm_rows import odd_rows
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from orderlens.llm import (
-    bpe, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, queries, token_store,
+    bpe, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, queries, token_store, units,
 )
 from orderlens.llm.components import components
 
@@ -42,7 +43,8 @@ def given(docs):
 
 
 def expected_store(rows):
-    
+    from tokenizers import Tokenizer
+
     tokenizer = Tokenizer.from_file(JSON)
     tokenizer.encode_special_tokens = True
     at, out = 0, []
@@ -68,7 +70,8 @@ def test_token_store_of_odd_rows(spark, odd, tmp_path):
 
 
 def test_token_store_query_gives_added_tokens_their_id(spark, tmp_path):
-    
+    from tokenizers import Tokenizer
+
     library, end = Tokenizer.from_file(JSON), "<|endoftext|>"
     random.seed(7)
     rows = [(0, f"end {end} x"), (1, end), (2, f"  {end}  {end}{end} 's\n{end} "), (3, "plain words only")]
@@ -107,6 +110,24 @@ def test_perfect_hash_is_minimal():
     assert sorted(made.slots(hashes)) == list(range(5000))
 
 
+def test_units_are_cut_at_marks_and_ids_stay_those_of_the_whole_text():
+    library = Tokenizer.from_file(JSON)
+    memo, marks = token_store._memo.__wrapped__(JSON, False)
+
+    def check(texts):
+        raw = [t.encode() for t in texts]
+        ids, at = units.encode_texts(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), memo, marks)
+        for text, a, b in zip(texts, at[:-1], at[1:], strict=True):
+            assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, texts
+
+    check(["a word, a word. a word! a word?", "word.\nOne word,\nword"])
+    assert b" word" in memo.young and b" word," not in memo.young and b"One" in memo.young
+    random.seed(5)
+    parts = [*"  aabTs.,!?$&:;\n\n\t'é×÷ÿß\u00a0\u3000\u0301日1²)\"(|<>-_\r\x85\x1c", "<|endoftext|>", "'re", "'s ", " the"]
+    for _ in range(3000):
+        check(["".join(random.choices(parts, k=random.randint(0, 14))) for _ in range(4)])
+
+
 def test_bpe_plan_has_one_python_step(odd):
     rows = bpe.digests(bpe.encoded(odd, RANKS, P.PATTERN))
     assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
