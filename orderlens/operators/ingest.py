@@ -177,14 +177,23 @@ def laid_out(df: DataFrame, contract: TableContract) -> DataFrame:
 
     The range covers the partition, the cluster columns and the key, so a day
     that holds a third of the rows is written by many tasks, each with a narrow
-    band of cluster values that file statistics can skip.
+    band of cluster values that file statistics can skip. Without a key the rows of
+    a partition are told apart by a hash of all their columns.
     """
     sort = [PART, *contract.cluster_by]
     spread = list(dict.fromkeys([*sort, *contract.key]))
+    if not contract.key:
+        spread.append(_row_hash(df))
     placed = df.withColumn(PART, partition_value(contract))
     return placed.repartitionByRange(*spread).sortWithinPartitions(*sort)
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the columns that Spark can hash."""
+    plain = [F.col(f.name) for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.xxhash64(*plain) if plain else F.lit(0)
+
+
 def write_layout(df: DataFrame, contract: TableContract, path: str, *, mode: str = "static") -> None:
     """Writes the table; ``dynamic`` replaces only the partitions that have rows."""
     (

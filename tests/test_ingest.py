@@ -282,3 +282,15 @@ def test_summary_names_columns_that_are_not_stored(spark, tmp_path):
     assert got["t"].dropped == {"list": "type array<int> is not stored", "raw": "type binary is not stored", "secret": "excluded"}
     assert got["t"].rows == 1 and "no such column: x" in got["u"].error
     assert ingest.read_layout(spark, f"{tmp_path}/t").columns == ["id", ingest.PART]
+
+
+def test_a_table_without_key_or_partition_is_dealt_to_many_tasks(spark):
+    rows = spark.range(0, 40_000, 1, 4).select("id", F.expr("uuid()").alias("name"), F.expr("map(1, id)").alias("more"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        dealt = ingest.laid_out(rows, TableContract("lines")).groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in dealt.collect()]
+    finally:
+        spark.conf.set(setting, "true")
+    assert sum(sizes) == 40_000 and max(sizes) < 20_000
