@@ -14,8 +14,9 @@ compared without hashing. A cluster too large for one task is cut into blocks by
 each block is compared within itself and with a few pivots, documents of the cluster that visit all blocks of near sizes;
 a group of near copies holds together through them. Then the documents outside the largest group found so far, and only
 these, meet all blocks of near sizes, so every link between different groups is seen. Sizes that differ by more than the
-threshold allows never meet. Only a spanning forest of confirmed links leaves a task, and the components of these links are
-the groups. What a table's smallest id does not see itself is found in its cluster, so nothing depends on which document
+threshold allows never meet. Only a spanning forest of confirmed links leaves a task, as links of each document to the
+smallest one of its group there. In a cluster compared by one task these are the groups; only the groups of large clusters,
+and those that rows of one id connect, are joined over all tasks. What a table's smallest id does not see itself is found in its cluster, so nothing depends on which document
 that is, nor on the choice of pivots, which decides about the work alone: a cluster with one dominant group costs work in
 proportion to its size, one of many large groups that are no near copies of each other the product of their sizes.
 
@@ -178,16 +179,34 @@ def forest(sets: list[np.ndarray], side: np.ndarray, known: np.ndarray, threshol
     return links
 
 
+def stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Every node of some links but the smallest one of its component, with that one."""
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = above.get(up, up)
+            x = up
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        above[max(a, b)] = min(a, b)
+    return [(x, root(x)) for x in above if root(x) != x]
+
+
 def _confirm(size: int, threshold: Fraction):
+    """Of the ``known`` groups that confirmed links connect, all but the smallest one with that one."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "side"])
-        ids = frame["doc_id"].to_numpy()
+        known = frame["known"].to_numpy()
         sets = shingle_codes(frame["text"].tolist(), size)
-        found = forest(sets, frame["side"].to_numpy(), frame["known"].to_numpy(), threshold)
-        if len(ids) > BLOCK_DOCS // 4:
+        found = stars([(int(known[x]), int(known[y])) for x, y in forest(sets, frame["side"].to_numpy(), known, threshold)])
+        if len(known) > BLOCK_DOCS // 4:
             del sets
             give_back()  # a worker outlives the task
-        return pd.DataFrame({"a": [int(ids[x]) for x, _ in found], "b": [int(ids[y]) for _, y in found]}, dtype="int64")
+        return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]}, dtype="int64")
 
     return run
 
@@ -217,7 +236,7 @@ def clusters(classes: DataFrame, bands: int) -> DataFrame:
     least = pairs.groupBy("table").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     least = staged(least.select("table", "low"), "tables")
     links = pairs.join(least, "table").where("doc_id > low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
-    return components(links.distinct())
+    return components(links)
 
 
 def _parts() -> Column:
@@ -248,8 +267,10 @@ def _dealt(parts: str, salt: str) -> Column:
     return _block(F.col("level"), F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.col(parts)[F.col("level")]).cast("int"))
 
 
-def confirmed(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
-    """Links a, b that connect what all links within a cluster connect; rows doc_id, text, cluster, n_shingles."""
+def confirmed(texts: DataFrame, size: int, threshold: Fraction) -> tuple[DataFrame, DataFrame | None]:
+    """Links that connect what all links within a cluster connect; rows doc_id, text, cluster, n_shingles. First come the
+    stars a, b of groups, each document with the smallest one of its group; then, where clusters are large, links a, b
+    between these smallest documents, which join groups."""
     ratio = -math.log(float(threshold))
     level = F.floor(F.log(F.col("n_shingles").cast("double")) / ratio + F.lit(1e-9)).cast("int")
     rows = staged(texts.withColumn("level", level).withColumn("bytes", F.octet_length("text").cast("long")), "clustered")
@@ -261,10 +282,11 @@ def confirmed(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
     confirm, pair = _confirm(size, threshold), "a long, b long"
     small = rows.join(whole.where("fits").select("cluster"), "cluster")
     small = small.select("cluster", "doc_id", "text", F.lit(0).alias("side"), F.col("doc_id").alias("known"))
+    # A small cluster is compared in one task, so its stars are final.
     links = small.groupBy("cluster").applyInPandas(confirm, pair)
     large = whole.where("not fits").select("cluster", "parts", "n")
     if large.isEmpty():
-        return links
+        return links, None
 
     # First round. Blocks are dealt by an explicit repartition: a join may leave the rows dealt by cluster, which Spark
     # would take for grouping enough and hand all blocks of a large cluster to one task.
@@ -273,10 +295,10 @@ def confirmed(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
     pivot = F.pmod(F.xxhash64("doc_id", F.lit("pivot")), share) == 0
     blocks = F.when(pivot, _near_blocks("parts")).otherwise(F.array(_dealt("parts", "block")))
     own = placed.select("cluster", "doc_id", "text", F.explode(blocks).alias("block"), F.lit(0).alias("side"), F.col("doc_id").alias("known"))
-    first = staged(own.repartition("cluster", "block").groupBy("cluster", "block").applyInPandas(confirm, pair), "first_links")
+    first = components(own.repartition("cluster", "block").groupBy("cluster", "block").applyInPandas(confirm, pair))
 
     # Second round: documents outside the largest group of their cluster against all blocks of near sizes.
-    found = components(first).select(F.col("node").alias("doc_id"), F.col("component").alias("found"))
+    found = first.select(F.col("node").alias("doc_id"), F.col("component").alias("found"))
     known = placed.select("cluster", "doc_id", "level", "bytes").join(found, "doc_id", "left")
     known = known.select("cluster", "doc_id", "level", "bytes", F.coalesce("found", "doc_id").alias("known"))
     known = staged(known, "known_groups")
@@ -300,7 +322,8 @@ def confirmed(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
     )
     keys = ["cluster", "block", "visitor"]
     second = tasks.repartition(*keys).groupBy(*keys).applyInPandas(_across(confirm), pair)
-    return links.unionByName(first).unionByName(second)
+    grouped = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return links.unionByName(grouped), second
 
 
 def near_duplicates(
@@ -320,26 +343,35 @@ def near_duplicates(
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = staged(signatures(source, shingle, bands, rows), "signatures")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
-    heads = staged(filled.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("head")), "heads")
+    # Equal sets have equal bands.
+    same = ["n_shingles", "h1", "h2"]
+    heads = staged(
+        filled.groupBy(same).agg(F.min("doc_id").alias("head"), F.first("first").alias("first"), F.first("second").alias("second")), "heads"
+    )
     member = staged(
-        filled.select("doc_id", "n_shingles", "h1", "h2").join(heads, ["n_shingles", "h1", "h2"]).select("doc_id", "n_shingles", "head"),
-        "members",
+        filled.select("doc_id", *same).join(heads.select("head", *same), same).select("doc_id", "n_shingles", "head"), "members"
     )
-    classes = filled.join(heads.withColumnRenamed("head", "doc_id"), ["doc_id", "n_shingles", "h1", "h2"])
-    classes = staged(classes.select("doc_id", "n_shingles", "first", "second").dropDuplicates(["doc_id", "n_shingles"]), "classes")
-    found = staged(clusters(classes, bands), "clusters")
+    classes = heads.select(F.col("head").alias("doc_id"), "n_shingles", "first", "second")
+    found = clusters(classes, bands)
     # Rows of a repeated id have several texts; all take part, as sets of the same node.
     wanted = found.withColumnRenamed("component", "cluster").withColumnRenamed("node", "doc_id")
     sizes = classes.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
     wanted = staged(wanted.join(sizes, "doc_id"), "wanted")
     # One way of joining at every size: the plan at scale is the plan of small tables.
     texts = source.where("doc_id is not null").join(wanted.hint("merge"), "doc_id").select("cluster", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_shingles")
-    links = confirmed(texts, shingle, threshold)
-    # Rows that share an id but not a class are one node.
+    within, between = confirmed(texts, shingle, threshold)
+    within = staged(within, "groups")
+    # Rows that share an id but not a class are one node, so their groups are one.
     repeated = member.groupBy("doc_id").agg(F.min("head").alias("a"), F.max("head").alias("b")).where("a < b").select("a", "b")
-    groups = staged(components(links.unionByName(repeated)), "groups")
-    labelled = member.join(groups.withColumnRenamed("node", "head"), "head", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "head").alias("component_id")
+    for end in ("a", "b"):
+        group = within.select(F.col("a").alias(end), F.col("b").alias("group"))
+        repeated = repeated.join(group, end, "left").withColumn(end, F.coalesce("group", end)).drop("group")
+    joined = components(between.unionByName(repeated) if between else repeated)
+    grouped = member.join(within.select(F.col("a").alias("head"), F.col("b").alias("group")), "head", "left").select(
+        "doc_id", "n_shingles", F.coalesce("group", "head").alias("group")
+    )
+    labelled = grouped.join(joined.withColumnRenamed("node", "group"), "group", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "group").alias("component_id")
     )
     alone = signed.where("n_shingles = 0 or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")

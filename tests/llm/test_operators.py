@@ -16,8 +16,9 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from orderlens.llm import (
-    bpe, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, queries, token_store, units,
+    bpe, common, edit_counts, exact_dedup, inner_products, language, main_text, minhash, mixing, passages, queries, token_store, units,
 )
+from orderlens.llm import components as component_rounds
 from orderlens.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -403,6 +404,53 @@ def test_components(spark):
     assert {r.node: r.component for r in got} == {**{i: 0 for i in range(101)}, 200: 200, 300: 200, 250: 200}
 
 
+def counts_staged(monkeypatch):
+    """Names of the tables that near-duplicate groups and components stage from now on."""
+    names = []
+    for module in (minhash, component_rounds):
+        monkeypatch.setattr(module, "staged", lambda df, name, run=common.staged: names.append(name) or run(df, name))
+    return names
+
+
+def test_components_write_two_tables_a_round(spark, monkeypatch):
+    random.seed(5)
+    names = counts_staged(monkeypatch)
+    stars = [(i, i - i % 50) for i in range(500)]
+    got = components(spark.createDataFrame(stars, "a long, b long")).collect()
+    # Stars need no round.
+    assert {r.node: r.component for r in got} == {i: i - i % 50 for i in range(500)} and names == ["links", "nodes"]
+    names.clear()
+    ids = random.sample(range(1000, 2000), 300)
+    zigzag = [x for i in range(100) for x in (3000 + i, 3999 - i)]
+    chains = [*zip(ids, ids[1:]), *zip(zigzag, zigzag[1:]), *zip(range(5000, 5200), range(5001, 5200))]
+    hub = [(9999, i) for i in range(9000, 9200)]
+    links = [*chains, *hub, *((random.randrange(400), random.randrange(400)) for _ in range(350))]
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    lows = {x: x for link in links for x in link if link[0] != link[1]}
+    for _ in range(300):
+        for a, b in links:
+            if a != b:
+                lows[a] = lows[b] = min(lows[a], lows[b])
+    assert {r.node: r.component for r in got} == lows and len(got) == len(lows)
+    # At most ten rounds for chains of 300 nodes.
+    assert len(names) <= 22
+
+
+def test_small_clusters_take_no_rounds_after_they_are_confirmed(spark, monkeypatch):
+    """Rows of one id join groups of two clusters; else the groups of clusters that one task compares are final."""
+    names = counts_staged(monkeypatch)
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(1, a), (2, [*a, "x"]), (3, b), (4, [*b, "x"]), (8, [*a, "y"])]
+    alone = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = minhash.near_duplicates(alone, shingle=3, threshold=Fraction(85, 100)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 8: 1, 3: 3, 4: 3}
+    # Candidate clusters take a round at most; groups one look at no links.
+    assert len(names) <= 15 and names[-3:] == ["groups", "links", "nodes"]
+    both = spark.createDataFrame([(i, " ".join(w)) for i, w in [*rows, (5, [*a, "x"]), (5, [*b, "x"])]], "doc_id long, text string")
+    got = minhash.near_duplicates(both, shingle=3, threshold=Fraction(85, 100)).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict.fromkeys((1, 2, 3, 4, 5, 8), 1) and len(got) == 7
+
+
 # the pipeline
 
 
